@@ -1,4 +1,240 @@
-"""Streaming forms of the registered queries (filled in below)."""
+"""Streaming forms of the registered queries (stream = batch).
 
-STREAM_QUERIES: dict = {}
-STREAM_ORACLE_OF: dict = {}
+Each twin streams the same parquet table (``readStream``), runs the
+streaming form of the operator with a watermark, writes its results through
+``foreachBatch`` into the checkpoint folder, and returns them as a batch
+DataFrame.  Every twin must equal its batch query, so it shares that
+query's DuckDB oracle (``STREAM_ORACLE_OF``).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from eventide.functions.time import duration_micros, event_window
+from eventide.operators import gate as gate_ops
+from eventide.operators import orders as order_ops
+from eventide.operators import sequence as seq_ops
+from eventide.operators.topn import top_n_per_window
+from eventide.operators.windows import words
+from eventide.plans import catalog as C
+from eventide.session import scratch_path
+from eventide.streaming.processors import ClickGate, FollowedBy, OrderOutcome, StrictPairs
+from eventide.streaming.runner import (event_time, flush_sentinel, live, prepare_streaming,
+                                       run_and_read, table_stream)
+
+NTZ = T.TimestampNTZType()
+
+
+def _events(spark: SparkSession, sf: str, delay: str = "0 seconds") -> DataFrame:
+    prepare_streaming(spark)
+    ev = flush_sentinel(spark, table_stream(spark, sf, "events"), "ts")
+    return event_time(ev, "ts", delay)
+
+
+def _ntz(df: DataFrame, *cols: str) -> DataFrame:
+    for c in cols:
+        df = df.withColumn(c, F.col(c).cast(NTZ))
+    return df
+
+
+# --------------------------------------------------------------- aggregates
+def s_hot_items_topn(spark, sf):
+    """TOP-1 on a stream: per-item counts close with their window (append),
+    so each micro-batch holds whole windows and is ranked as a batch."""
+    ev = _events(spark, sf).filter(live(F.col("event_type") == C.PV))
+    counts = (ev.groupBy(event_window("ts", C.HOT_SIZE, C.HOT_SLIDE).alias("w"),
+                         F.col("user_id").alias("item_id"))
+              .agg(F.count(F.lit(1)).alias("item_count"))
+              .select(F.col("w.end").alias("window_end"), "item_id", "item_count"))
+
+    def rank(batch: DataFrame) -> DataFrame:
+        top = top_n_per_window(batch, C.HOT_N, key_cols=["item_id"], count_col="item_count")
+        return _ntz(top, "window_end").select("window_end", "item_id", "item_count", "row_num")
+
+    return run_and_read(counts, "hot_items_topn", transform=rank)
+
+
+def s_url_rank(spark, sf):
+    """TOP-3 with the 65 s watermark (5 s disorder + 60 s lateness), final
+    counts in append mode, top 5 per window."""
+    ev = _events(spark, sf, delay="65 seconds")
+    counts = (ev.groupBy(event_window("ts", C.URL_SIZE, C.URL_SLIDE).alias("w"),
+                         F.concat(F.lit("/user/"), F.col("user_id")).alias("url"))
+              .agg(F.count(F.lit(1)).alias("views"))
+              .select(F.col("w.end").alias("window_end"), "url", "views"))
+
+    def rank(batch: DataFrame) -> DataFrame:
+        top = top_n_per_window(batch, C.URL_N, key_cols=["url"], count_col="views",
+                               rank_col="rank")
+        return _ntz(top, "window_end").select("window_end", "url", "views", "rank")
+
+    return run_and_read(counts, "url_rank", transform=rank)
+
+
+def s_page_views(spark, sf):
+    ev = _events(spark, sf, delay="5 seconds").filter(live(F.col("event_type") == C.PV))
+    pv = (ev.groupBy(event_window("ts", C.PV_SIZE).alias("w")).agg(F.count(F.lit(1)).alias("pv"))
+          .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "pv"))
+    return run_and_read(pv, "page_views", transform=lambda b: _ntz(b, "window_start", "window_end"))
+
+
+def s_uv_exact(spark, sf):
+    """UV-1: countDistinct is not allowed on streams; two chained
+    aggregates are: distinct (window, user), then count per window."""
+    ev = _events(spark, sf).filter(live(F.col("event_type") == C.PV))
+    per_user = ev.groupBy(event_window("ts", C.UV_SIZE).alias("w"), "user_id").count()
+    uv = (per_user.groupBy(event_window(F.window_time("w"), C.UV_SIZE).alias("w2"))
+          .agg(F.count(F.lit(1)).alias("uv_count"))
+          .select(F.col("w2.end").alias("window_end"), "uv_count"))
+    return run_and_read(uv, "uv_exact", transform=lambda b: _ntz(b, "window_end"))
+
+
+def s_running_count(spark, sf):
+    """AGG-8: running word count, complete mode; the last snapshot is the
+    result (``eventide.streaming.changelog`` gives the -/+ rows)."""
+    prepare_streaming(spark)
+    docs = table_stream(spark, sf, "documents").select("text")
+    counts = words(docs).groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+    return run_and_read(counts, "running_count", output_mode="complete", keep="last")
+
+
+# ------------------------------------------------------------------- joins
+def s_tx_reconcile(spark, sf):
+    """JOIN-1 as a stream-stream full outer interval join.  Both inputs are
+    streamed from tables Spark derives from orders / lineitem (first ship
+    date per order); rows without a partner appear once the watermark has
+    passed them by the tolerance."""
+    prepare_streaming(spark)
+    base = scratch_path(spark, "tx")
+    C._read(spark, sf, "orders").select(
+        F.col("o_orderkey").cast("string").alias("tx_id"), F.col("o_orderdate").alias("pay_ts")) \
+        .write.parquet(f"{base}/pays")
+    (C._read(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.min("l_shipdate").alias("receipt_ts"))
+     .select(F.col("l_orderkey").cast("string").alias("tx_id"), "receipt_ts")
+     .write.parquet(f"{base}/receipts"))
+    pays = spark.readStream.schema(spark.read.parquet(f"{base}/pays").schema).parquet(f"{base}/pays")
+    rcps = spark.readStream.schema(spark.read.parquet(f"{base}/receipts").schema) \
+        .parquet(f"{base}/receipts")
+    pays = event_time(flush_sentinel(spark, pays, "pay_ts"), "pay_ts", "0 seconds")
+    rcps = event_time(flush_sentinel(spark, rcps, "receipt_ts"), "receipt_ts", "0 seconds")
+    tol = f"INTERVAL {duration_micros(C.TX_TOLERANCE) // 1_000_000} SECONDS"
+    p, r = pays.alias("p"), rcps.alias("r")
+    joined = p.join(r, F.expr(f"""p.tx_id = r.tx_id AND
+                                  r.receipt_ts >= p.pay_ts - {tol} AND
+                                  r.receipt_ts <= p.pay_ts + {tol}"""), "full_outer")
+    out = joined.select(
+        F.coalesce(F.col("p.tx_id"), F.col("r.tx_id")).alias("tx_id"),
+        F.col("p.pay_ts").alias("pay_ts"), F.col("r.receipt_ts").alias("receipt_ts"),
+        F.when(F.col("p.tx_id").isNotNull() & F.col("r.tx_id").isNotNull(), F.lit("matched"))
+         .when(F.col("p.tx_id").isNotNull(), F.lit("unmatched_pay"))
+         .otherwise(F.lit("unmatched_receipt")).alias("tag"))
+    return run_and_read(out.filter(F.col("tx_id").isNotNull()), "tx_reconcile",
+                        transform=lambda b: _ntz(b, "pay_ts", "receipt_ts"))
+
+
+# ------------------------------------------------------- stateful processors
+def _tws(df: DataFrame, keys: list, processor, schema: T.StructType, name: str,
+         ts_cols: tuple) -> DataFrame:
+    stream = (df.groupBy(*keys)
+              .transformWithState(processor, schema, "Append", "EventTime"))
+    first_key = schema.fieldNames()[0] if keys else None
+    return run_and_read(stream, name, schema=T.StructType(
+        [T.StructField(f.name, NTZ if f.name in ts_cols else f.dataType) for f in schema.fields]),
+        transform=lambda b: _ntz(b.filter(F.col(first_key).isNotNull()), *ts_cols))
+
+
+def s_login_fail_strict(spark, sf):
+    ev = _events(spark, sf, delay="5 seconds")
+    fail = F.col("event_type") == C.ERROR
+    rows = ev.select("user_id", "ts", F.col("event_id").alias("seq"), fail.alias("a"),
+                     fail.alias("b"))
+    schema = T.StructType([T.StructField("user_id", T.LongType()),
+                           T.StructField("first_ts", T.TimestampType()),
+                           T.StructField("last_ts", T.TimestampType()),
+                           T.StructField("msg", T.StringType())])
+    proc = StrictPairs(duration_micros(C.LOGIN_WITHIN), seq_ops.MSG_STRICT)
+    return _tws(rows, ["user_id"], proc, schema, "login_fail_strict", ("first_ts", "last_ts"))
+
+
+def s_ad_gate_daily(spark, sf):
+    ev = _events(spark, sf, delay="5 seconds")
+    rows = ev.select("user_id", F.col("event_type").alias("ad_id"), "ts",
+                     F.col("event_id").alias("seq"))
+    schema = T.StructType([T.StructField("event_id", T.LongType()),
+                           T.StructField("user_id", T.LongType()),
+                           T.StructField("ad_id", T.StringType()),
+                           T.StructField("ts", T.TimestampType()),
+                           T.StructField("tag", T.StringType()),
+                           T.StructField("msg", T.StringType())])
+    proc = ClickGate(C.GATE_DAILY_MAX, gate_ops.gate_message(C.GATE_DAILY_MAX),
+                     duration_micros("1 day"))
+    out = _tws(rows, ["user_id", "ad_id"], proc, schema, "ad_gate", ("ts",))
+    return out.filter(F.col("user_id").isNotNull())
+
+
+def s_order_timeout(spark, sf):
+    ev = _events(spark, sf)
+    rows = ev.select(F.col("user_id").alias("order_id"), "ts", F.col("event_id").alias("seq"),
+                     (F.col("event_type") == C.SIGNUP).alias("a"),
+                     (F.col("event_type") == C.PURCHASE).alias("b"))
+    schema = T.StructType([T.StructField("order_id", T.LongType()),
+                           T.StructField("start_ts", T.TimestampType()),
+                           T.StructField("match_ts", T.TimestampType()),
+                           T.StructField("result_msg", T.StringType()),
+                           T.StructField("tag", T.StringType())])
+    proc = FollowedBy(duration_micros(C.ORDER_WITHIN), seq_ops.MSG_PAYED, seq_ops.MSG_TIMEOUT)
+    return _tws(rows, ["order_id"], proc, schema, "order_timeout", ("start_ts", "match_ts"))
+
+
+def s_order_outcomes(spark, sf, grace: str = "36500 days"):
+    """SEQ-3 on a stream of creates (orders) and pays (lineitem).  ``grace``
+    is how long the other side may still arrive; the twin uses a grace past
+    any gap in the data so that it equals the batch rule."""
+    prepare_streaming(spark)
+    creates = table_stream(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_orderdate").alias("ts"),
+        F.lit(True).alias("is_create"), F.lit(False).alias("is_pay"))
+    pays = table_stream(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"), F.col("l_shipdate").alias("ts"),
+        F.lit(False).alias("is_create"), F.lit(True).alias("is_pay"))
+    ev = event_time(flush_sentinel(spark, creates.unionByName(pays), "ts"), "ts", "0 seconds")
+    schema = T.StructType([T.StructField("order_id", T.LongType()),
+                           T.StructField("create_ts", T.TimestampType()),
+                           T.StructField("pay_ts", T.TimestampType()),
+                           T.StructField("result_msg", T.StringType()),
+                           T.StructField("tag", T.StringType())])
+    msgs = {"payed": order_ops.MSG_PAYED, "payed_late": order_ops.MSG_PAYED_LATE,
+            "order_timeout": order_ops.MSG_ORDER_TIMEOUT,
+            "pay_no_create": order_ops.MSG_PAY_NO_CREATE}
+    proc = OrderOutcome(duration_micros(C.OUTCOME_WITHIN), duration_micros(grace), msgs)
+    return _tws(ev, ["order_id"], proc, schema, "order_outcomes", ("create_ts", "pay_ts"))
+
+
+STREAM_QUERIES = {
+    "hot_items_topn_stream": s_hot_items_topn,
+    "url_rank_stream": s_url_rank,
+    "page_views_stream": s_page_views,
+    "uv_exact_stream": s_uv_exact,
+    "running_count_stream": s_running_count,
+    "tx_reconcile_stream": s_tx_reconcile,
+    "login_fail_strict_stream": s_login_fail_strict,
+    "ad_gate_stream": s_ad_gate_daily,
+    "order_timeout_stream": s_order_timeout,
+    "order_outcomes_stream": s_order_outcomes,
+}
+
+STREAM_ORACLE_OF = {
+    "hot_items_topn_stream": "hot_items_topn",
+    "url_rank_stream": "url_rank_top5",
+    "page_views_stream": "page_views",
+    "uv_exact_stream": "uv_exact",
+    "running_count_stream": "running_count",
+    "tx_reconcile_stream": "tx_reconcile",
+    "login_fail_strict_stream": "login_fail_strict",
+    "ad_gate_stream": "ad_gate_daily",
+    "order_timeout_stream": "order_timeout_cep",
+    "order_outcomes_stream": "order_outcomes",
+}
