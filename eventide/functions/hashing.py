@@ -17,8 +17,10 @@ from pyspark.sql import functions as F
 BITMAP_HASH_SEED = 61
 BITMAP_BITS_LOG2 = 29
 
-# Universal hash family for the Bloom positions: h_i(x) = ((a_i*x + b_i) mod P) mod m,
-# P the Mersenne prime 2^31 - 1, a_i / b_i generated by a rule below.
+# Hash family for the Bloom positions, quadratic so that runs of similar ids
+# (consecutive numbers) do not land on a lattice of bit positions:
+#   h_i(x) = ((a_i * x^2 + b_i * x + a_i) mod P) mod m,  P = 2^31 - 1,
+# with a_i / b_i generated by a rule below.  Every product stays below 2^62.
 MERSENNE_31 = (1 << 31) - 1
 
 
@@ -56,7 +58,9 @@ def bloom_coefficients(k: int) -> list[tuple[int, int]]:
 def bloom_positions(c, m: int, k: int) -> Column:
     """Array of the k bit positions of ``c`` in an m-bit Bloom filter."""
     x = poly_hash(c, seed=BITMAP_HASH_SEED, bits=31)
-    return F.array(*[((x * a + b) % MERSENNE_31) % m for a, b in bloom_coefficients(k)])
+    x2 = (x * x) % MERSENNE_31
+    return F.array(*[((((x2 * a) % MERSENNE_31) + ((x * b) % MERSENNE_31) + a) % MERSENNE_31) % m
+                     for a, b in bloom_coefficients(k)])
 
 
 def bloom_estimate(bits_set: Column, m: int, k: int) -> Column:

@@ -351,7 +351,9 @@ def _uv_day(expr: str, where: str = "") -> str:
 
 def _bloom_sql() -> str:
     m, k = bloom_size(distinct.BLOOM_EXPECTED_INSERTIONS, distinct.BLOOM_FPP)
-    poss = ", ".join(f"(x * {a} + {b}) % {MERSENNE_31} % {m}" for a, b in bloom_coefficients(k))
+    P = MERSENNE_31
+    poss = ", ".join(f"(((x * x) % {P} * {a}) % {P} + (x * {b}) % {P} + {a}) % {P} % {m}"
+                     for a, b in bloom_coefficients(k))
     start = _tumble_start("ts", UV_SIZE)
     return f"""
       WITH h AS (SELECT {start} + INTERVAL '{UV_SIZE}' AS window_end, {_poly('user_id', 31)} AS x
