@@ -92,6 +92,54 @@ def _chunks(ts_us: np.ndarray, end_us: float, within_us: int, min_count: int):
         i = j
 
 
+def _fold_runs(batches, keys: list, within_us: int, min_count: int):
+    """mapInPandas body: rows arrive sorted by (keys, __end, __t); each run
+    (same keys and __end) is chunked greedily.  Only the run still open at
+    the end of an Arrow batch is carried into the next one."""
+    carry = None
+
+    def emit(pdf: pd.DataFrame, final: bool):
+        key_arr = [pdf[k].to_numpy() for k in keys]
+        end = pdf["__end"].to_numpy(dtype=np.int64)
+        open_end = pdf["__noend"].to_numpy(dtype=bool)   # no success after the run
+        t = pdf["__t"].to_numpy(dtype=np.int64)
+        change = np.zeros(len(t), dtype=bool)
+        change[0] = True
+        for a in key_arr + [end, open_end]:
+            change[1:] |= a[1:] != a[:-1]
+        starts = np.flatnonzero(change)
+        stops = np.append(starts[1:], len(t))
+        open_from = int(starts[-1])
+        if not final:   # the last run may continue in the next batch
+            starts, stops = starts[:-1], stops[:-1]
+        rows = {c: [] for c in keys + ["__first", "__last", "__n"]}
+        for a, b in zip(starts, stops):
+            horizon = np.inf if open_end[a] else float(end[a])
+            for first, last, n in _chunks(t[a:b], horizon, within_us, min_count):
+                for k, arr in zip(keys, key_arr):
+                    rows[k].append(arr[a])
+                rows["__first"].append(first)
+                rows["__last"].append(last)
+                rows["__n"].append(n)
+        rest = None if final else pdf.iloc[open_from:]
+        return pd.DataFrame(rows), rest
+
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        pdf = pdf.assign(__noend=pdf["__end"].isna(),
+                         __end=pdf["__end"].fillna(0).astype(np.int64))
+        if carry is not None and not carry.empty:
+            pdf = pd.concat([carry, pdf], ignore_index=True)
+        out, carry = emit(pdf.reset_index(drop=True), final=False)
+        if len(out):
+            yield out
+    if carry is not None and not carry.empty:
+        out, _ = emit(carry.reset_index(drop=True), final=True)
+        if len(out):
+            yield out
+
+
 def burst_warnings(df: DataFrame, keys: Sequence[str], ts: str, is_fail: Column, within: str,
                    min_count: int = 2, bucket: str = "1 day",
                    msg_prefix: str = MSG_BURST_PREFIX, msg_suffix: str = MSG_BURST_SUFFIX
@@ -101,9 +149,11 @@ def burst_warnings(df: DataFrame, keys: Sequence[str], ts: str, is_fail: Column,
     open chunk; when the chunk's time is up it warns if it holds
     >= ``min_count`` failures.  The next failure opens a new chunk.
 
-    Failures are grouped into runs ending at the next success (found with a
-    two-level forward scan), and each run is chunked greedily with numpy in
-    ``applyInPandas``; only failures travel, one run per group.
+    Failures are grouped into runs that end at the key's next success (a
+    two-level forward scan finds it).  Runs are hash-partitioned on
+    (key, run end) -- a hot key's runs spread over tasks -- sorted inside
+    each partition, and chunked greedily by a ``mapInPandas`` fold that holds
+    one Arrow batch plus the run still open at its end.
     """
     keys = list(keys)
     d = df.select(*keys, ts, is_fail.alias("__fail"))
@@ -112,23 +162,15 @@ def burst_warnings(df: DataFrame, keys: Sequence[str], ts: str, is_fail: Column,
     fails = nxt.filter(F.col("__fail")).select(
         *keys, F.unix_micros(F.col(ts).cast("timestamp")).alias("__t"),
         F.unix_micros(F.col("__reset_ts").cast("timestamp")).alias("__end"))
-    within_us = duration_micros(within)
     key_fields = [f for f in fails.schema.fields if f.name in keys]
     out_schema = T.StructType(key_fields + [
         T.StructField("__first", T.LongType()), T.StructField("__last", T.LongType()),
         T.StructField("__n", T.LongType())])
-
-    def per_run(pdf: pd.DataFrame) -> pd.DataFrame:
-        t = np.sort(pdf["__t"].to_numpy(dtype=np.int64))
-        end = pdf["__end"].iloc[0]
-        end = np.inf if pd.isna(end) else float(end)
-        rows = list(_chunks(t, end, within_us, min_count))
-        out = pd.DataFrame(rows, columns=["__first", "__last", "__n"], dtype="int64")
-        for k in keys:
-            out.insert(len(out.columns) - 3, k, pdf[k].iloc[0])
-        return out[[f.name for f in out_schema.fields]]
-
-    chunks = fails.groupBy(*keys, "__end").applyInPandas(per_run, out_schema)
+    within_us = duration_micros(within)
+    ordered = (fails.repartition(*keys, "__end")
+               .sortWithinPartitions(*keys, "__end", "__t"))
+    chunks = ordered.mapInPandas(
+        lambda it: _fold_runs(it, keys, within_us, min_count), out_schema)
     ts_type = df.schema[ts].dataType
     return chunks.select(*keys, F.timestamp_micros("__first").cast(ts_type).alias("first_ts"),
                          F.timestamp_micros("__last").cast(ts_type).alias("last_ts"),
