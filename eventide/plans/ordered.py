@@ -6,15 +6,16 @@ of the data.  The helpers here split each key into *buckets* -- a coarse,
 monotone function of the order, normally a time bucket -- and work on two
 levels:
 
-1. rows are hash-partitioned by ``(key, bucket)`` once, and the per-row work
-   (lag, running position, forward minimum) is done inside a bucket;
+1. rows are hash-partitioned by ``(key, bucket)`` once (the only full
+   shuffle), and the per-row work (lag, running position, forward minimum)
+   is done inside a bucket;
 2. a one-row-per-``(key, bucket)`` summary carries what crosses a bucket
    boundary (last row, row count, minimum) from bucket to bucket.  A key's
    summary has one row per non-empty bucket, so it is bounded by the time
    span, not by the data volume.
 
 Results are exact and independent of the bucket width; the width only moves
-work between the two levels.  Keys must be non-NULL.
+work between the two levels.  A NULL key is a group of its own.
 
 ``row_number_within`` is the fully general exact ``row_number()`` for an
 order that is not time-like (e.g. a ranking by count): it range-partitions
@@ -35,8 +36,30 @@ _B = "__bucket"
 
 
 def _with_bucket(df: DataFrame, keys: Sequence[str], bucket: Column) -> DataFrame:
-    # One shuffle on (key, bucket); every later step reuses this partitioning.
-    return df.withColumn(_B, bucket).repartition(*keys, _B)
+    # No explicit repartition: the per-row window brings the one full shuffle
+    # on (key, bucket), and the summary branch aggregates map-side first, so
+    # its shuffle carries one row per (key, bucket, task).  The input is
+    # scanned by both branches (column-pruned differently, so not reused).
+    return df.withColumn(_B, bucket)
+
+
+def _join_summary(rows: DataFrame, summary: DataFrame, keys: Sequence[str], how: str
+                  ) -> DataFrame:
+    """Join the per-(key, bucket) summary back with NULL-safe equality.
+
+    Plain equality would let Catalyst infer ``key IS NOT NULL`` for the
+    summary side only; the two sides would then no longer share the input
+    scan and shuffle.  NULL-safe keys keep them identical (one scan, one
+    exchange, reused) and give NULL keys their own group, like ``groupBy``.
+    """
+    cols = [*keys, _B]
+    s = summary.select(*[F.col(c).alias(f"__s_{c}") for c in cols],
+                       *[c for c in summary.columns if c not in cols])
+    cond = None
+    for c in cols:
+        e = rows[c].eqNullSafe(s[f"__s_{c}"])
+        cond = e if cond is None else cond & e
+    return rows.join(s, cond, how).drop(*[f"__s_{c}" for c in cols])
 
 
 def keyed_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column,
@@ -54,7 +77,7 @@ def keyed_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket:
     carry = last.select(*keys, _B, F.lag("__last").over(
         Window.partitionBy(*keys).orderBy(_B)).alias("__carry"))
 
-    out = d.join(carry, on=[*keys, _B], how="left")
+    out = _join_summary(d, carry, keys, "left")
     prev = F.coalesce(F.col("__prev"), F.col("__carry"))
     return out.select(*[F.col(c) for c in df.columns],
                       *[prev[v].alias(prefix + v) for v in values])
@@ -82,7 +105,7 @@ def keyed_next_at_or_after(df: DataFrame, keys: Sequence[str], ts: str, bucket:
              .rowsBetween(Window.unboundedPreceding, -1))
     carry = per_bucket.select(*keys, _B, F.min("__m").over(later).alias("__carry"))
 
-    out = d.join(carry, on=[*keys, _B], how="left")
+    out = _join_summary(d, carry, keys, "left")
     return out.select(*[F.col(c) for c in df.columns],
                       F.least(F.col("__in"), F.col("__carry")).alias(out_col))
 
@@ -102,7 +125,7 @@ def keyed_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], buc
                             F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
     if limit is not None:
         offsets = offsets.filter(F.col("__off") < limit)
-    d = d.join(offsets, on=[*keys, _B], how="inner")
+    d = _join_summary(d, offsets, keys, "inner")
     pos = F.col("__off") + F.row_number().over(
         Window.partitionBy(*keys, _B).orderBy(*order))
     d = d.withColumn(out_col, pos.cast("long"))
