@@ -4,11 +4,12 @@ Pays and receipts match on the transaction id when their times differ by at
 most ``tolerance``.  Output has three tags: ``matched`` (both sides),
 ``unmatched_pay`` and ``unmatched_receipt``.
 
-The join key is (tx_id, time bucket) with buckets as wide as the tolerance,
-so rows that share an id (a hot or reused id) still spread over tasks: a
-receipt is offered to its own and the two neighbouring buckets, which finds
-every pair within the tolerance exactly once.  Unmatched rows come from anti
-joins on the same key.
+The join key is (tx_id, time bucket), so rows that share an id (a hot or
+reused id) still spread over tasks.  Buckets are ``bucket_factor`` times the
+tolerance wide; a row is also offered to a neighbouring bucket only when it
+lies within the tolerance of that boundary (about 1 + 2/factor copies per
+row), which finds every pair within the tolerance exactly once.  Unmatched
+rows come from anti joins on the same key.
 """
 
 from __future__ import annotations
@@ -33,13 +34,13 @@ def with_tx(events: DataFrame, tx_col: str = "tx_id") -> DataFrame:
 
 
 def reconcile(pays: DataFrame, receipts: DataFrame, tolerance: str = "5 seconds",
-              tx_col: str = "tx_id", pay_ts: str = "pay_ts", receipt_ts: str = "receipt_ts"
-              ) -> DataFrame:
+              tx_col: str = "tx_id", pay_ts: str = "pay_ts", receipt_ts: str = "receipt_ts",
+              bucket_factor: int = 4) -> DataFrame:
     """``pays`` and ``receipts`` share only ``tx_col``; other column names
     must be distinct.  Returns the union of all pay and receipt columns plus
     ``tag``."""
     tol_us = duration_micros(tolerance)
-    width = max(tol_us, 1)
+    width = max(tol_us, 1) * max(bucket_factor, 1)
     pay_cols = [c for c in pays.columns if c != tx_col]
     rcp_cols = [c for c in receipts.columns if c != tx_col]
 
@@ -47,12 +48,16 @@ def reconcile(pays: DataFrame, receipts: DataFrame, tolerance: str = "5 seconds"
     r = receipts.withColumn("__b", _bucket(receipt_ts, width))
     near = F.abs(epoch_micros(F.col(pay_ts)) - epoch_micros(F.col(receipt_ts))) <= tol_us
 
-    def offered(df):   # own bucket and both neighbours
-        return df.withColumn("__b", F.explode(F.array(F.col("__b") - 1, F.col("__b"),
-                                                      F.col("__b") + 1)))
+    def offered(df, ts):   # own bucket, plus a neighbour when within tol of its edge
+        t = epoch_micros(F.col(ts))
+        b = F.col("__b")
+        lower = F.when(t - tol_us < b * width, b - 1)
+        upper = F.when(t + tol_us >= (b + 1) * width, b + 1)
+        return df.withColumn("__b", F.explode(F.filter(F.array(lower, b, upper),
+                                                       lambda x: x.isNotNull())))
 
-    r3 = offered(r).withColumnRenamed(tx_col, "__rtx").withColumnRenamed("__b", "__rb")
-    p3 = offered(p).withColumnRenamed(tx_col, "__ptx").withColumnRenamed("__b", "__pb")
+    r3 = offered(r, receipt_ts).withColumnRenamed(tx_col, "__rtx").withColumnRenamed("__b", "__rb")
+    p3 = offered(p, pay_ts).withColumnRenamed(tx_col, "__ptx").withColumnRenamed("__b", "__pb")
 
     matched = (p.join(r3, (F.col(tx_col) == F.col("__rtx")) & (F.col("__b") == F.col("__rb")) & near)
                .select(tx_col, *pay_cols, *rcp_cols, F.lit(TAG_MATCHED).alias("tag")))

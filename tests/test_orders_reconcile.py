@@ -52,3 +52,22 @@ def test_reconcile_reused_id_spreads_and_matches_by_time(spark):
                     "5 seconds")
     counts = {r.tag: r["count"] for r in out.groupBy("tag").count().collect()}
     assert counts == {"matched": 25, "unmatched_pay": 25}
+
+
+def test_reconcile_equals_brute_force_interval_join(spark):
+    import random
+    import pytest
+    rnd = random.Random(9)
+    pays = [(f"t{rnd.randint(0, 15)}", epoch(rnd.randint(0, 400))) for _ in range(150)]
+    rcps = [(f"t{rnd.randint(0, 15)}", "c", epoch(rnd.randint(0, 400))) for _ in range(150)]
+    pdf = spark.createDataFrame(pays, "tx_id string, pay_ts timestamp")
+    rdf = spark.createDataFrame(rcps, "tx_id string, pay_channel string, receipt_ts timestamp")
+    near = lambda p, r: p[0] == r[0] and abs((p[1] - r[2]).total_seconds()) <= 5
+    want_pairs = sorted((p[0], p[1], r[2]) for p in pays for r in rcps if near(p, r))
+    want_lone_p = sorted((p[0], p[1]) for p in pays if not any(near(p, r) for r in rcps))
+    want_lone_r = sorted((r[0], r[2]) for r in rcps if not any(near(p, r) for p in pays))
+    for factor in (1, 3, 8):
+        out = reconcile(pdf, rdf, "5 seconds", bucket_factor=factor).collect()
+        assert sorted((o.tx_id, o.pay_ts, o.receipt_ts) for o in out if o.tag == "matched") == want_pairs
+        assert sorted((o.tx_id, o.pay_ts) for o in out if o.tag == "unmatched_pay") == want_lone_p
+        assert sorted((o.tx_id, o.receipt_ts) for o in out if o.tag == "unmatched_receipt") == want_lone_r
