@@ -67,7 +67,9 @@ def followed_by(df: DataFrame, keys: Sequence[str], ts: str, first: Column, then
                 within: str, bucket: str = "1 day", matched_msg: str = MSG_PAYED,
                 timeout_msg: str = MSG_TIMEOUT) -> DataFrame:
     """One row per A event: keys, start_ts, match_ts (NULL on timeout),
-    result_msg, tag (``matched`` / ``timeout``)."""
+    result_msg, tag (``matched`` / ``timeout``).  The A and B predicates are
+    meant to be disjoint; an event satisfying both would count as its own
+    B."""
     keys = list(keys)
     d = df.select(*keys, ts, first.alias("__a"), then.alias("__b"))
     nxt = keyed_next_at_or_after(d, keys, ts, time_bucket(ts, bucket), F.col("__b"), ts,
@@ -176,3 +178,25 @@ def burst_warnings(df: DataFrame, keys: Sequence[str], ts: str, is_fail: Column,
                          F.timestamp_micros("__last").cast(ts_type).alias("last_ts"),
                          F.concat(F.lit(msg_prefix), F.col("__n").cast("string"),
                                   F.lit(msg_suffix)).alias("msg"))
+
+
+def match_sequence(df: DataFrame, keys: Sequence[str], ts: str,
+                   stages: Sequence[tuple[str, Column]], within: str,
+                   contiguity: str = "strict", order_by: Sequence[str] | None = None,
+                   seq: str | None = None, with_timeout: bool = True, **kwargs) -> DataFrame:
+    """Two-stage pattern ``begin(A).next(B)`` (strict) or
+    ``begin(A).followedBy(B)`` (relaxed), both ``within`` a duration.
+
+    strict  -> one row per matched pair (keys, first_ts, last_ts, msg);
+    relaxed -> one row per A (keys, start_ts, match_ts, result_msg, tag);
+               ``with_timeout=False`` keeps matched rows only.
+    """
+    if len(stages) != 2:
+        raise ValueError("two stages are supported; chain calls for longer patterns")
+    (_, first), (_, then) = stages
+    if contiguity == "strict":
+        return strict_next(df, keys, ts, first, then, within, order=order_by, seq=seq, **kwargs)
+    if contiguity == "relaxed":
+        out = followed_by(df, keys, ts, first, then, within, **kwargs)
+        return out if with_timeout else out.filter(F.col("tag") == "matched")
+    raise ValueError("contiguity is 'strict' or 'relaxed'")

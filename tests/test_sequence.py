@@ -102,3 +102,18 @@ def test_burst_matches_brute_force(spark):
                                          "2 seconds", min_count=2, bucket="10 seconds").collect())
     assert got == _burst_brute(rows, 2, 2)
     assert len(got) > 5
+
+
+def test_match_sequence_dispatch(spark):
+    from eventide.operators import match_sequence
+    df = _logins(spark, LOGIN_KEY_LINES)
+    fail = F.col("event_type") == "fail"
+    strict = match_sequence(df, ["user_id"], "ts", [("begin", fail), ("next", fail)],
+                            "2 seconds", contiguity="strict", seq="seq")
+    assert strict.count() == 1
+    ok = F.col("event_type") == "success"
+    relaxed = match_sequence(df, ["user_id"], "ts", [("begin", fail), ("follow", ok)],
+                             "2 seconds", contiguity="relaxed")
+    got = {r.start_ts: r.tag for r in relaxed.collect()}
+    # 842 -> success at 844 is exactly 2 s later (out); 843 -> 844 is 1 s (in)
+    assert got == {epoch(1558430842): "timeout", epoch(1558430843): "matched"}
