@@ -54,10 +54,11 @@ def decide_at_deadline(events: DataFrame, key: str = "order_id", ts: str = "ts",
     """SEQ-4: decide only at create + within.  Payed if a pay came at or
     after the create and no later than the deadline, else timeout.  A pay
     before the create (no deadline is set) and a pay without create give no
-    row."""
+    row.  ``pay_ts`` is the pay seen by the deadline (NULL on timeout)."""
     t = _first_times(events, key, ts, type_col, create, pay)
     c, p = F.col("create_ts"), F.col("pay_ts")
     emitted = t.filter(c.isNotNull() & (p.isNull() | (p >= c)))
-    msg = F.when(p.isNotNull() & (p <= c + interval(within)), F.lit(MSG_DEADLINE_PAYED)) \
-           .otherwise(F.lit(MSG_ORDER_TIMEOUT))
-    return emitted.select(key, "create_ts", "pay_ts", msg.alias("result_msg"))
+    in_time = p.isNotNull() & (p <= c + interval(within))
+    msg = F.when(in_time, F.lit(MSG_DEADLINE_PAYED)).otherwise(F.lit(MSG_ORDER_TIMEOUT))
+    return emitted.select(key, "create_ts", F.when(in_time, p).alias("pay_ts"),
+                          msg.alias("result_msg"))

@@ -454,7 +454,8 @@ def _outcomes_sql() -> str:
 def _deadline_sql() -> str:
     w = _us(OUTCOME_WITHIN)
     return f"""
-      SELECT order_id, create_ts, pay_ts,
+      SELECT order_id, create_ts,
+             CASE WHEN epoch_us(pay_ts) <= epoch_us(create_ts) + {w} THEN pay_ts END AS pay_ts,
              CASE WHEN pay_ts IS NOT NULL AND epoch_us(pay_ts) <= epoch_us(create_ts) + {w}
                   THEN '{orders.MSG_DEADLINE_PAYED}' ELSE '{orders.MSG_ORDER_TIMEOUT}' END AS result_msg
       FROM {_order_times_sql()}

@@ -4,8 +4,8 @@ GATE-1, SEQ-1, SEQ-2, SEQ-3, CHG-1).
 Rows of one key inside a micro-batch arrive in no particular order, so every
 processor here follows one pattern (:class:`EventTimeReplay`):
 
-* new rows go to a ListState buffer and an event-time timer is set at each
-  row's time;
+* new rows go to a ListState buffer and an event-time timer is set at the
+  earliest buffered time;
 * when the watermark passes, the buffered rows up to the watermark are
   released in ``(ts, seq)`` order and fed to a small per-key state machine;
   deadlines of that machine (timeouts, period ends) are timers too, and are
@@ -53,6 +53,10 @@ class EventTimeReplay(StatefulProcessor):
         self.handle = handle
         self.buf = handle.getListState("buf", self.row_schema)
         self.state = handle.getValueState("st", self.state_schema)
+        # Keys already replayed up to the current watermark in this batch.
+        # Timers run after all input rows of a batch, so a second timer of
+        # the same key and watermark has nothing left to do.
+        self._replayed: dict = {}
 
     # -- subclass hooks -------------------------------------------------
     def initial_state(self) -> dict:
@@ -69,36 +73,41 @@ class EventTimeReplay(StatefulProcessor):
         return []
 
     # -- machinery ------------------------------------------------------
+    # Every state call is a round trip to the state server, so each callback
+    # reads the value state once and registers one release timer (the
+    # earliest buffered time) instead of one per row.
     def _load(self) -> dict:
-        if self.state.exists():
-            return dict(zip(self.state_schema.names, self.state.get()))
-        return self.initial_state()
+        v = self.state.get()
+        return dict(zip(self.state_schema.names, v)) if v is not None else self.initial_state()
 
     def _save(self, st: dict) -> None:
         self.state.update(tuple(st.get(n) for n in self.state_schema.names))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        new = []
-        for r in rows:
-            new.append(tuple(r[n] for n in self.row_schema.names))
-            self.handle.registerTimer(to_ms(r["ts"]))
+        new = [tuple(r[n] for n in self.row_schema.names) for r in rows]
         if new:
+            i = self.row_schema.names.index("ts")
             self.buf.appendList(new)
+            self.handle.registerTimer(min(to_ms(t[i]) for t in new))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        wm_ms = timerValues.getCurrentWatermarkInMs()
-        wm_us = wm_ms * 1000
+        wm_us = timerValues.getCurrentWatermarkInMs() * 1000
+        if self._replayed.get(key) == wm_us:
+            return iter([])
+        self._replayed[key] = wm_us
         rows = [Row(**dict(zip(self.row_schema.names, t))) for t in self.buf.get()]
         ready = sorted((r for r in rows if _us(r["ts"]) <= wm_us),
                        key=lambda r: tuple(r[f] for f in self.order_fields))
-        rest = [tuple(r) for r in rows if _us(r["ts"]) > wm_us]
-        if not ready and not any(d <= wm_us for d in self.deadlines(self._load())):
-            return iter([])
-        self.buf.clear()
-        if rest:
-            self.buf.appendList(rest)
         st = self._load()
+        if not ready and not any(d <= wm_us for d in self.deadlines(st)):
+            return iter([])
+        rest = [r for r in rows if _us(r["ts"]) > wm_us]
+        if ready:
+            self.buf.clear()
+            if rest:
+                self.buf.appendList([tuple(r) for r in rest])
+                self.handle.registerTimer(min(to_ms(r["ts"]) for r in rest))
         out: list = []
         for r in ready:
             out += self._fire(key, st, _us(r["ts"]))   # deadlines at or before the row
@@ -109,6 +118,9 @@ class EventTimeReplay(StatefulProcessor):
         self._save(st)
         return iter(out)
 
+    def close(self) -> None:
+        self._replayed.clear()
+
     def _fire(self, key, st: dict, t_us: int) -> list:
         out = []
         while True:
@@ -305,3 +317,121 @@ class RunningCountChangelog(StatefulProcessor):
             out.append(Row(key=key[0], op="-", count=old))
         out.append(Row(key=key[0], op="+", count=old + n))
         return iter(out)
+
+
+class ArrivalPairs(StatefulProcessor):
+    """SEQ-1b on a stream: arrival order, no waiting for the watermark.
+    Rows of a key within a micro-batch are ordered by their arrival
+    sequence; the last event is kept in state."""
+
+    state_schema = T.StructType([T.StructField("last_us", T.LongType()),
+                                 T.StructField("last_a", T.BooleanType())])
+
+    def __init__(self, within_us: int, msg: str):
+        self.within_us, self.msg = within_us, msg
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("last", self.state_schema)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        last_us, last_a = self.state.get() or (None, False)
+        out = []
+        for r in sorted(rows, key=lambda r: r["seq"]):
+            t = _us(r["ts"])
+            if r["b"] and last_a and t < last_us + self.within_us:
+                out.append(Row(user_id=key[0], first_ts=_ts(last_us), last_ts=r["ts"],
+                               msg=self.msg))
+            last_us, last_a = t, bool(r["a"])
+        self.state.update((last_us, last_a))
+        return iter(out)
+
+
+class BurstRule(EventTimeReplay):
+    """SEQ-1c: the first failure opens a chunk; its deadline is start + T
+    (+1 us, so a failure exactly at start + T is still in); a success drops
+    the chunk; at the deadline the chunk warns when it holds >= N failures."""
+
+    row_schema = T.StructType([T.StructField("ts", T.TimestampType()),
+                               T.StructField("seq", T.LongType()),
+                               T.StructField("fail", T.BooleanType())])
+    state_schema = T.StructType([T.StructField("start_us", T.LongType()),
+                                 T.StructField("last_us", T.LongType()),
+                                 T.StructField("n", T.LongType())])
+    order_fields = ("ts", "seq")
+
+    def __init__(self, within_us: int, min_count: int, prefix: str, suffix: str):
+        self.within_us, self.min_count = within_us, min_count
+        self.prefix, self.suffix = prefix, suffix
+
+    def initial_state(self):
+        return {"start_us": None, "last_us": None, "n": 0}
+
+    def deadlines(self, st):
+        s = st.get("start_us")
+        return [s + self.within_us + 1] if s is not None else []
+
+    def on_deadline(self, key, st, at_us):
+        out = []
+        if (st.get("n") or 0) >= self.min_count:
+            out.append(Row(user_id=key[0], first_ts=_ts(st["start_us"]),
+                           last_ts=_ts(st["last_us"]),
+                           msg=f"{self.prefix}{st['n']}{self.suffix}"))
+        st.update(self.initial_state())
+        return out
+
+    def on_event(self, key, st, row):
+        t = _us(row["ts"])
+        if not row["fail"]:
+            st.update(self.initial_state())
+            return []
+        if st.get("start_us") is None:
+            st.update(start_us=t, last_us=t, n=1)
+        else:
+            st.update(last_us=t, n=st["n"] + 1)
+        return []
+
+
+class DeadlineDecision(EventTimeReplay):
+    """SEQ-4: decide only at create + T: payed if a pay came at or after the
+    create and no later than the deadline (inclusive, so the deadline fires
+    1 us after it); a pay seen before the create means no deadline and no
+    output."""
+
+    row_schema = T.StructType([T.StructField("ts", T.TimestampType()),
+                               T.StructField("is_create", T.BooleanType()),
+                               T.StructField("is_pay", T.BooleanType())])
+    state_schema = T.StructType([T.StructField("create_us", T.LongType()),
+                                 T.StructField("pay_us", T.LongType()),
+                                 T.StructField("payed_first", T.BooleanType()),
+                                 T.StructField("done", T.BooleanType())])
+    order_fields = ("ts", "is_pay")
+
+    def __init__(self, within_us: int, payed_msg: str, timeout_msg: str):
+        self.within_us, self.payed_msg, self.timeout_msg = within_us, payed_msg, timeout_msg
+
+    def initial_state(self):
+        return {"create_us": None, "pay_us": None, "payed_first": False, "done": False}
+
+    def deadlines(self, st):
+        if st.get("done") or st.get("payed_first") or st.get("create_us") is None:
+            return []
+        return [st["create_us"] + self.within_us + 1]
+
+    def on_deadline(self, key, st, at_us):
+        st["done"] = True
+        c, p = st["create_us"], st.get("pay_us")
+        msg = self.payed_msg if p is not None else self.timeout_msg
+        return [Row(order_id=key[0], create_ts=_ts(c),
+                    pay_ts=_ts(p) if p is not None else None, result_msg=msg)]
+
+    def on_event(self, key, st, row):
+        if st.get("done"):
+            return []
+        t = _us(row["ts"])
+        if row["is_pay"] and st.get("pay_us") is None:
+            st["pay_us"] = t
+            if st.get("create_us") is None:
+                st["payed_first"] = True
+        if row["is_create"] and st.get("create_us") is None:
+            st["create_us"] = t
+        return []

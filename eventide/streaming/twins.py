@@ -21,7 +21,8 @@ from eventide.operators.topn import top_n_per_window
 from eventide.operators.windows import words
 from eventide.plans import catalog as C
 from eventide.session import scratch_path
-from eventide.streaming.processors import ClickGate, FollowedBy, OrderOutcome, StrictPairs
+from eventide.streaming.processors import (ArrivalPairs, BurstRule, ClickGate, DeadlineDecision,
+                                          FollowedBy, OrderOutcome, StrictPairs)
 from eventide.streaming.runner import (event_time, flush_sentinel, live, prepare_streaming,
                                        run_and_read, table_stream)
 
@@ -159,6 +160,58 @@ def s_login_fail_strict(spark, sf):
     return _tws(rows, ["user_id"], proc, schema, "login_fail_strict", ("first_ts", "last_ts"))
 
 
+_WARNING = T.StructType([T.StructField("user_id", T.LongType()),
+                         T.StructField("first_ts", T.TimestampType()),
+                         T.StructField("last_ts", T.TimestampType()),
+                         T.StructField("msg", T.StringType())])
+
+
+def s_login_fail_arrival(spark, sf):
+    """SEQ-1b: arrival order, processed as rows come (no watermark wait)."""
+    ev = _events(spark, sf)
+    fail = F.col("event_type") == C.ERROR
+    rows = ev.select("user_id", "ts", F.col("event_id").alias("seq"), fail.alias("a"),
+                     fail.alias("b"))
+    stream = rows.groupBy("user_id").transformWithState(
+        ArrivalPairs(duration_micros(C.LOGIN_WITHIN), seq_ops.MSG_ARRIVAL), _WARNING,
+        "Append", "None")
+    return run_and_read(stream, "login_fail_arrival", schema=T.StructType(
+        [T.StructField(f.name, NTZ if f.name.endswith("_ts") else f.dataType)
+         for f in _WARNING.fields]),
+        transform=lambda b: _ntz(b.filter(F.col("user_id").isNotNull()), "first_ts", "last_ts"))
+
+
+def s_login_fail_burst(spark, sf):
+    ev = _events(spark, sf)
+    rows = ev.select("user_id", "ts", F.col("event_id").alias("seq"),
+                     (F.col("event_type") == C.ERROR).alias("fail"))
+    proc = BurstRule(duration_micros(C.BURST_WITHIN), 2, seq_ops.MSG_BURST_PREFIX,
+                     seq_ops.MSG_BURST_SUFFIX)
+    return _tws(rows, ["user_id"], proc, _WARNING, "login_fail_burst", ("first_ts", "last_ts"))
+
+
+def s_order_deadline(spark, sf):
+    prepare_streaming(spark)
+    ev = event_time(flush_sentinel(spark, _order_log_stream(spark, sf), "ts"), "ts", "0 seconds")
+    schema = T.StructType([T.StructField("order_id", T.LongType()),
+                           T.StructField("create_ts", T.TimestampType()),
+                           T.StructField("pay_ts", T.TimestampType()),
+                           T.StructField("result_msg", T.StringType())])
+    proc = DeadlineDecision(duration_micros(C.OUTCOME_WITHIN), order_ops.MSG_DEADLINE_PAYED,
+                            order_ops.MSG_ORDER_TIMEOUT)
+    return _tws(ev, ["order_id"], proc, schema, "order_deadline", ("create_ts", "pay_ts"))
+
+
+def _order_log_stream(spark, sf):
+    creates = table_stream(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_orderdate").alias("ts"),
+        F.lit(True).alias("is_create"), F.lit(False).alias("is_pay"))
+    pays = table_stream(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"), F.col("l_shipdate").alias("ts"),
+        F.lit(False).alias("is_create"), F.lit(True).alias("is_pay"))
+    return creates.unionByName(pays)
+
+
 def s_ad_gate_daily(spark, sf):
     ev = _events(spark, sf, delay="5 seconds")
     rows = ev.select("user_id", F.col("event_type").alias("ad_id"), "ts",
@@ -194,13 +247,7 @@ def s_order_outcomes(spark, sf, grace: str = "36500 days"):
     is how long the other side may still arrive; the twin uses a grace past
     any gap in the data so that it equals the batch rule."""
     prepare_streaming(spark)
-    creates = table_stream(spark, sf, "orders").select(
-        F.col("o_orderkey").alias("order_id"), F.col("o_orderdate").alias("ts"),
-        F.lit(True).alias("is_create"), F.lit(False).alias("is_pay"))
-    pays = table_stream(spark, sf, "lineitem").select(
-        F.col("l_orderkey").alias("order_id"), F.col("l_shipdate").alias("ts"),
-        F.lit(False).alias("is_create"), F.lit(True).alias("is_pay"))
-    ev = event_time(flush_sentinel(spark, creates.unionByName(pays), "ts"), "ts", "0 seconds")
+    ev = event_time(flush_sentinel(spark, _order_log_stream(spark, sf), "ts"), "ts", "0 seconds")
     schema = T.StructType([T.StructField("order_id", T.LongType()),
                            T.StructField("create_ts", T.TimestampType()),
                            T.StructField("pay_ts", T.TimestampType()),
@@ -221,6 +268,9 @@ STREAM_QUERIES = {
     "running_count_stream": s_running_count,
     "tx_reconcile_stream": s_tx_reconcile,
     "login_fail_strict_stream": s_login_fail_strict,
+    "login_fail_arrival_stream": s_login_fail_arrival,
+    "login_fail_burst_stream": s_login_fail_burst,
+    "order_deadline_stream": s_order_deadline,
     "ad_gate_stream": s_ad_gate_daily,
     "order_timeout_stream": s_order_timeout,
     "order_outcomes_stream": s_order_outcomes,
@@ -234,6 +284,9 @@ STREAM_ORACLE_OF = {
     "running_count_stream": "running_count",
     "tx_reconcile_stream": "tx_reconcile",
     "login_fail_strict_stream": "login_fail_strict",
+    "login_fail_arrival_stream": "login_fail_arrival",
+    "login_fail_burst_stream": "login_fail_burst",
+    "order_deadline_stream": "order_deadline",
     "ad_gate_stream": "ad_gate_daily",
     "order_timeout_stream": "order_timeout_cep",
     "order_outcomes_stream": "order_outcomes",
