@@ -73,3 +73,18 @@ def test_running_word_count_uses_whole_texts(spark):
     df = spark.createDataFrame([(text,)], "text string")
     got = {r.word: r["count"] for r in running_count(words(df), "word").collect()}
     assert got == {"the": 100, "cat": 100, "hot": 50, "tail": 1}
+
+
+def test_pane_counts_equal_plain_sliding_windows(spark):
+    import random
+    from eventide.functions.time import event_window
+    rnd = random.Random(4)
+    df = spark.createDataFrame([(rnd.randint(1, 5), at(rnd.randint(0, 20000))) for _ in range(3000)],
+                               "k long, ts timestamp")
+    for keys in ([], ["k"]):
+        got = windowed_count(df, "ts", "1 hour", "5 minutes", keys=keys, with_start=True)
+        plain = (df.groupBy(event_window("ts", "1 hour", "5 minutes").alias("w"), *keys)
+                 .agg(F.count(F.lit(1)).alias("count"))
+                 .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                         *keys, "count"))
+        assert sorted(got.collect()) == sorted(plain.select(got.columns).collect())
