@@ -42,8 +42,9 @@ def _us(ts: datetime) -> int:
 
 class EventTimeReplay(StatefulProcessor):
     """Base class.  Subclasses define ``row_schema`` (buffered fields; must
-    contain ``ts``), ``state_schema`` and the hooks ``on_event`` and
-    ``on_deadline``; they keep deadlines in ``self.st['deadlines']``."""
+    contain ``ts``), ``state_schema`` (one value per key, handled as a dict)
+    and the hooks ``on_event`` / ``on_deadline`` / ``deadlines``.  A deadline
+    fires before any row with a time at or after it."""
 
     row_schema: T.StructType
     state_schema: T.StructType
