@@ -257,6 +257,11 @@ def q_report_text(spark, sf):
     return topn.ranked_report(ranked, "item_id", "item_count", HOT_N, style="items")
 
 
+def q_url_report_text(spark, sf):
+    ranked = q_url_rank_top5(spark, sf)
+    return topn.ranked_report(ranked, "url", "views", URL_N, rank_col="rank", style="urls")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hot_items_topn": q_hot_items_topn,
     "hot_items_sql": q_hot_items_sql,
@@ -286,6 +291,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "access_log_parse": q_access_log_parse,
     "csv_roundtrip": q_csv_roundtrip,
     "report_text": q_report_text,
+    "url_report_text": q_url_report_text,
 }
 
 
@@ -474,6 +480,17 @@ def _report_sql() -> str:
       FROM r GROUP BY window_end"""
 
 
+def _url_report_sql() -> str:
+    return f"""
+      WITH r AS ({_url_rank_sql(URL_N)})
+      SELECT window_end,
+             'time: ' || {_java_ts('window_end')} || chr(10) ||
+             string_agg('No' || rank || ':' || ' URL = ' || url || ' views = ' || views
+                        || chr(10), '' ORDER BY rank) ||
+             '{'*' * 30}' AS report
+      FROM r GROUP BY window_end"""
+
+
 def _oracles() -> dict[str, str]:
     pv_start = _tumble_start("ts", PV_SIZE)
     gk, gstart = _sliding("ts", GEO_SIZE, GEO_SLIDE)
@@ -552,6 +569,7 @@ def _oracles() -> dict[str, str]:
           SELECT user_id, event_id AS item_id, 1 AS category_id, event_type AS behavior,
                  date_trunc('second', ts) AS ts FROM events""",
         "report_text": _report_sql(),
+        "url_report_text": _url_report_sql(),
     }
 
 
