@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventide.functions.time import duration_micros, event_window
+from eventide.functions.time import duration_micros, epoch_millis_text, event_window
 from eventide.operators import gate as gate_ops
 from eventide.operators import orders as order_ops
 from eventide.operators import sequence as seq_ops
@@ -228,6 +228,36 @@ def s_ad_gate_daily(spark, sf):
     return out.filter(F.col("user_id").isNotNull())
 
 
+def s_ad_by_geo(spark, sf):
+    """GATE-1 then AGG-3, chained on one stream as in the reference: the
+    gate's passed rows keep their event time (``eventTimeColumnName``) so the
+    sliding-window count downstream gets a watermark."""
+    ev = _events(spark, sf, delay="5 seconds")
+    rows = ev.select("user_id", F.col("event_type").alias("ad_id"), "ts",
+                     F.col("event_id").alias("seq"))
+    schema = T.StructType([T.StructField("event_id", T.LongType()),
+                           T.StructField("user_id", T.LongType()),
+                           T.StructField("ad_id", T.StringType()),
+                           T.StructField("ts", T.TimestampType()),
+                           T.StructField("tag", T.StringType()),
+                           T.StructField("msg", T.StringType())])
+    gate = ClickGate(C.GATE_MAX, gate_ops.gate_message(C.GATE_MAX), None)
+    gated = rows.groupBy("user_id", "ad_id").transformWithState(
+        gate, schema, "Append", "EventTime", eventTimeColumnName="ts")
+    passed = gated.filter((F.col("tag") == "pass") & F.col("user_id").isNotNull())
+    counts = (passed.groupBy(event_window("ts", C.GEO_SIZE, C.GEO_SLIDE).alias("w"),
+                             F.col("ad_id").alias("province"))
+              .agg(F.count(F.lit(1)).alias("count"))
+              .select(F.col("w.end").alias("window_end"), "province", "count"))
+
+    def finish(batch: DataFrame) -> DataFrame:
+        return _ntz(batch, "window_end").select(
+            "window_end", epoch_millis_text("window_end").alias("window_end_ms"),
+            "province", "count")
+
+    return run_and_read(counts, "ad_by_geo", transform=finish)
+
+
 def s_order_timeout(spark, sf):
     ev = _events(spark, sf)
     rows = ev.select(F.col("user_id").alias("order_id"), "ts", F.col("event_id").alias("seq"),
@@ -272,6 +302,7 @@ STREAM_QUERIES = {
     "login_fail_burst_stream": s_login_fail_burst,
     "order_deadline_stream": s_order_deadline,
     "ad_gate_stream": s_ad_gate_daily,
+    "ad_by_geo_stream": s_ad_by_geo,
     "order_timeout_stream": s_order_timeout,
     "order_outcomes_stream": s_order_outcomes,
 }
@@ -288,6 +319,7 @@ STREAM_ORACLE_OF = {
     "login_fail_burst_stream": "login_fail_burst",
     "order_deadline_stream": "order_deadline",
     "ad_gate_stream": "ad_gate_daily",
+    "ad_by_geo_stream": "ad_by_geo",
     "order_timeout_stream": "order_timeout_cep",
     "order_outcomes_stream": "order_outcomes",
 }
