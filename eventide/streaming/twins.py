@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventide.functions.time import duration_micros, epoch_millis_text, event_window
+from eventide.functions.time import (duration_micros, epoch_millis_text, event_window,
+                                    format_java_ts)
 from eventide.operators import gate as gate_ops
 from eventide.operators import orders as order_ops
 from eventide.operators import sequence as seq_ops
@@ -82,6 +83,28 @@ def s_page_views(spark, sf):
     return run_and_read(pv, "page_views", transform=lambda b: _ntz(b, "window_start", "window_end"))
 
 
+def s_marketing_by_channel(spark, sf):
+    """AGG-5: per (channel, behaviour) sliding-window count; the reference
+    buffers whole windows, a streaming count keeps one number per group."""
+    ev = _events(spark, sf).filter(live(F.col("event_type") != C.SIGNUP))
+    ch = F.element_at(F.array(*[F.lit(c) for c in C.CHANNELS]),
+                      (F.col("user_id") % len(C.CHANNELS) + 1).cast("int"))
+    counts = (ev.groupBy(event_window("ts", C.MKT_SIZE, C.MKT_SLIDE).alias("w"),
+                         ch.alias("channel"), F.col("event_type").alias("behavior"))
+              .agg(F.count(F.lit(1)).alias("count"))
+              .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                      "channel", "behavior", "count"))
+
+    def finish(batch: DataFrame) -> DataFrame:
+        b = _ntz(batch.filter(F.col("behavior").isNotNull()), "window_start", "window_end")
+        return b.select("window_start", "window_end",
+                        format_java_ts("window_start").alias("window_start_text"),
+                        format_java_ts("window_end").alias("window_end_text"),
+                        "channel", "behavior", "count")
+
+    return run_and_read(counts, "marketing_by_channel", transform=finish)
+
+
 def s_uv_exact(spark, sf):
     """UV-1: countDistinct is not allowed on streams; two chained
     aggregates are: distinct (window, user), then count per window."""
@@ -295,6 +318,7 @@ STREAM_QUERIES = {
     "url_rank_stream": s_url_rank,
     "page_views_stream": s_page_views,
     "uv_exact_stream": s_uv_exact,
+    "marketing_by_channel_stream": s_marketing_by_channel,
     "running_count_stream": s_running_count,
     "tx_reconcile_stream": s_tx_reconcile,
     "login_fail_strict_stream": s_login_fail_strict,
@@ -312,6 +336,7 @@ STREAM_ORACLE_OF = {
     "url_rank_stream": "url_rank_top5",
     "page_views_stream": "page_views",
     "uv_exact_stream": "uv_exact",
+    "marketing_by_channel_stream": "marketing_by_channel",
     "running_count_stream": "running_count",
     "tx_reconcile_stream": "tx_reconcile",
     "login_fail_strict_stream": "login_fail_strict",
