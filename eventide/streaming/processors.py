@@ -245,62 +245,6 @@ class FollowedBy(EventTimeReplay):
         return out
 
 
-class OrderOutcome(EventTimeReplay):
-    """SEQ-3 with one outcome per order: decided as soon as both sides are
-    known; a lone create is reported at create + T + grace, a lone pay at
-    pay + grace (``grace`` = how long the other side may still arrive)."""
-
-    row_schema = T.StructType([T.StructField("ts", T.TimestampType()),
-                               T.StructField("is_create", T.BooleanType()),
-                               T.StructField("is_pay", T.BooleanType())])
-    state_schema = T.StructType([T.StructField("create_us", T.LongType()),
-                                 T.StructField("pay_us", T.LongType()),
-                                 T.StructField("done", T.BooleanType())])
-    order_fields = ("ts", "is_pay")
-
-    def __init__(self, within_us: int, grace_us: int, msgs: dict):
-        self.within_us, self.grace_us, self.msgs = within_us, grace_us, msgs
-
-    def initial_state(self):
-        return {"create_us": None, "pay_us": None, "done": False}
-
-    def deadlines(self, st):
-        if st.get("done"):
-            return []
-        c, p = st.get("create_us"), st.get("pay_us")
-        if c is not None and p is None:
-            return [c + self.within_us + self.grace_us]
-        if p is not None and c is None:
-            return [p + self.grace_us]
-        return []
-
-    def _emit(self, key, st, msg):
-        st["done"] = True
-        c, p = st.get("create_us"), st.get("pay_us")
-        return [Row(order_id=key[0], create_ts=_ts(c) if c is not None else None,
-                    pay_ts=_ts(p) if p is not None else None, result_msg=msg,
-                    tag="payed" if msg == self.msgs["payed"] else "timeout")]
-
-    def on_deadline(self, key, st, at_us):
-        if st.get("create_us") is not None:
-            return self._emit(key, st, self.msgs["order_timeout"])
-        return self._emit(key, st, self.msgs["pay_no_create"])
-
-    def on_event(self, key, st, row):
-        if st.get("done"):
-            return []
-        t = _us(row["ts"])
-        if row["is_create"] and st.get("create_us") is None:
-            st["create_us"] = t
-        if row["is_pay"] and st.get("pay_us") is None:
-            st["pay_us"] = t
-        c, p = st.get("create_us"), st.get("pay_us")
-        if c is not None and p is not None:
-            return self._emit(key, st, self.msgs["payed"] if p < c + self.within_us
-                              else self.msgs["payed_late"])
-        return []
-
-
 class RunningCountChangelog(StatefulProcessor):
     """CHG-1: running count per key as a changelog: for every key touched in
     a micro-batch, a retraction of the old count (op '-') and the new count
@@ -392,47 +336,102 @@ class BurstRule(EventTimeReplay):
         return []
 
 
-class DeadlineDecision(EventTimeReplay):
-    """SEQ-4: decide only at create + T: payed if a pay came at or after the
-    create and no later than the deadline (inclusive, so the deadline fires
-    1 us after it); a pay seen before the create means no deadline and no
-    output."""
+class _FirstTimesFold(StatefulProcessor):
+    """Base for order rules that depend only on the first create and first
+    pay time of a key.  Rows are folded into two minimums as they arrive
+    (O(1) state, no row buffer); the decision waits until the watermark has
+    passed the time it depends on, after which no on-time row can change the
+    minimums."""
 
-    row_schema = T.StructType([T.StructField("ts", T.TimestampType()),
-                               T.StructField("is_create", T.BooleanType()),
-                               T.StructField("is_pay", T.BooleanType())])
     state_schema = T.StructType([T.StructField("create_us", T.LongType()),
                                  T.StructField("pay_us", T.LongType()),
-                                 T.StructField("payed_first", T.BooleanType()),
                                  T.StructField("done", T.BooleanType())])
-    order_fields = ("ts", "is_pay")
 
-    def __init__(self, within_us: int, payed_msg: str, timeout_msg: str):
-        self.within_us, self.payed_msg, self.timeout_msg = within_us, payed_msg, timeout_msg
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("first", self.state_schema)
 
-    def initial_state(self):
-        return {"create_us": None, "pay_us": None, "payed_first": False, "done": False}
+    def due(self, c, p) -> int | None:
+        raise NotImplementedError
 
-    def deadlines(self, st):
-        if st.get("done") or st.get("payed_first") or st.get("create_us") is None:
-            return []
-        return [st["create_us"] + self.within_us + 1]
+    def decide(self, key, c, p) -> list:
+        raise NotImplementedError
 
-    def on_deadline(self, key, st, at_us):
-        st["done"] = True
-        c, p = st["create_us"], st.get("pay_us")
-        msg = self.payed_msg if p is not None else self.timeout_msg
-        return [Row(order_id=key[0], create_ts=_ts(c),
-                    pay_ts=_ts(p) if p is not None else None, result_msg=msg)]
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        c, p, done = self.state.get() or (None, None, False)
+        if done:
+            return iter([])
+        for r in rows:
+            t = _us(r["ts"])
+            if r["is_create"] and (c is None or t < c):
+                c = t
+            if r["is_pay"] and (p is None or t < p):
+                p = t
+        self.state.update((c, p, False))
+        d = self.due(c, p)
+        if d is not None:
+            self.handle.registerTimer(d // 1000 + (1 if d % 1000 else 0))
+        return iter([])
 
-    def on_event(self, key, st, row):
-        if st.get("done"):
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        v = self.state.get()
+        if v is None or v[2]:
+            return iter([])
+        c, p, _ = v
+        d = self.due(c, p)
+        if d is None:
+            return iter([])
+        if d > timerValues.getCurrentWatermarkInMs() * 1000:   # minimums moved the decision
+            self.handle.registerTimer(d // 1000 + (1 if d % 1000 else 0))
+            return iter([])
+        self.state.update((c, p, True))
+        return iter(self.decide(key, c, p))
+
+
+class OrderOutcome(_FirstTimesFold):
+    """SEQ-3 with one outcome per order.  Both sides known: decided once the
+    watermark passes the later of the two; a lone create is reported at
+    create + T + grace, a lone pay at pay + grace (``grace`` = how long the
+    other side may still arrive)."""
+
+    def __init__(self, within_us: int, grace_us: int, msgs: dict):
+        self.within_us, self.grace_us, self.msgs = within_us, grace_us, msgs
+
+    def due(self, c, p):
+        if c is not None and p is not None:
+            return max(c, p)
+        if c is not None:
+            return c + self.within_us + self.grace_us
+        if p is not None:
+            return p + self.grace_us
+        return None
+
+    def decide(self, key, c, p):
+        if c is not None and p is not None:
+            msg = self.msgs["payed"] if p < c + self.within_us else self.msgs["payed_late"]
+        elif c is not None:
+            msg = self.msgs["order_timeout"]
+        else:
+            msg = self.msgs["pay_no_create"]
+        return [Row(order_id=key[0], create_ts=_ts(c) if c is not None else None,
+                    pay_ts=_ts(p) if p is not None else None, result_msg=msg,
+                    tag="payed" if msg == self.msgs["payed"] else "timeout")]
+
+
+class DeadlineDecision(_FirstTimesFold):
+    """SEQ-4: decide only at create + T (inclusive, so just after it): payed
+    if a pay came at or after the create and by the deadline; a pay before
+    the create means no deadline and no output."""
+
+    def __init__(self, within_us: int, payed_msg: str, timeout_msg: str):
+        self.within_us, self.payed_msg, self.timeout_msg = within_us, payed_msg, timeout_msg
+
+    def due(self, c, p):
+        return None if c is None else c + self.within_us + 1
+
+    def decide(self, key, c, p):
+        if p is not None and p < c:
             return []
-        t = _us(row["ts"])
-        if row["is_pay"] and st.get("pay_us") is None:
-            st["pay_us"] = t
-            if st.get("create_us") is None:
-                st["payed_first"] = True
-        if row["is_create"] and st.get("create_us") is None:
-            st["create_us"] = t
-        return []
+        in_time = p is not None and p <= c + self.within_us
+        return [Row(order_id=key[0], create_ts=_ts(c), pay_ts=_ts(p) if in_time else None,
+                    result_msg=self.payed_msg if in_time else self.timeout_msg)]
