@@ -81,3 +81,23 @@ def test_row_number_within_splits_a_hot_group(spark):
         for i, r in enumerate(grp, 1):
             want[r[1]] = i
     assert got == want
+
+
+def test_hot_key_rows_spread_over_tasks(spark):
+    """One key with half of all rows: the per-row window stage must not put
+    that half into one task (a plain partitionBy(key) would)."""
+    rnd = random.Random(1)
+    t0 = datetime(2024, 1, 1)
+    rows = [(i, 0 if i % 2 == 0 else rnd.randint(1, 50),
+             t0 + timedelta(minutes=rnd.randint(0, 60 * 24 * 4)), True) for i in range(8000)]
+    df = spark.createDataFrame(rows, "seq long, k long, ts timestamp, flag boolean")
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")   # keep the 8 shuffle partitions
+    try:
+        lagged = keyed_lag(df, ["k"], ["ts", "seq"], time_bucket("ts", "1 hour"), ["seq"])
+        per_task = [r["count"] for r in
+                    lagged.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    assert sum(per_task) == 8000
+    assert max(per_task) < 0.25 * 8000      # the hot half is spread, not in one task
