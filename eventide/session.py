@@ -62,20 +62,24 @@ def checkpoint_root(spark: SparkSession) -> str:
 
     Order of preference: the cluster's ``spark.checkpoint.dir`` (the shared
     folder the platform names), then a checkpoint dir already set on the
-    SparkContext.  Only when neither is set (local runs and tests) do we
-    create one, and we register it so later calls agree.
+    SparkContext.  When neither is set we pick one and register it so later
+    calls agree: a temporary folder only in local mode (tests, laptops); on a
+    cluster a folder under the SQL warehouse, which lives on the shared
+    filesystem, never a machine-local path.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        # Unset: local runs and tests only.  (``spark.checkpoint.dir`` is a
-        # core conf and cannot be changed at runtime; the context's checkpoint
-        # dir can.)
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="eventide-ckpt-"))
-        root = spark.sparkContext.getCheckpointDir()
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+        # ``spark.checkpoint.dir`` is a core conf and cannot be changed at
+        # runtime; the context's checkpoint dir can.
+        if sc.master.startswith("local"):
+            sc.setCheckpointDir(tempfile.mkdtemp(prefix="eventide-ckpt-"))
+        else:
+            warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+            sc.setCheckpointDir(f"{warehouse}/_eventide_checkpoints")
+        root = sc.getCheckpointDir()
+    elif not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
