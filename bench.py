@@ -43,25 +43,31 @@ def main() -> None:
     # JVM / Python worker warm-up on the smallest input, not timed.
     QUERIES["page_views"](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
-    times, cold = {}, {}
+    times, cold, errors = {}, {}, {}
     for name, q in todo.items():
         best = None
-        for i in range(runs):
-            t0 = time.perf_counter()
-            q(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            dt = time.perf_counter() - t0
-            if i == 0:
-                cold[name] = round(dt, 3)
-            best = dt if best is None else min(best, dt)
-        times[name] = round(best, 3)
+        try:
+            for i in range(runs):
+                t0 = time.perf_counter()
+                q(spark, sf_dir).write.format("noop").mode("overwrite").save()
+                dt = time.perf_counter() - t0
+                if i == 0:
+                    cold[name] = round(dt, 3)
+                best = dt if best is None else min(best, dt)
+            times[name] = round(best, 3)
+        except Exception as e:  # noqa: BLE001 - reported in the JSON, exit code 1
+            errors[name] = f"{type(e).__name__}: {str(e)[:300]}"
 
     total = round(sum(times.values()), 3)
     sf = sf_dir.rstrip("/").rsplit("sf", 1)[-1]
     print(json.dumps({"metric": "total_query_seconds", "value": total, "unit": "sec",
                       "queries": times, "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
                       "cpus": int(cpus), "runs": runs,
-                      "cold_value": round(sum(cold.values()), 3), "cold_queries": cold}))
+                      "cold_value": round(sum(cold.values()), 3), "cold_queries": cold,
+                      **({"errors": errors} if errors else {})}))
     spark.stop()
+    if errors:
+        sys.exit(1)
 
 
 if __name__ == "__main__":
