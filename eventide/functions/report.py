@@ -17,6 +17,15 @@ from eventide.functions.time import format_java_ts
 ITEM_LABELS = {"header": "时间：", "key": " 商品ID=", "count": " 浏览量=", "footer": "=" * 34}
 URL_LABELS = {"header": "time: ", "key": " URL = ", "count": " views = ", "footer": "*" * 30}
 REPORT_STYLES = {"items": ITEM_LABELS, "urls": URL_LABELS}
+# Fixed value: the Bloom UV line is "window end: <ms>, uv_count: <n>".
+UV_LINE_PREFIX, UV_LINE_MIDDLE = "window end: ", ", uv_count: "
+
+
+def uv_line(window_end: Column, count: Column) -> Column:
+    """The per-window text line of the reference's Bloom UV job (SC-7)."""
+    from eventide.functions.time import epoch_millis_text
+    return F.concat(F.lit(UV_LINE_PREFIX), epoch_millis_text(window_end), F.lit(UV_LINE_MIDDLE),
+                    count.cast("string"))
 
 
 def report_text(header_ts: Column, entries: Column, key_field: str, count_field: str,

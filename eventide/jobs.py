@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventide import operators as ops
+from eventide.functions.report import uv_line
 from eventide.operators import sequence as seq_ops
 from eventide.session import scratch_path, use_runtime_conf
 from eventide.sources import read_access_log, read_access_log_stream, read_delimited
@@ -49,7 +50,8 @@ JOBS: dict[str, Job] = {
     "page_views": Job("user_behavior", lambda d: ops.page_views(d, size="10 seconds"),
                       stream_ok=True),
     "unique_visitors": Job("user_behavior", lambda d: ops.uv_exact(_pv(d), size="10 seconds")),
-    "uv_bloom": Job("user_behavior", lambda d: ops.uv_bloom(_pv(d), size="2 minutes")),
+    "uv_bloom": Job("user_behavior", lambda d: ops.uv_bloom(_pv(d), size="2 minutes").withColumn(
+        "line", uv_line(F.col("window_end"), F.col("uv_estimate")))),
     "uv_bitmap": Job("user_behavior", lambda d: ops.uv_bitmap(_pv(d), size="2 minutes")),
     "app_marketing": Job("marketing", lambda d: ops.marketing_total(d, "ts", "10 seconds",
                                                                     "5 seconds"), stream_ok=True),

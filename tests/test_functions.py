@@ -65,3 +65,10 @@ def test_report_text_layout(spark):
     urls = df.select(report_text(F.col("w"), F.col("e"), "k", "c", "urls")).first()[0]
     assert urls.startswith("time: 2017-11-26 10:00:00.0\nNo1: URL = 42 views = 7\n")
     assert urls.endswith("*" * 30)
+
+
+def test_uv_line(spark):
+    from eventide.functions.report import uv_line
+    df = spark.createDataFrame([(datetime(2017, 11, 26, 1, 2), 42)], "w timestamp, n long")
+    assert df.select(uv_line(F.col("w"), F.col("n"))).first()[0] == \
+        "window end: 1511658120000, uv_count: 42"
