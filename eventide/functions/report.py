@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from eventide.functions.time import format_java_ts
+from eventide.functions.time import epoch_millis_text, format_java_ts
 
 # Fixed values that must equal the reference's report text.
 #   item reports: header "时间：", entry " 商品ID=" / " 浏览量=", footer 34 "="
@@ -23,7 +23,6 @@ UV_LINE_PREFIX, UV_LINE_MIDDLE = "window end: ", ", uv_count: "
 
 def uv_line(window_end: Column, count: Column) -> Column:
     """The per-window text line of the reference's Bloom UV job (SC-7)."""
-    from eventide.functions.time import epoch_millis_text
     return F.concat(F.lit(UV_LINE_PREFIX), epoch_millis_text(window_end), F.lit(UV_LINE_MIDDLE),
                     count.cast("string"))
 
