@@ -25,6 +25,19 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+# Suggested settings for inputs of tens of TB and up (runtime-settable SQL
+# confs).  Partitions are sized by bytes, and AQE coalesces the many initial
+# shuffle partitions down to ~256 MB each and splits skewed join partitions.
+SCALE_CONF = {
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+}
+
 STATE_STORE_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 )
@@ -37,6 +50,19 @@ def use_runtime_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def apply_scale_conf(spark: SparkSession, overrides: dict | None = None) -> SparkSession:
+    """Apply ``SCALE_CONF`` (plus ``overrides``) to a cluster session, keeping
+    any value the platform already set explicitly."""
+    use_runtime_conf(spark)
+    explicit = dict(spark.sparkContext.getConf().getAll())
+    for key, value in SCALE_CONF.items():
+        if key not in explicit:
+            spark.conf.set(key, value)
+    for key, value in (overrides or {}).items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "eventide") -> SparkSession:
     """A local session for tests and benchmarks (UI off, UTC, AQE on)."""
