@@ -50,3 +50,24 @@ def test_streaming_page_views_job(spark, tmp_path):
     q.stop()
     got = {r.window_end: r.pv for r in spark.read.parquet(out).collect()}
     assert got[epoch(1511658010)] == 2 and got[epoch(1511658020)] == 1
+
+
+def test_marketing_jobs_batch_and_stream(spark, tmp_path):
+    base = 1511658000000
+    lines = [f"u{i},{b},{c},{base + ms}" for i, (b, c, ms) in enumerate(
+        [("Click", "wechat", 0), ("Install", "wechat", 3000), ("Uninstall", "twitter", 4000),
+         ("Download", "twitter", 7000), ("Click", "wechat", 12000)])]
+    path = _write(tmp_path / "mkt.csv", lines)
+    total = {r.window_end: r["count"] for r in run_job(spark, "app_marketing", path).collect()}
+    assert total[epoch(1511658005)] == 2 and total[epoch(1511658010)] == 3
+    by = run_job(spark, "app_marketing_by_channel", path)
+    assert by.filter("behavior = 'Uninstall'").count() == 0
+
+    folder = tmp_path / "mkt_stream"
+    folder.mkdir()
+    _write(folder / "a.csv", lines + [f"u9,Click,wechat,{base + 60000}"])   # moves the watermark
+    q = run_job(spark, "app_marketing", str(folder), str(tmp_path / "mkt_out"), stream=True)
+    q.processAllAvailable()
+    q.stop()
+    streamed = {r.window_end: r["count"] for r in spark.read.parquet(str(tmp_path / "mkt_out")).collect()}
+    assert streamed[epoch(1511658010)] == 3
