@@ -14,7 +14,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 from pathlib import Path
 
@@ -27,12 +26,12 @@ def main() -> None:
     with_streams = os.environ.get("BENCH_STREAMS", "0") == "1"
     runs = max(1, int(os.environ.get("BENCH_RUNS", "2")))
 
-    from eventide.session import local_session
+    from eventide.session import checkpoint_root, local_session
     from eventide.plans.catalog import QUERIES
     from eventide.streaming.twins import STREAM_QUERIES
 
     spark = local_session(cpus, shuffle_partitions=int(cpus) * 2, app_name="eventide-bench")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="eventide-bench-ckpt-"))
+    checkpoint_root(spark)   # the configured spark.checkpoint.dir; a temp folder only if unset
 
     todo = dict(QUERIES)
     if with_streams:

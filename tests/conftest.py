@@ -16,8 +16,10 @@ def spark():
     from eventide.session import local_session
 
     s = local_session(4, shuffle_partitions=8, app_name="eventide-tests")
-    # Tests own their checkpoint folder (unset on a laptop; a cluster names one).
-    s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="eventide-test-ckpt-"))
+    # Use the configured spark.checkpoint.dir; only where it is unset do the
+    # tests set their own folder.
+    if not s.conf.get("spark.checkpoint.dir", None):
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="eventide-test-ckpt-"))
     yield s
     s.stop()
 
