@@ -18,6 +18,8 @@ from eventide.functions.time import (duration_micros, epoch_millis_text, event_w
 from eventide.operators import gate as gate_ops
 from eventide.operators import orders as order_ops
 from eventide.operators import sequence as seq_ops
+from eventide.functions.hashing import poly_hash
+from eventide.operators.distinct import bitmap_counts
 from eventide.operators.topn import top_n_per_window
 from eventide.operators.windows import words
 from eventide.plans import catalog as C
@@ -116,6 +118,23 @@ def s_uv_exact(spark, sf):
     return run_and_read(uv, "uv_exact", transform=lambda b: _ntz(b, "window_end"))
 
 
+def s_uv_bitmap(spark, sf):
+    """UV-3 on a stream: per (window, 32k-bit bucket) bitmaps are a watermark
+    aggregate (mergeable state, a few KB per bucket); each closed window's
+    set bits are summed in the micro-batch that emits it."""
+    ev = _events(spark, sf).filter(live(F.col("event_type") == C.PV))
+    h = poly_hash(F.col("user_id"))
+    bitmaps = (ev.groupBy(event_window("ts", C.UV_SIZE).alias("w"),
+                          F.bitmap_bucket_number(h).alias("bucket"))
+               .agg(F.bitmap_construct_agg(F.bitmap_bit_position(h)).alias("bitmap"))
+               .select(F.col("w.end").alias("window_end"), "bucket", "bitmap"))
+
+    def count(batch: DataFrame) -> DataFrame:
+        return _ntz(bitmap_counts(batch.filter(F.col("bucket").isNotNull())), "window_end")
+
+    return run_and_read(bitmaps, "uv_bitmap", transform=count)
+
+
 def s_running_count(spark, sf):
     """AGG-8: running word count, complete mode; the last snapshot is the
     result (``eventide.streaming.changelog`` gives the -/+ rows)."""
@@ -318,6 +337,7 @@ STREAM_QUERIES = {
     "url_rank_stream": s_url_rank,
     "page_views_stream": s_page_views,
     "uv_exact_stream": s_uv_exact,
+    "uv_bitmap_stream": s_uv_bitmap,
     "marketing_by_channel_stream": s_marketing_by_channel,
     "running_count_stream": s_running_count,
     "tx_reconcile_stream": s_tx_reconcile,
@@ -336,6 +356,7 @@ STREAM_ORACLE_OF = {
     "url_rank_stream": "url_rank_top5",
     "page_views_stream": "page_views",
     "uv_exact_stream": "uv_exact",
+    "uv_bitmap_stream": "uv_bitmap",
     "marketing_by_channel_stream": "marketing_by_channel",
     "running_count_stream": "running_count",
     "tx_reconcile_stream": "tx_reconcile",
