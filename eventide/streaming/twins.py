@@ -18,7 +18,8 @@ from eventide.functions.time import (duration_micros, epoch_millis_text, event_w
 from eventide.operators import gate as gate_ops
 from eventide.operators import orders as order_ops
 from eventide.operators import sequence as seq_ops
-from eventide.functions.hashing import poly_hash
+from eventide.functions.hashing import bloom_estimate, bloom_positions, bloom_size, poly_hash
+from eventide.operators import distinct as distinct_ops
 from eventide.operators.distinct import bitmap_counts
 from eventide.operators.topn import top_n_per_window
 from eventide.operators.windows import words
@@ -135,6 +136,28 @@ def s_uv_bitmap(spark, sf):
     return run_and_read(bitmaps, "uv_bitmap", transform=count)
 
 
+def s_uv_bloom(spark, sf):
+    """UV-2 on a stream: the Bloom filter of each window is the same OR-merged
+    bitmaps, kept as watermark-aggregate state; the estimate is computed per
+    closed window."""
+    m, k = bloom_size(distinct_ops.BLOOM_EXPECTED_INSERTIONS, distinct_ops.BLOOM_FPP)
+    ev = _events(spark, sf).filter(live(F.col("event_type") == C.PV))
+    positions = F.transform(bloom_positions(F.col("user_id"), m, k), lambda x: x + 1)
+    filters = (ev.select("ts", F.explode(positions).alias("p"))
+               .groupBy(event_window("ts", C.UV_SIZE).alias("w"),
+                        F.bitmap_bucket_number("p").alias("bucket"))
+               .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits"))
+               .select(F.col("w.end").alias("window_end"), "bucket", "bits"))
+
+    def estimate(batch: DataFrame) -> DataFrame:
+        bits = (batch.filter(F.col("bucket").isNotNull()).groupBy("window_end")
+                .agg(F.sum(F.bitmap_count("bits")).cast("long").alias("bits_set")))
+        return _ntz(bits.select("window_end", bloom_estimate(F.col("bits_set"), m, k)
+                                .alias("uv_estimate")), "window_end")
+
+    return run_and_read(filters, "uv_bloom", transform=estimate)
+
+
 def s_running_count(spark, sf):
     """AGG-8: running word count, complete mode; the last snapshot is the
     result (``eventide.streaming.changelog`` gives the -/+ rows)."""
@@ -338,6 +361,7 @@ STREAM_QUERIES = {
     "page_views_stream": s_page_views,
     "uv_exact_stream": s_uv_exact,
     "uv_bitmap_stream": s_uv_bitmap,
+    "uv_bloom_stream": s_uv_bloom,
     "marketing_by_channel_stream": s_marketing_by_channel,
     "running_count_stream": s_running_count,
     "tx_reconcile_stream": s_tx_reconcile,
@@ -357,6 +381,7 @@ STREAM_ORACLE_OF = {
     "page_views_stream": "page_views",
     "uv_exact_stream": "uv_exact",
     "uv_bitmap_stream": "uv_bitmap",
+    "uv_bloom_stream": "uv_bloom",
     "marketing_by_channel_stream": "marketing_by_channel",
     "running_count_stream": "running_count",
     "tx_reconcile_stream": "tx_reconcile",
