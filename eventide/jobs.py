@@ -88,6 +88,31 @@ JOBS: dict[str, Job] = {
 }
 
 
+# Streaming top-N jobs: (filter, key, size, slide, n, count column, rank column).
+STREAM_TOPN = {
+    "hot_items": (lambda: F.col("behavior") == "pv", "item_id", "1 hour", "5 minutes", 3,
+                  "item_count", "row_num"),
+    "url_ranking": (None, "url", "10 seconds", "5 seconds", 5, "views", "rank"),
+}
+
+
+def _stream_top_n(spark: SparkSession, name: str, df: DataFrame, output_path: str):
+    """Counts close with their window (append), so each micro-batch holds
+    whole windows and is ranked with the batch top-N; one folder per epoch."""
+    cond, key, size, slide, n, count_col, rank_col = STREAM_TOPN[name]
+    if cond is not None:
+        df = df.filter(cond())
+    counts = ops.windowed_count(df, "ts", size, slide, keys=[key], count_col=count_col)
+
+    def rank(batch: DataFrame, epoch: int) -> None:
+        top = ops.top_n_per_window(batch, n, key_cols=[key], count_col=count_col,
+                                   rank_col=rank_col)
+        top.write.mode("overwrite").parquet(f"{output_path}/epoch={epoch:09d}")
+
+    return (counts.writeStream.outputMode("append").foreachBatch(rank)
+            .option("checkpointLocation", scratch_path(spark, f"job-{name}")).start())
+
+
 def _read(spark: SparkSession, kind: str, path: str, stream: bool) -> DataFrame:
     if kind == "access_log":
         return read_access_log_stream(spark, path) if stream else read_access_log(spark, path)
@@ -104,6 +129,12 @@ def run_job(spark: SparkSession, name: str, input_path: str, output_path: str |
     StreamingQuery (``stream=True``)."""
     use_runtime_conf(spark)
     job = JOBS[name]
+    if stream and name in STREAM_TOPN:
+        if output_path is None:
+            raise ValueError("streaming top-N jobs need an output path")
+        df = _read(spark, job.kind, input_path, stream=True)
+        delay = "65 seconds" if name == "url_ranking" else watermark
+        return _stream_top_n(spark, name, df.withWatermark("ts", delay), output_path)
     if stream and not job.stream_ok:
         raise ValueError(f"{name} has no streaming form in the job runner; "
                          "see eventide.streaming for the stateful processors")

@@ -3,6 +3,8 @@
 import os
 import time
 
+from pyspark.sql import functions as F
+
 from eventide.jobs import JOBS, main, run_job
 from tests.fixtures import LOGIN_KEY_LINES, ORDER_KEY_LINES, TX_PAIRS, epoch
 
@@ -71,3 +73,20 @@ def test_marketing_jobs_batch_and_stream(spark, tmp_path):
     q.stop()
     streamed = {r.window_end: r["count"] for r in spark.read.parquet(str(tmp_path / "mkt_out")).collect()}
     assert streamed[epoch(1511658010)] == 3
+
+
+def test_streaming_hot_items_job(spark, tmp_path):
+    folder = tmp_path / "ub_stream"
+    folder.mkdir()
+    rows = [(1, 10, 0), (2, 10, 60), (3, 11, 120), (4, 12, 200), (5, 10, 250)]
+    _write(folder / "a.csv", [f"{u},{i},1,pv,{1511658000 + s}" for u, i, s in rows])
+    _write(folder / "b.csv", ["9,99,1,pv,1511670000"])        # closes the early windows
+    os.utime(folder / "b.csv", (time.time() + 5, time.time() + 5))
+    out = str(tmp_path / "hot_out")
+    q = run_job(spark, "hot_items", str(folder), out, stream=True)
+    q.processAllAvailable()
+    q.stop()
+    got = spark.read.parquet(out)
+    first = got.filter("row_num = 1").orderBy("window_end").first()
+    assert (first.item_id, first.item_count) == (10, 3)
+    assert got.agg(F.max("row_num")).first()[0] <= 3
