@@ -23,6 +23,10 @@ def _same(a, b):
     ("ad_gate_stream", "ad_gate_daily"),
     ("order_timeout_stream", "order_timeout_cep"),
     ("tx_reconcile_stream", "tx_reconcile"),
+    ("uv_bitmap_stream", "uv_bitmap"),
+    ("uv_bloom_stream", "uv_bloom"),
+    ("login_fail_burst_stream", "login_fail_burst"),
+    ("ad_by_geo_stream", "ad_by_geo"),
 ])
 def test_stream_equals_batch(spark, name, batch):
     import __spark_entry__ as entry
