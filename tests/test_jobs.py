@@ -90,3 +90,21 @@ def test_streaming_hot_items_job(spark, tmp_path):
     first = got.filter("row_num = 1").orderBy("window_end").first()
     assert (first.item_id, first.item_count) == (10, 3)
     assert got.agg(F.max("row_num")).first()[0] <= 3
+
+
+def test_streaming_url_ranking_job(spark, tmp_path):
+    folder = tmp_path / "logs"
+    folder.mkdir()
+    lines = [f"10.0.0.{i} - - 17/05/2015:10:05:{s:02d} +0000 GET {u}" for i, (s, u) in
+             enumerate([(1, "/a"), (2, "/a"), (3, "/b"), (6, "/a"), (7, "/c")])]
+    _write(folder / "a.log", lines)
+    _write(folder / "b.log", ["10.0.0.9 - - 17/05/2015:10:20:00 +0000 GET /z"])   # closes windows
+    os.utime(folder / "b.log", (time.time() + 5, time.time() + 5))
+    out = str(tmp_path / "url_out")
+    q = run_job(spark, "url_ranking", str(folder), out, stream=True)
+    q.processAllAvailable()
+    q.stop()
+    got = spark.read.parquet(out)
+    top = got.filter("rank = 1").orderBy("window_end").first()
+    assert (top.url, top.views) == ("/a", 2)
+    assert got.agg(F.max("rank")).first()[0] <= 5
