@@ -17,6 +17,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_flow_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventide.llm.mixing import mix
+
+    return mix(_table(spark, sf_dir, "documents"), [5.0, 2.0, 1.0], max_repeat=3, carry=["doc_id"]).select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
 def op6_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from eventide.llm.sharding import feistel_shards
 
@@ -26,13 +33,14 @@ def op6_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from eventide.llm.reputation import judge_urls
+    from eventide.llm.reputation import judge_urls, junk_outcome
 
-    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
-    return judge_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", junk_outcome(F.col("html")).alias("bad"))
+    return judge_urls(pages, URL_RULES, outcome=F.col("bad")).select("page_id", "host", "path", "rule", "verdict")
 
 
 QUERIES = {
+    "op5_flow_mix": op5_flow_mix,
     "op6_feistel_shards": op6_feistel_shards,
     "op7_host_reputation": op7_host_reputation,
 }

@@ -37,6 +37,17 @@ def last_labels(host: Column, n: int) -> Column:
     return F.substring_index(host, ".", -n)
 
 
+def junk_outcome(html: Column, min_words: int = 20) -> Column:
+    """A page's outcome from its visible text: 1 if a fifth of the words carry
+    runs of marks, or if fewer than three in ten are different; 0 if not; null
+    (no outcome) for a null page or one of fewer than ``min_words`` words."""
+    text = F.regexp_replace(html, r"(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->|<[^>]*>", " ")
+    words = F.filter(F.split(text, r"\s+"), lambda w: w != "")
+    marked = F.filter(words, lambda w: w.rlike(r"!!|[*$%#&]{3}"))
+    bad = (F.size(marked) * 5 > F.size(words)) | (F.size(F.array_distinct(words)) * 10 < F.size(words) * 3)
+    return F.when(F.size(words) >= min_words, bad.cast("int"))
+
+
 def host_rules(hosts: DataFrame, rules: DataFrame) -> DataFrame:
     """Per host the rules of the host itself and of its parents, longest
     first.  Equally long rules: the one with the longer host, then by name."""
@@ -90,13 +101,14 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
 def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], outcome: Column | None = None,
                url_col: str = "url", limit: float = 0.5, z: float = 1.645) -> DataFrame:
     """All columns of ``pages`` with host, path, rule, verdict, bad_rate and
-    bad_rate_low.  ``outcome``: a column over ``pages`` and ``rule_verdict``
-    that labels a page bad (1), good (0) or not at all (null); by default the
-    pages that rules decide are the labelled ones."""
+    bad_rate_low.  ``outcome``: a column over ``pages`` that labels a page bad
+    (1), good (0) or not at all (null); without one, the pages that rules
+    decide are the labelled ones."""
     spark = pages.sparkSession
     host, path = split_url(F.col(url_col).cast("string"))
     keep = [c for c in pages.columns if c not in OWN]
-    base = pages.select(*keep, host.alias("host"), path.alias("path"))
+    label = F.lit(None) if outcome is None else outcome
+    base = pages.select(*keep, host.alias("host"), path.alias("path"), label.cast("int").alias("__bad"))
     table = spark.createDataFrame(
         [(h.lower(), p, h + p, v) for h, p, v in rules] or [("\0", "", "", "allow")],
         "rule_host string, rule_path string, rule string, rule_verdict string")
@@ -107,9 +119,9 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], outcome: Col
              .withColumn("__won", F.when(F.col("rules").isNotNull(), won)).drop("rules")
              .withColumn("rule", F.col("__won.rule"))
              .withColumn("rule_verdict", F.col("__won.rule_verdict")).drop("__won"))
-    bad = outcome if outcome is not None else (
+    bad = F.col("__bad") if outcome is not None else (
         F.when(F.col("rule_verdict") == "block", 1).when(F.col("rule_verdict") == "allow", 0))
-    sfx, dom, hst, top = host_reputation(ruled.select("host", bad.cast("int").alias("bad")))
+    sfx, dom, hst, top = host_reputation(ruled.select("host", bad.alias("bad")))
     rated = (hosts.withColumn("domain", last_labels(F.col("host"), 2))
              .withColumn("suffix", last_labels(F.col("host"), 1))
              .join(hst, "host", "left").join(dom, "domain", "left").join(sfx, "suffix", "left")
