@@ -17,6 +17,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_prefix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventide.llm.decontaminate import decontaminate
+
+    found = decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"),
+                          window=10, containment=1.0, columns=["doc_id"])
+    hit = F.aggregate("hit_spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    ids = F.array_join(F.array_sort(F.transform("item_ids", lambda i: i.cast("string"))), ",")
+    return found.select("doc_id", "n_words", hit.alias("n_hit"),
+                        F.size("item_ids").cast("long").alias("n_items"),
+                        F.sha2(ids, 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
+
+
 def op5_flow_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from eventide.llm.mixing import mix
 
@@ -40,6 +52,7 @@ def op7_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_prefix_decontamination": op1_prefix_decontamination,
     "op5_flow_mix": op5_flow_mix,
     "op6_feistel_shards": op6_feistel_shards,
     "op7_host_reputation": op7_host_reputation,
