@@ -29,6 +29,16 @@ def op1_prefix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(ids, 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
 
 
+def op2_pfor_tokens(spark: SparkSession, sf_dir: str, vocabulary: str | None = None) -> DataFrame:
+    from eventide.llm.tokens import token_shards
+
+    if vocabulary is None:
+        import public_tokenizers
+
+        vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return token_shards(_table(spark, sf_dir, "documents"), vocabulary, end_id=2)
+
+
 def op5_flow_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from eventide.llm.mixing import mix
 
@@ -51,10 +61,22 @@ def op7_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages, URL_RULES, outcome=F.col("bad")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op9_instance_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventide.llm.toxicity import held_out, score_documents, train
+
+    docs = _table(spark, sf_dir, "documents")
+    model = train(docs, _table(spark, sf_dir, "labels"))
+    return score_documents(docs, model, columns=["doc_id"]).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op1_prefix_decontamination": op1_prefix_decontamination,
+    "op2_pfor_tokens": op2_pfor_tokens,
     "op5_flow_mix": op5_flow_mix,
     "op6_feistel_shards": op6_feistel_shards,
     "op7_host_reputation": op7_host_reputation,
+    "op9_instance_toxicity": op9_instance_toxicity,
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -60,6 +60,20 @@ def prefix_hash(data: np.ndarray, fold: np.ndarray = EXACT) -> tuple[np.ndarray,
     return h, iv
 
 
+def range_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray, fold: np.ndarray) -> np.ndarray:
+    """64-bit hash of data[start:end] for ranges in ascending order."""
+    out = np.empty(len(start), np.uint64)
+    i = 0
+    while i < len(start):
+        a = start[i]
+        j = max(i + 1, int(np.searchsorted(start, a + SLICE_BYTES)))
+        h, iv = prefix_hash(data[a:end[j - 1]], fold)
+        b, e = start[i:j] - a, end[i:j] - a
+        out[i:j] = mix64((h[e] - h[b]) * iv[b] + (e - b).astype(np.uint64))
+        i = j
+    return out
+
+
 class Slice(NamedTuple):
     """Consecutive rows of a batch, their bytes joined by line ends."""
 
@@ -106,15 +120,7 @@ def words(s: Slice, word_class: np.ndarray, fold: np.ndarray = FOLD_AZ) -> Words
     """All maximal runs of ``word_class`` bytes, with a 64-bit hash each."""
     edge = np.diff(np.concatenate(([0], word_class[s.data].view(np.int8), [0])))
     start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    out = np.empty(len(start), np.uint64)
-    i = 0
-    while i < len(start):
-        a = start[i]
-        j = max(i + 1, int(np.searchsorted(start, a + SLICE_BYTES)))
-        h, iv = prefix_hash(s.data[a:end[j - 1]], fold)
-        b, e = start[i:j] - a, end[i:j] - a
-        out[i:j] = mix64((h[e] - h[b]) * iv[b] + (e - b).astype(np.uint64))
-        i = j
+    out = range_hash(s.data, start, end, fold)
     first = np.searchsorted(start, np.concatenate((s.begin, [len(s.data) + 1])))
     row = np.repeat(np.arange(s.rows), np.diff(first))
     return Words(start, end, row, out, first)
