@@ -61,6 +61,12 @@ def op7_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(pages, URL_RULES, outcome=F.col("bad")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_oph_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventide.llm.minhash import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
 def op9_instance_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from eventide.llm.toxicity import held_out, score_documents, train
 
@@ -77,6 +83,7 @@ QUERIES = {
     "op5_flow_mix": op5_flow_mix,
     "op6_feistel_shards": op6_feistel_shards,
     "op7_host_reputation": op7_host_reputation,
+    "op8_oph_near_duplicates": op8_oph_near_duplicates,
     "op9_instance_toxicity": op9_instance_toxicity,
 }
 ORACLE_SQL: dict[str, str] = {}
