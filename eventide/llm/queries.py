@@ -39,6 +39,15 @@ def op2_pfor_tokens(spark: SparkSession, sf_dir: str, vocabulary: str | None = N
     return token_shards(_table(spark, sf_dir, "documents"), vocabulary, end_id=2)
 
 
+def op3_bucket_pointer_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventide.llm.substrings import drop_repeats
+
+    cut = drop_repeats(_table(spark, sf_dir, "documents"), length=100, columns=["doc_id"])
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return cut.select("doc_id", (F.octet_length("kept") + gone).alias("n_bytes"), gone.alias("n_removed"),
+                      F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_flow_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from eventide.llm.mixing import mix
 
@@ -80,6 +89,7 @@ def op9_instance_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_prefix_decontamination": op1_prefix_decontamination,
     "op2_pfor_tokens": op2_pfor_tokens,
+    "op3_bucket_pointer_repeats": op3_bucket_pointer_repeats,
     "op5_flow_mix": op5_flow_mix,
     "op6_feistel_shards": op6_feistel_shards,
     "op7_host_reputation": op7_host_reputation,
