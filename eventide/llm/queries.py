@@ -48,6 +48,12 @@ def op3_bucket_pointer_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventide.llm.neighbours import near_vectors
+
+    return near_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 def op5_flow_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from eventide.llm.mixing import mix
 
@@ -90,6 +96,7 @@ QUERIES = {
     "op1_prefix_decontamination": op1_prefix_decontamination,
     "op2_pfor_tokens": op2_pfor_tokens,
     "op3_bucket_pointer_repeats": op3_bucket_pointer_repeats,
+    "op4_nn_descent": op4_nn_descent,
     "op5_flow_mix": op5_flow_mix,
     "op6_feistel_shards": op6_feistel_shards,
     "op7_host_reputation": op7_host_reputation,
