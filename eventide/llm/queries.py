@@ -92,6 +92,13 @@ def op9_instance_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op10_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventide.llm.backoff import backoff_scores
+
+    return backoff_scores(_table(spark, sf_dir, "documents"), order=3).select(
+        "doc_id", "n_words", F.round("score", 3).alias("score"), "backoffs")
+
+
 QUERIES = {
     "op1_prefix_decontamination": op1_prefix_decontamination,
     "op2_pfor_tokens": op2_pfor_tokens,
@@ -102,5 +109,6 @@ QUERIES = {
     "op7_host_reputation": op7_host_reputation,
     "op8_oph_near_duplicates": op8_oph_near_duplicates,
     "op9_instance_toxicity": op9_instance_toxicity,
+    "op10_backoff_scores": op10_backoff_scores,
 }
 ORACLE_SQL: dict[str, str] = {}
