@@ -8,23 +8,52 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 DOCUMENT_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def _document_columns(docs: DataFrame) -> list[str]:
+    return [c for c in DOCUMENT_COLUMNS if c in docs.columns]
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Documents that score below 0.5, by a model of the labelled ones."""
+    from eventide.llm.toxicity import score_documents, train
+
+    cols = _document_columns(docs)
+    model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return score_documents(docs, model, columns=cols).filter(F.col("score") < 0.5).select(*cols)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """One document of each group of near copies: five-word shingles, 0.8.
+    Documents without an id or without words are nobody's copies and stay; of
+    rows that repeat an id one stays."""
+    from eventide.llm.minhash import near_duplicates
+
+    cols = _document_columns(docs)
+    gone = (near_duplicates(docs, shingle=5, percent=80).filter(~F.col("kept"))
+            .select("doc_id").distinct())
+    left = docs.join(gone, "doc_id", "left_anti").select(*cols)
+    several = (docs.filter(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+               .filter("n > 1").limit(1).count())
+    if several:
+        left = left.filter(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]).unionByName(
+            left.filter(F.col("doc_id").isNull()))
+    return left
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Documents without any ten-word window of a benchmark item."""
+    from eventide.llm.decontaminate import decontaminate
+
+    cols = _document_columns(docs)
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate(docs, items, window=10, containment=1.0, columns=cols) \
+        .filter(F.size("hit_spans") == 0).select(*cols)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: not at all, or up to 3 times."""
     from eventide.llm.mixing import mix
 
-    cols = [c for c in DOCUMENT_COLUMNS if c in docs.columns]
+    cols = _document_columns(docs)
     return (mix(docs, [5.0, 2.0, 1.0], max_repeat=3, carry=cols)
             .filter(F.col("repeats") > 0)
             .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int"))))
