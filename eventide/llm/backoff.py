@@ -143,7 +143,7 @@ def backoff_scores(docs: DataFrame, order: int = 3, cutoff: int = 2, alpha: floa
         value += steps * math.log10(alpha)
         return pa.table({"doc_id": left.column("doc_id"),
                          "n_words": np.bincount(row, minlength=n_docs),
-                         "part_score": np.bincount(row, weights=value, minlength=n_docs),
+                         "part_score": np.bincount(row, weights=value, minlength=n_docs).astype(np.float64),
                          "n_single": np.bincount(row, weights=open_, minlength=n_docs).astype(np.int64),
                          "backoffs": np.bincount(row, weights=steps, minlength=n_docs).astype(np.int64)})
 
