@@ -64,5 +64,11 @@ def bloom_positions(c, m: int, k: int) -> Column:
 
 
 def bloom_estimate(bits_set: Column, m: int, k: int) -> Column:
-    """Cardinality from the number X of set bits: n = -(m/k) ln(1 - X/m)."""
+    """Cardinality from the number X of set bits: n = -(m/k) ln(1 - X/m).  A
+    filter without a free bit says nothing; that raises an error."""
+    full = F.raise_error(F.lit(f"Bloom filter of {m} bits is full: size it for more visitors"))
+    return F.when(bits_set >= m, full.cast("long")).otherwise(_bloom_inverse(bits_set, m, k))
+
+
+def _bloom_inverse(bits_set: Column, m: int, k: int) -> Column:
     return F.round(-(F.lit(m) / k) * F.log(1 - bits_set / F.lit(m))).cast("long")

@@ -97,4 +97,5 @@ def hop(ts, slide, size) -> Column:           # SC-10: HOP(ts, slide, size)
 
 def time_bucket(ts, width) -> Column:
     """Integer bucket number of an event time (floor(epoch / width))."""
-    return F.floor(epoch_micros(ts) / F.lit(duration_micros(width))).cast("long")
+    t, w = epoch_micros(ts), F.lit(duration_micros(width)).cast("long")
+    return F.call_function("div", t - F.pmod(t, w), w)

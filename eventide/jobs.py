@@ -4,8 +4,9 @@
 
 Each job reads the positional text files of its domain, runs the operator
 with the windows / limits the reference uses, and writes Parquet (batch) or
-a streaming Parquet sink (``--stream``; checkpoints go under the session's
-checkpoint folder).  Output columns carry a ``tag`` where the reference has
+a streaming Parquet sink (``--stream``).  A stream's checkpoint is fixed for its
+output (``--checkpoint``, or ``_checkpoint`` inside the output folder), so a job
+that is started again goes on where it stopped.  Output columns carry a ``tag`` where the reference has
 side outputs.
 """
 
@@ -15,13 +16,14 @@ import argparse
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventide import operators as ops
 from eventide.functions.report import uv_line
 from eventide.operators import sequence as seq_ops
-from eventide.session import scratch_path, use_runtime_conf
+from eventide.session import use_runtime_conf
+from eventide.streaming.runner import prepare_streaming
 from eventide.sources import read_access_log, read_access_log_stream, read_delimited
 from eventide.sources.delimited import read_delimited_stream
 
@@ -96,7 +98,7 @@ STREAM_TOPN = {
 }
 
 
-def _stream_top_n(spark: SparkSession, name: str, df: DataFrame, output_path: str):
+def _stream_top_n(name: str, df: DataFrame, output_path: str, checkpoint: str):
     """Counts close with their window (append), so each micro-batch holds
     whole windows and is ranked with the batch top-N; one folder per epoch."""
     cond, key, size, slide, n, count_col, rank_col = STREAM_TOPN[name]
@@ -110,7 +112,7 @@ def _stream_top_n(spark: SparkSession, name: str, df: DataFrame, output_path: st
         top.write.mode("overwrite").parquet(f"{output_path}/epoch={epoch:09d}")
 
     return (counts.writeStream.outputMode("append").foreachBatch(rank)
-            .option("checkpointLocation", scratch_path(spark, f"job-{name}")).start())
+            .option("checkpointLocation", checkpoint).start())
 
 
 def _read(spark: SparkSession, kind: str, path: str, stream: bool) -> DataFrame:
@@ -119,22 +121,45 @@ def _read(spark: SparkSession, kind: str, path: str, stream: bool) -> DataFrame:
     if kind == "lines":
         return spark.readStream.text(path) if stream else spark.read.text(path)
     df = read_delimited_stream(spark, path, kind) if stream else read_delimited(spark, path, kind)
-    # Arrival order for the arrival-order rules: the position in the input.
-    return df if stream else df.withColumn("__seq", F.monotonically_increasing_id())
+    return df if stream else _with_arrival(df)
+
+
+def _with_arrival(df: DataFrame) -> DataFrame:
+    """``__seq``: arrival order.  Files arrive in the order of their
+    modification time, then name; lines in that of their place in the file.
+    Only the blocks that Spark reads are ranked (one row each); inside a block
+    rows are numbered as they are read.  How blocks are packed into tasks has
+    no part in it."""
+    d = df.select("*", F.col("_metadata.file_modification_time").alias("__time"),
+                  F.col("_metadata.file_path").alias("__file"),
+                  F.col("_metadata.file_block_start").alias("__start"))
+    blocks = d.select("__time", "__file", "__start").distinct().withColumn(
+        "__rank", F.row_number().over(Window.orderBy("__time", "__file", "__start")))
+    in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return (d.withColumn("__row", in_task).join(blocks.drop("__time"), ["__file", "__start"])
+            .withColumn("__seq", F.shiftleft(F.col("__rank").cast("long"), 33) + F.col("__row"))
+            .drop("__time", "__file", "__start", "__rank", "__row"))
 
 
 def run_job(spark: SparkSession, name: str, input_path: str, output_path: str | None = None,
-            input2: str | None = None, stream: bool = False, watermark: str = "5 seconds"):
+            input2: str | None = None, stream: bool = False, watermark: str = "5 seconds",
+            checkpoint: str | None = None):
     """Run one job; returns the result DataFrame (batch) or the started
-    StreamingQuery (``stream=True``)."""
+    StreamingQuery (``stream=True``, which needs an output path).
+
+    The word count is an append-only log of refinements in ``epoch=`` folders;
+    ``eventide.streaming.upsert.latest`` gives the counts as of any time."""
     use_runtime_conf(spark)
     job = JOBS[name]
-    if stream and name in STREAM_TOPN:
+    if stream:
         if output_path is None:
-            raise ValueError("streaming top-N jobs need an output path")
+            raise ValueError("a stream needs an output path")
+        prepare_streaming(spark)
+        checkpoint = checkpoint or f"{output_path.rstrip('/')}/_checkpoint"
+    if stream and name in STREAM_TOPN:
         df = _read(spark, job.kind, input_path, stream=True)
         delay = "65 seconds" if name == "url_ranking" else watermark
-        return _stream_top_n(spark, name, df.withWatermark("ts", delay), output_path)
+        return _stream_top_n(name, df.withWatermark("ts", delay), output_path, checkpoint)
     if stream and not job.stream_ok:
         raise ValueError(f"{name} has no streaming form in the job runner; "
                          "see eventide.streaming for the stateful processors")
@@ -148,15 +173,12 @@ def run_job(spark: SparkSession, name: str, input_path: str, output_path: str |
     if "__seq" in out.columns:
         out = out.drop("__seq")
     if stream:
-        mode = "complete" if name == "word_count" else "append"
-        fmt = "memory" if output_path is None else "parquet"
-        w = out.writeStream.outputMode(mode).option(
-            "checkpointLocation", scratch_path(spark, f"job-{name}"))
-        if mode == "complete":
-            return w.format("console").start() if output_path is None else \
-                w.foreachBatch(lambda b, e: b.write.mode("overwrite").parquet(output_path)).start()
-        return w.format(fmt).option("path", output_path).start() if output_path else \
-            w.format("memory").queryName(name).start()
+        if name == "word_count":
+            return (out.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+                    .foreachBatch(lambda b, e: b.write.mode("overwrite").parquet(f"{output_path}/epoch={e:09d}"))
+                    .start())
+        return (out.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+                .format("parquet").option("path", output_path).start())
     if output_path:
         out.write.mode("overwrite").parquet(output_path)
     return out
@@ -170,9 +192,10 @@ def main(argv=None) -> None:
     ap.add_argument("--output", required=True)
     ap.add_argument("--stream", action="store_true")
     ap.add_argument("--watermark", default="5 seconds")
+    ap.add_argument("--checkpoint", help="of the stream; default: _checkpoint in the output folder")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"eventide-{a.job}").getOrCreate()
-    res = run_job(spark, a.job, a.input, a.output, a.input2, a.stream, a.watermark)
+    res = run_job(spark, a.job, a.input, a.output, a.input2, a.stream, a.watermark, a.checkpoint)
     if a.stream:
         res.awaitTermination()
 

@@ -11,7 +11,12 @@
   filter sized for (expected insertions, fpp), kept as Spark bitmaps and
   merged by OR; per window the number X of set bits gives
   n = -(m/k) ln(1 - X/m).  Order-free and mergeable, unlike the reference's
-  sequential "count if not seen" (which can only undercount).
+  sequential "count if not seen" (which can only undercount).  Unless a size
+  is given, the filter is sized for the fullest window of the data; a window
+  that fills every bit of its filter is an error, not a missing number.
+
+Bitmaps are built from distinct (window, hash) pairs: the shuffle then carries
+16 bytes per visitor, not a 4 KB bitmap per visitor and task.
 * ``uv_hll``     -- ``approx_count_distinct`` (HyperLogLog++), the cheapest.
 """
 
@@ -24,7 +29,7 @@ from eventide.functions.hashing import (bloom_estimate, bloom_positions, bloom_s
                                         poly_hash)
 from eventide.functions.time import event_window
 
-# Fixed values of the reference's Bloom sizing: 10,000 expected insertions, 1 % fpp.
+# The reference's preset, 10,000 expected insertions, 1 % fpp.
 BLOOM_EXPECTED_INSERTIONS = 10_000
 BLOOM_FPP = 0.01
 
@@ -44,12 +49,14 @@ def uv_hll(df: DataFrame, user_col: str = "user_id", ts: str = "ts", size: str =
 
 
 def window_bitmaps(df: DataFrame, user_col: str = "user_id", ts: str = "ts",
-                   size: str = "1 hour", slide: str | None = None) -> DataFrame:
-    """(window_end, bucket, bitmap) rows: the mergeable UV-3 state."""
-    h = poly_hash(F.col(user_col))
+                   size: str = "1 hour", slide: str | None = None, bits: int = 29) -> DataFrame:
+    """(window_end, bucket, bitmap) rows: the mergeable UV-3 state.  ``bits``
+    of the hash are used; with n visitors in a window about n / 2^(bits + 1) of
+    them are lost to collisions."""
     return (df.select(event_window(ts, size, slide).end.alias("window_end"),
-                      F.bitmap_bucket_number(h).alias("bucket"),
-                      F.bitmap_bit_position(h).alias("pos"))
+                      poly_hash(F.col(user_col), bits=bits).alias("h")).distinct()
+            .select("window_end", F.bitmap_bucket_number("h").alias("bucket"),
+                    F.bitmap_bit_position("h").alias("pos"))
             .groupBy("window_end", "bucket")
             .agg(F.bitmap_construct_agg("pos").alias("bitmap")))
 
@@ -68,20 +75,26 @@ def bitmap_counts(bitmaps: DataFrame, out_col: str = "uv_count") -> DataFrame:
 
 
 def uv_bitmap(df: DataFrame, user_col: str = "user_id", ts: str = "ts", size: str = "1 hour",
-              slide: str | None = None, out_col: str = "uv_count") -> DataFrame:
-    return bitmap_counts(window_bitmaps(df, user_col, ts, size, slide), out_col)
+              slide: str | None = None, out_col: str = "uv_count", bits: int = 29) -> DataFrame:
+    return bitmap_counts(window_bitmaps(df, user_col, ts, size, slide, bits), out_col)
 
 
 def uv_bloom(df: DataFrame, user_col: str = "user_id", ts: str = "ts", size: str = "1 hour",
-             slide: str | None = None, expected_insertions: int = BLOOM_EXPECTED_INSERTIONS,
+             slide: str | None = None, expected_insertions: int | None = None,
              fpp: float = BLOOM_FPP, out_col: str = "uv_estimate") -> DataFrame:
+    """``expected_insertions=None`` sizes the filter for the fullest window
+    (one small aggregate over the data beforehand)."""
+    seen = df.select(event_window(ts, size, slide).end.alias("window_end"), F.col(user_col).alias("u"))
+    if expected_insertions is None:
+        fullest = (seen.groupBy("window_end").agg(F.approx_count_distinct("u").alias("n"))
+                   .agg(F.max("n")).first()[0])
+        expected_insertions = max(BLOOM_EXPECTED_INSERTIONS, int(1.2 * (fullest or 0)))
     m, k = bloom_size(expected_insertions, fpp)
     # The filter itself is a set of Spark bitmaps (positions + 1 keep values
-    # positive): each task ORs its bits into ceil(m / 32768) bitmaps per
-    # window, so the shuffle carries a few KB per window and task.
-    positions = F.transform(bloom_positions(F.col(user_col), m, k), lambda x: x + 1)
-    filters = (df.select(event_window(ts, size, slide).end.alias("window_end"),
-                         F.explode(positions).alias("p"))
+    # positive).  Visitors are made distinct first, so k rows are exploded per
+    # visitor, not per event.
+    positions = F.transform(bloom_positions(F.col("u"), m, k), lambda x: x + 1)
+    filters = (seen.distinct().select("window_end", F.explode(positions).alias("p"))
                .groupBy("window_end", F.bitmap_bucket_number("p").alias("bucket"))
                .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")))
     bits = filters.groupBy("window_end").agg(

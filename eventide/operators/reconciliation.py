@@ -25,7 +25,9 @@ TAG_UNMATCHED_RECEIPT = "unmatched_receipt"
 
 
 def _bucket(ts: str, width_us: int) -> Column:
-    return F.floor(epoch_micros(ts) / F.lit(width_us)).cast("long")
+    # whole numbers throughout (a double is exact to 2^53 only)
+    t, width = epoch_micros(ts), F.lit(width_us).cast("long")
+    return F.call_function("div", t - F.pmod(t, width), width)
 
 
 def with_tx(events: DataFrame, tx_col: str = "tx_id") -> DataFrame:

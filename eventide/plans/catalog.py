@@ -19,7 +19,8 @@ from eventide.functions.hashing import (BITMAP_HASH_SEED, MERSENNE_31, bloom_coe
                                         bloom_size)
 from eventide.functions.time import duration_micros
 from eventide.operators import distinct, gate, orders, reconciliation, sequence, topn, windows
-from eventide.session import use_runtime_conf
+from eventide.session import scratch_path, use_runtime_conf
+from eventide.sinks.bitmap_store import BitmapStore
 from eventide.sources.access_log import format_access_log, parse_access_log
 from eventide.sources.delimited import format_lines, parse_lines
 
@@ -112,15 +113,25 @@ def q_uv_bitmap_incremental(spark, sf):
     cut = F.lit(INCREMENTAL_CUT).cast("timestamp_ntz")
     run1 = distinct.window_bitmaps(v.filter(F.col("ts") < cut), size=UV_SIZE)
     run2 = distinct.window_bitmaps(v.filter(F.col("ts") >= cut), size=UV_SIZE)
-    return distinct.bitmap_counts(distinct.merge_bitmaps(run1, run2))
+    store = BitmapStore(spark, scratch_path(spark, "uv-store"))
+    store.merge(run1)
+    store.merge(run2)
+    return store.counts()
 
 
 def q_uv_bloom(spark, sf):
-    return distinct.uv_bloom(_views(spark, sf), size=UV_SIZE)
+    return distinct.uv_bloom(_views(spark, sf), size=UV_SIZE,
+                             expected_insertions=distinct.BLOOM_EXPECTED_INSERTIONS)
 
 
 def q_uv_hll(spark, sf):
-    return distinct.uv_hll(_views(spark, sf), size=UV_SIZE)
+    """The sketch is Spark's own, so the estimate is held against the exact
+    count: within five standard errors or not."""
+    v, rsd = _views(spark, sf), 0.01
+    both = distinct.uv_hll(v, size=UV_SIZE, rsd=rsd).join(distinct.uv_exact(v, size=UV_SIZE), "window_end")
+    return both.select("window_end", "uv_count", (
+        F.abs(F.col("uv_estimate") - F.col("uv_count")) <= F.greatest(F.lit(1.0), 5 * rsd * F.col("uv_count")))
+        .alias("within_tolerance"))
 
 
 def _marketing(spark, sf):
@@ -509,6 +520,7 @@ def _oracles() -> dict[str, str]:
         "uv_bitmap": _uv_day(f"count(DISTINCT {_poly('user_id', 29)}) AS uv_count"),
         "uv_bitmap_incremental": _uv_day(f"count(DISTINCT {_poly('user_id', 29)}) AS uv_count"),
         "uv_bloom": _bloom_sql(),
+        "uv_hll": _uv_day("count(DISTINCT user_id) AS uv_count, true AS within_tolerance"),
         "marketing_total": _marketing_sql(False),
         "marketing_by_channel": _marketing_sql(True),
         "ad_gate_pass": f"""SELECT event_id, user_id, ad_id, ts FROM {_GATE_RN.format(part='')}

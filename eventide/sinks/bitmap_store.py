@@ -2,10 +2,11 @@
 
 The reference keeps one bitmap per window end in an external key-value
 store and a running count next to it, updated per element.  Here the store
-is a Parquet table ``(window_end, bucket, bitmap)`` in versioned folders:
-``merge`` ORs a new run's bitmaps into the latest version and writes the
-next version (a job never overwrites what it reads, and a failed merge
-leaves the previous version intact).  Counts are derived, not stored.
+is a Parquet table ``(window_end, bucket, bitmap)`` in folders
+``day=<day of the window end>/v=<version>``: ``merge`` ORs a new run's bitmaps
+into the days that it touches, writes them as the next version and then drops
+versions before the last one.  A job never overwrites what it reads, and a
+failed merge leaves the days as they were.  Counts are derived, not stored.
 """
 
 from __future__ import annotations
@@ -17,37 +18,60 @@ from pyspark.sql import functions as F
 
 from eventide.operators.distinct import bitmap_counts, merge_bitmaps
 
+_DAY = re.compile(r"^day=(.+)$")
 _VERSION = re.compile(r"^v=(\d+)$")
+_NO_TIME = "none"
+
+
+def _by_day(bitmaps: DataFrame) -> DataFrame:
+    return bitmaps.withColumn("day", F.coalesce(F.date_format("window_end", "yyyy-MM-dd"), F.lit(_NO_TIME)))
 
 
 class BitmapStore:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
+        self._hpath = spark._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._hpath(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _names(self, folder: str, pattern: re.Pattern) -> list[str]:
+        at = self._hpath(folder)
+        if not self._fs.exists(at):
+            return []
+        found = (pattern.match(s.getPath().getName()) for s in self._fs.listStatus(at))
+        return [m[1] for m in found if m]
 
-    def _versions(self) -> list[int]:
-        try:
-            df = self.spark.read.parquet(self.path)
-        except Exception as e:  # noqa: BLE001
-            if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-                return []
-            raise
-        return sorted(r[0] for r in df.select("v").distinct().collect())
+    def _versions(self) -> dict[str, list[int]]:
+        """Versions of each day, from the folder names alone."""
+        return {d: sorted(int(v) for v in self._names(f"{self.path}/day={d}", _VERSION))
+                for d in self._names(self.path, _DAY)}
+
+    def _read(self, versions: dict[str, list[int]]) -> DataFrame | None:
+        paths = [f"{self.path}/day={d}/v={v[-1]}" for d, v in sorted(versions.items()) if v]
+        return self.spark.read.parquet(*paths) if paths else None
 
     def latest(self) -> DataFrame | None:
-        versions = self._versions()
-        if not versions:
-            return None
-        return self.spark.read.parquet(f"{self.path}/v={versions[-1]}")
+        return self._read(self._versions())
 
     def merge(self, bitmaps: DataFrame) -> int:
         """OR ``bitmaps`` (from ``window_bitmaps``) into the store; returns
         the new version number."""
-        versions = self._versions()
-        current = self.latest()
-        merged = bitmaps if current is None else merge_bitmaps(current, bitmaps)
-        nxt = (versions[-1] + 1) if versions else 0
-        merged.write.mode("errorifexists").parquet(f"{self.path}/v={nxt}")
-        return nxt
+        have = self._versions()
+        version = max((v[-1] for v in have.values() if v), default=-1) + 1
+        stage = f"{self.path}/_stage-{version}"
+        _by_day(bitmaps).write.mode("overwrite").partitionBy("day").parquet(f"{stage}/new")
+        touched = self._names(f"{stage}/new", _DAY)
+        old = self._read({d: have[d] for d in touched if have.get(d)})
+        if touched:
+            new = self.spark.read.parquet(*[f"{stage}/new/day={d}" for d in touched])
+            merged = merge_bitmaps(new) if old is None else merge_bitmaps(old, new)
+            _by_day(merged).write.mode("overwrite").partitionBy("day").parquet(f"{stage}/merged")
+        for d in self._names(f"{stage}/merged", _DAY):
+            self._fs.mkdirs(self._hpath(f"{self.path}/day={d}"))
+            self._fs.rename(self._hpath(f"{stage}/merged/day={d}"), self._hpath(f"{self.path}/day={d}/v={version}"))
+            for old_version in have.get(d, [])[:-1]:
+                self._fs.delete(self._hpath(f"{self.path}/day={d}/v={old_version}"), True)
+        self._fs.delete(self._hpath(stage), True)
+        return version
 
     def counts(self, out_col: str = "uv_count") -> DataFrame:
         current = self.latest()

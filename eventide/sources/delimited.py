@@ -18,6 +18,8 @@ _CSV_OPTIONS = {
     "header": "false",
     "ignoreLeadingWhiteSpace": "true",
     "ignoreTrailingWhiteSpace": "true",
+    "quote": "",                     # a quote is an ordinary character
+    "enforceSchema": "true",
 }
 
 

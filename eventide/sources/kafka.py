@@ -16,18 +16,17 @@ from eventide.sources.delimited import format_lines, parse_lines
 
 def kafka_source_options(bootstrap_servers: str, topic: str, group_id: str | None = None,
                          starting_offsets: str = "latest", **extra) -> dict:
-    """Options equivalent to the reference consumer (string values, latest)."""
+    """String values, from the latest offset.  ``extra`` are options of Spark's
+    reader (``failOnDataLoss``, ``maxOffsetsPerTrigger``, ...) and go through
+    unchanged; consumer properties are given with their ``kafka.`` prefix."""
     opts = {
         "kafka.bootstrap.servers": bootstrap_servers,
         "subscribe": topic,
         "startingOffsets": starting_offsets,
-        "failOnDataLoss": "false",
     }
     if group_id:
         opts["kafka.group.id"] = group_id
-    opts.update({k if k.startswith("kafka.") or k in ("subscribe", "assign", "subscribePattern",
-                                                      "maxOffsetsPerTrigger", "minPartitions")
-                 else f"kafka.{k}": str(v) for k, v in extra.items()})
+    opts.update({k: str(v) for k, v in extra.items()})
     return opts
 
 
@@ -46,11 +45,11 @@ def kafka_values(raw: DataFrame) -> DataFrame:
 
 def read_kafka_records(spark: SparkSession, kind: str, bootstrap_servers: str, topic: str,
                        group_id: str | None = None, starting_offsets: str = "latest",
-                       mode: str = "FAILFAST") -> DataFrame:
+                       mode: str = "FAILFAST", **options) -> DataFrame:
     """Streaming Kafka topic of delimited lines -> typed records."""
     raw = (spark.readStream.format("kafka")
            .options(**kafka_source_options(bootstrap_servers, topic, group_id,
-                                           starting_offsets)).load())
+                                           starting_offsets, **options)).load())
     return parse_lines(kafka_values(raw), kind, mode=mode)
 
 

@@ -40,6 +40,12 @@ def _us(ts: datetime) -> int:
     return (ts - _EPOCH) // timedelta(microseconds=1)
 
 
+def timer_ms(us: int) -> int:
+    """Timer for a time in microseconds: timers and watermarks are whole
+    milliseconds, so the first one that is not before the time."""
+    return -(-us // 1000)
+
+
 class EventTimeReplay(StatefulProcessor):
     """Base class.  Subclasses define ``row_schema`` (buffered fields; must
     contain ``ts``), ``state_schema`` (one value per key, handled as a dict)
@@ -73,6 +79,11 @@ class EventTimeReplay(StatefulProcessor):
         """Pending deadlines (micros) of the state machine."""
         return []
 
+    def idle(self, st: dict) -> bool:
+        """Whether the state says no more than no state at all; it is then
+        removed, so keys that have come to rest cost nothing."""
+        return st == {**{n: None for n in self.state_schema.names}, **self.initial_state()}
+
     # -- machinery ------------------------------------------------------
     # Every state call is a round trip to the state server, so each callback
     # reads the value state once and registers one release timer (the
@@ -89,7 +100,7 @@ class EventTimeReplay(StatefulProcessor):
         if new:
             i = self.row_schema.names.index("ts")
             self.buf.appendList(new)
-            self.handle.registerTimer(min(to_ms(t[i]) for t in new))
+            self.handle.registerTimer(min(timer_ms(_us(t[i])) for t in new))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
@@ -101,22 +112,26 @@ class EventTimeReplay(StatefulProcessor):
         ready = sorted((r for r in rows if _us(r["ts"]) <= wm_us),
                        key=lambda r: tuple(r[f] for f in self.order_fields))
         st = self._load()
+        rest = [r for r in rows if _us(r["ts"]) > wm_us]
+        if rest:        # whatever fired, the earliest row left has a timer
+            self.handle.registerTimer(min(timer_ms(_us(r["ts"])) for r in rest))
         if not ready and not any(d <= wm_us for d in self.deadlines(st)):
             return iter([])
-        rest = [r for r in rows if _us(r["ts"]) > wm_us]
         if ready:
             self.buf.clear()
             if rest:
                 self.buf.appendList([tuple(r) for r in rest])
-                self.handle.registerTimer(min(to_ms(r["ts"]) for r in rest))
         out: list = []
         for r in ready:
             out += self._fire(key, st, _us(r["ts"]))   # deadlines at or before the row
             out += self.on_event(key, st, r)
         out += self._fire(key, st, wm_us)
         for d in self.deadlines(st):
-            self.handle.registerTimer(d // 1000 + (1 if d % 1000 else 0))
-        self._save(st)
+            self.handle.registerTimer(timer_ms(d))
+        if self.idle(st):
+            self.state.clear()
+        else:
+            self._save(st)
         return iter(out)
 
     def close(self) -> None:
@@ -149,6 +164,16 @@ class StrictPairs(EventTimeReplay):
     def __init__(self, within_us: int, msg: str):
         self.within_us, self.msg = within_us, msg
 
+    def deadlines(self, st):       # past it, the open A can't be matched any more
+        return [st["last_us"] + self.within_us] if st.get("last_a") else []
+
+    def on_deadline(self, key, st, at_us):
+        st.update(last_us=None, last_a=None)
+        return []
+
+    def idle(self, st):
+        return not st.get("last_a")
+
     def on_event(self, key, st, row):
         t = _us(row["ts"])
         out = []
@@ -287,7 +312,10 @@ class ArrivalPairs(StatefulProcessor):
                 out.append(Row(user_id=key[0], first_ts=_ts(last_us), last_ts=r["ts"],
                                msg=self.msg))
             last_us, last_a = t, bool(r["a"])
-        self.state.update((last_us, last_a))
+        if last_a:
+            self.state.update((last_us, last_a))
+        else:               # only an open A matters to the next row
+            self.state.clear()
         return iter(out)
 
 
@@ -341,11 +369,15 @@ class _FirstTimesFold(StatefulProcessor):
     pay time of a key.  Rows are folded into two minimums as they arrive
     (O(1) state, no row buffer); the decision waits until the watermark has
     passed the time it depends on, after which no on-time row can change the
-    minimums."""
+    minimums.  A decided key, or one that nothing is due for, is remembered for
+    ``keep_us`` more event time, so that its later rows are not taken for a new
+    order; then its state is removed."""
 
     state_schema = T.StructType([T.StructField("create_us", T.LongType()),
                                  T.StructField("pay_us", T.LongType()),
-                                 T.StructField("done", T.BooleanType())])
+                                 T.StructField("done", T.BooleanType()),
+                                 T.StructField("until_us", T.LongType())])
+    keep_us: int = 0
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -358,7 +390,7 @@ class _FirstTimesFold(StatefulProcessor):
         raise NotImplementedError
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        c, p, done = self.state.get() or (None, None, False)
+        c, p, done, until = self.state.get() or (None, None, False, None)
         if done:
             return iter([])
         for r in rows:
@@ -367,25 +399,32 @@ class _FirstTimesFold(StatefulProcessor):
                 c = t
             if r["is_pay"] and (p is None or t < p):
                 p = t
-        self.state.update((c, p, False))
+        if c is None and p is None:
+            return iter([])
         d = self.due(c, p)
-        if d is not None:
-            self.handle.registerTimer(d // 1000 + (1 if d % 1000 else 0))
+        until = max(x for x in (c, p, d) if x is not None) + self.keep_us
+        self.state.update((c, p, False, until))
+        self.handle.registerTimer(timer_ms(until if d is None else d))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         v = self.state.get()
-        if v is None or v[2]:
-            return iter([])
-        c, p, _ = v
-        d = self.due(c, p)
-        if d is None:
-            return iter([])
-        if d > timerValues.getCurrentWatermarkInMs() * 1000:   # minimums moved the decision
-            self.handle.registerTimer(d // 1000 + (1 if d % 1000 else 0))
+        if v is None:
             return iter([])
-        self.state.update((c, p, True))
-        return iter(self.decide(key, c, p))
+        c, p, done, until = v
+        wm_us = timerValues.getCurrentWatermarkInMs() * 1000
+        d = None if done else self.due(c, p)
+        out: list = []
+        if d is not None and d <= wm_us:
+            out, done, d = self.decide(key, c, p), True, None
+            self.state.update((c, p, True, until))
+        if d is not None:                       # minimums moved the decision
+            self.handle.registerTimer(timer_ms(d))
+        elif until <= wm_us:
+            self.state.clear()
+        else:
+            self.handle.registerTimer(timer_ms(until))
+        return iter(out)
 
 
 class OrderOutcome(_FirstTimesFold):
@@ -396,6 +435,7 @@ class OrderOutcome(_FirstTimesFold):
 
     def __init__(self, within_us: int, grace_us: int, msgs: dict):
         self.within_us, self.grace_us, self.msgs = within_us, grace_us, msgs
+        self.keep_us = grace_us
 
     def due(self, c, p):
         if c is not None and p is not None:
@@ -423,8 +463,9 @@ class DeadlineDecision(_FirstTimesFold):
     if a pay came at or after the create and by the deadline; a pay before
     the create means no deadline and no output."""
 
-    def __init__(self, within_us: int, payed_msg: str, timeout_msg: str):
+    def __init__(self, within_us: int, payed_msg: str, timeout_msg: str, keep_us: int | None = None):
         self.within_us, self.payed_msg, self.timeout_msg = within_us, payed_msg, timeout_msg
+        self.keep_us = within_us if keep_us is None else keep_us
 
     def due(self, c, p):
         return None if c is None else c + self.within_us + 1

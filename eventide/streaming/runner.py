@@ -5,9 +5,10 @@ is replayed after a failure replaces its own output (idempotent), and all
 checkpoints and outputs live under the shared checkpoint folder.
 
 End of input (STR-14): a bounded source never moves the watermark past its
-last windows and timers.  ``flush_sentinel`` adds a second file stream with
-one far-future row, so the next (no-data) micro-batch closes everything; the
-sentinel's key columns are NULL and it is filtered from the results.
+last windows and timers.  ``replay_stream`` puts one far-future row behind the
+last rows of a table, so the next (no-data) micro-batch closes everything.  The
+sentinel is known by its time alone (``before_flush``): rows with NULL keys are
+ordinary rows.
 """
 
 from __future__ import annotations
@@ -41,15 +42,46 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(pattern)
 
 
-def flush_sentinel(spark: SparkSession, stream: DataFrame, ts: str) -> DataFrame:
-    """``stream`` plus one row with all-NULL columns and ``ts`` far in the
-    future, read from its own file stream."""
-    schema = stream.schema
-    folder = scratch_path(spark, "sentinel")
-    row = [SENTINEL_TS if f.name == ts else None for f in schema.fields]
-    nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
-    spark.createDataFrame([row], nullable).write.parquet(folder)
-    return stream.unionByName(spark.readStream.schema(nullable).parquet(folder))
+def time_bounds(df: DataFrame, ts: str, slices: int) -> list:
+    """Times that cut ``df`` into ``slices`` parts of about equal size."""
+    at = F.unix_micros(F.col(ts).cast("timestamp"))
+    share = [k / slices for k in range(1, slices)]
+    got = df.agg(F.percentile_approx(at, share)).first()[0] or []
+    return sorted(set(got))
+
+
+def replay_stream(df: DataFrame, ts: str, slices: int = 4, slice_rows: int = 2_000_000,
+                  bounds: list | None = None) -> DataFrame:
+    """Stream a table in event-time order over several micro-batches.
+
+    The table is written slice by slice (at least ``slices``, and one per
+    ``slice_rows`` rows; rows without a time come first) and read back one file
+    per trigger, so state and timers are carried from batch to batch as on a
+    live stream.  The last file is the flush sentinel: all columns NULL, ``ts``
+    far in the future.  Streams that are united need the same ``bounds``."""
+    spark = df.sparkSession
+    folder = scratch_path(spark, "replay")
+    if bounds is None:
+        bounds = time_bounds(df, ts, max(slices, -(-df.count() // slice_rows)))
+    at = F.unix_micros(F.col(ts).cast("timestamp"))
+    edges = [None, *bounds, None]
+    nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
+    for lo, hi in zip(edges, edges[1:]):
+        part = df
+        if lo is not None:
+            part = part.filter(at >= lo)
+        if hi is not None:
+            part = part.filter((at < hi) | at.isNull()) if lo is None else part.filter(at < hi)
+        part.coalesce(1).write.mode("append").parquet(folder)
+    row = [SENTINEL_TS if f.name == ts else None for f in df.schema.fields]
+    spark.createDataFrame([row], nullable).coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(nullable).option("maxFilesPerTrigger", "1").parquet(folder)
+
+
+def before_flush(batch: DataFrame, *ts_cols: str) -> DataFrame:
+    """Results without those of the flush sentinel."""
+    at = F.coalesce(*[F.col(c).cast("timestamp") for c in ts_cols])
+    return batch.filter(at.isNull() | (at < F.lit(SENTINEL_TS).cast("timestamp")))
 
 
 def live(cond, ts: str = "ts"):

@@ -24,19 +24,20 @@ from eventide.operators.distinct import bitmap_counts
 from eventide.operators.topn import top_n_per_window
 from eventide.operators.windows import words
 from eventide.plans import catalog as C
-from eventide.session import scratch_path
 from eventide.streaming.processors import (ArrivalPairs, BurstRule, ClickGate, DeadlineDecision,
                                           FollowedBy, OrderOutcome, StrictPairs)
-from eventide.streaming.runner import (event_time, flush_sentinel, live, prepare_streaming,
-                                       run_and_read, table_stream)
+from eventide.streaming.runner import (SENTINEL_TS, before_flush, event_time, live,
+                                       prepare_streaming, replay_stream, run_and_read, table_stream,
+                                       time_bounds)
 
 NTZ = T.TimestampNTZType()
+#: Longer than any time between two rows of one order in the driver tables.
+ORDER_SPAN = "3000 days"
 
 
 def _events(spark: SparkSession, sf: str, delay: str = "0 seconds") -> DataFrame:
     prepare_streaming(spark)
-    ev = flush_sentinel(spark, table_stream(spark, sf, "events"), "ts")
-    return event_time(ev, "ts", delay)
+    return event_time(replay_stream(C._read(spark, sf, "events"), "ts"), "ts", delay)
 
 
 def _ntz(df: DataFrame, *cols: str) -> DataFrame:
@@ -99,7 +100,7 @@ def s_marketing_by_channel(spark, sf):
                       "channel", "behavior", "count"))
 
     def finish(batch: DataFrame) -> DataFrame:
-        b = _ntz(batch.filter(F.col("behavior").isNotNull()), "window_start", "window_end")
+        b = _ntz(before_flush(batch, "window_start"), "window_start", "window_end")
         return b.select("window_start", "window_end",
                         format_java_ts("window_start").alias("window_start_text"),
                         format_java_ts("window_end").alias("window_end_text"),
@@ -131,7 +132,7 @@ def s_uv_bitmap(spark, sf):
                .select(F.col("w.end").alias("window_end"), "bucket", "bitmap"))
 
     def count(batch: DataFrame) -> DataFrame:
-        return _ntz(bitmap_counts(batch.filter(F.col("bucket").isNotNull())), "window_end")
+        return _ntz(bitmap_counts(before_flush(batch, "window_end")), "window_end")
 
     return run_and_read(bitmaps, "uv_bitmap", transform=count)
 
@@ -150,7 +151,7 @@ def s_uv_bloom(spark, sf):
                .select(F.col("w.end").alias("window_end"), "bucket", "bits"))
 
     def estimate(batch: DataFrame) -> DataFrame:
-        bits = (batch.filter(F.col("bucket").isNotNull()).groupBy("window_end")
+        bits = (before_flush(batch, "window_end").groupBy("window_end")
                 .agg(F.sum(F.bitmap_count("bits")).cast("long").alias("bits_set")))
         return _ntz(bits.select("window_end", bloom_estimate(F.col("bits_set"), m, k)
                                 .alias("uv_estimate")), "window_end")
@@ -174,18 +175,13 @@ def s_tx_reconcile(spark, sf):
     date per order); rows without a partner appear once the watermark has
     passed them by the tolerance."""
     prepare_streaming(spark)
-    base = scratch_path(spark, "tx")
-    C._read(spark, sf, "orders").select(
-        F.col("o_orderkey").cast("string").alias("tx_id"), F.col("o_orderdate").alias("pay_ts")) \
-        .write.parquet(f"{base}/pays")
-    (C._read(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.min("l_shipdate").alias("receipt_ts"))
-     .select(F.col("l_orderkey").cast("string").alias("tx_id"), "receipt_ts")
-     .write.parquet(f"{base}/receipts"))
-    pays = spark.readStream.schema(spark.read.parquet(f"{base}/pays").schema).parquet(f"{base}/pays")
-    rcps = spark.readStream.schema(spark.read.parquet(f"{base}/receipts").schema) \
-        .parquet(f"{base}/receipts")
-    pays = event_time(flush_sentinel(spark, pays, "pay_ts"), "pay_ts", "0 seconds")
-    rcps = event_time(flush_sentinel(spark, rcps, "receipt_ts"), "receipt_ts", "0 seconds")
+    pays = C._read(spark, sf, "orders").select(
+        F.col("o_orderkey").cast("string").alias("tx_id"), F.col("o_orderdate").alias("pay_ts"))
+    rcps = (C._read(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.min("l_shipdate").alias("receipt_ts"))
+            .select(F.col("l_orderkey").cast("string").alias("tx_id"), "receipt_ts"))
+    bounds = time_bounds(pays, "pay_ts", 4)
+    pays = event_time(replay_stream(pays, "pay_ts", bounds=bounds), "pay_ts", "0 seconds")
+    rcps = event_time(replay_stream(rcps, "receipt_ts", bounds=bounds), "receipt_ts", "0 seconds")
     tol = f"INTERVAL {duration_micros(C.TX_TOLERANCE) // 1_000_000} SECONDS"
     p, r = pays.alias("p"), rcps.alias("r")
     joined = p.join(r, F.expr(f"""p.tx_id = r.tx_id AND
@@ -197,8 +193,8 @@ def s_tx_reconcile(spark, sf):
         F.when(F.col("p.tx_id").isNotNull() & F.col("r.tx_id").isNotNull(), F.lit("matched"))
          .when(F.col("p.tx_id").isNotNull(), F.lit("unmatched_pay"))
          .otherwise(F.lit("unmatched_receipt")).alias("tag"))
-    return run_and_read(out.filter(F.col("tx_id").isNotNull()), "tx_reconcile",
-                        transform=lambda b: _ntz(b, "pay_ts", "receipt_ts"))
+    return run_and_read(out, "tx_reconcile", transform=lambda b: _ntz(
+        before_flush(b, "pay_ts", "receipt_ts"), "pay_ts", "receipt_ts"))
 
 
 # ------------------------------------------------------- stateful processors
@@ -206,10 +202,9 @@ def _tws(df: DataFrame, keys: list, processor, schema: T.StructType, name: str,
          ts_cols: tuple) -> DataFrame:
     stream = (df.groupBy(*keys)
               .transformWithState(processor, schema, "Append", "EventTime"))
-    first_key = schema.fieldNames()[0] if keys else None
     return run_and_read(stream, name, schema=T.StructType(
         [T.StructField(f.name, NTZ if f.name in ts_cols else f.dataType) for f in schema.fields]),
-        transform=lambda b: _ntz(b.filter(F.col(first_key).isNotNull()), *ts_cols))
+        transform=lambda b: _ntz(before_flush(b, *ts_cols), *ts_cols))
 
 
 def s_login_fail_strict(spark, sf):
@@ -243,7 +238,7 @@ def s_login_fail_arrival(spark, sf):
     return run_and_read(stream, "login_fail_arrival", schema=T.StructType(
         [T.StructField(f.name, NTZ if f.name.endswith("_ts") else f.dataType)
          for f in _WARNING.fields]),
-        transform=lambda b: _ntz(b.filter(F.col("user_id").isNotNull()), "first_ts", "last_ts"))
+        transform=lambda b: _ntz(before_flush(b, "first_ts"), "first_ts", "last_ts"))
 
 
 def s_login_fail_burst(spark, sf):
@@ -257,24 +252,25 @@ def s_login_fail_burst(spark, sf):
 
 def s_order_deadline(spark, sf):
     prepare_streaming(spark)
-    ev = event_time(flush_sentinel(spark, _order_log_stream(spark, sf), "ts"), "ts", "0 seconds")
+    ev = event_time(_order_log_stream(spark, sf), "ts", "0 seconds")
     schema = T.StructType([T.StructField("order_id", T.LongType()),
                            T.StructField("create_ts", T.TimestampType()),
                            T.StructField("pay_ts", T.TimestampType()),
                            T.StructField("result_msg", T.StringType())])
     proc = DeadlineDecision(duration_micros(C.OUTCOME_WITHIN), order_ops.MSG_DEADLINE_PAYED,
-                            order_ops.MSG_ORDER_TIMEOUT)
+                            order_ops.MSG_ORDER_TIMEOUT, keep_us=duration_micros(ORDER_SPAN))
     return _tws(ev, ["order_id"], proc, schema, "order_deadline", ("create_ts", "pay_ts"))
 
 
 def _order_log_stream(spark, sf):
-    creates = table_stream(spark, sf, "orders").select(
+    creates = C._read(spark, sf, "orders").select(
         F.col("o_orderkey").alias("order_id"), F.col("o_orderdate").alias("ts"),
         F.lit(True).alias("is_create"), F.lit(False).alias("is_pay"))
-    pays = table_stream(spark, sf, "lineitem").select(
+    pays = C._read(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("order_id"), F.col("l_shipdate").alias("ts"),
         F.lit(False).alias("is_create"), F.lit(True).alias("is_pay"))
-    return creates.unionByName(pays)
+    bounds = time_bounds(creates, "ts", 4)
+    return replay_stream(creates, "ts", bounds=bounds).unionByName(replay_stream(pays, "ts", bounds=bounds))
 
 
 def s_ad_gate_daily(spark, sf):
@@ -289,8 +285,7 @@ def s_ad_gate_daily(spark, sf):
                            T.StructField("msg", T.StringType())])
     proc = ClickGate(C.GATE_DAILY_MAX, gate_ops.gate_message(C.GATE_DAILY_MAX),
                      duration_micros("1 day"))
-    out = _tws(rows, ["user_id", "ad_id"], proc, schema, "ad_gate", ("ts",))
-    return out.filter(F.col("user_id").isNotNull())
+    return _tws(rows, ["user_id", "ad_id"], proc, schema, "ad_gate", ("ts",))
 
 
 def s_ad_by_geo(spark, sf):
@@ -309,7 +304,7 @@ def s_ad_by_geo(spark, sf):
     gate = ClickGate(C.GATE_MAX, gate_ops.gate_message(C.GATE_MAX), None)
     gated = rows.groupBy("user_id", "ad_id").transformWithState(
         gate, schema, "Append", "EventTime", eventTimeColumnName="ts")
-    passed = gated.filter((F.col("tag") == "pass") & F.col("user_id").isNotNull())
+    passed = gated.filter((F.col("tag") == "pass") & (F.col("ts") < F.lit(SENTINEL_TS).cast("timestamp")))
     counts = (passed.groupBy(event_window("ts", C.GEO_SIZE, C.GEO_SLIDE).alias("w"),
                              F.col("ad_id").alias("province"))
               .agg(F.count(F.lit(1)).alias("count"))
@@ -337,12 +332,12 @@ def s_order_timeout(spark, sf):
     return _tws(rows, ["order_id"], proc, schema, "order_timeout", ("start_ts", "match_ts"))
 
 
-def s_order_outcomes(spark, sf, grace: str = "36500 days"):
+def s_order_outcomes(spark, sf, grace: str = ORDER_SPAN):
     """SEQ-3 on a stream of creates (orders) and pays (lineitem).  ``grace``
-    is how long the other side may still arrive; the twin uses a grace past
-    any gap in the data so that it equals the batch rule."""
+    is how long the other side may still arrive; the driver tables put years
+    between an order and its shipping, so the twin needs as much."""
     prepare_streaming(spark)
-    ev = event_time(flush_sentinel(spark, _order_log_stream(spark, sf), "ts"), "ts", "0 seconds")
+    ev = event_time(_order_log_stream(spark, sf), "ts", "0 seconds")
     schema = T.StructType([T.StructField("order_id", T.LongType()),
                            T.StructField("create_ts", T.TimestampType()),
                            T.StructField("pay_ts", T.TimestampType()),

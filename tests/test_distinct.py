@@ -1,6 +1,7 @@
 import random
 from datetime import timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from eventide.operators import (bitmap_counts, merge_bitmaps, uv_bitmap, uv_bloom, uv_exact,
@@ -37,6 +38,19 @@ def test_bloom_and_hll_estimates_are_close(spark):
         assert abs(hll[w] - n) / n < 0.03
 
 
+def test_bloom_is_sized_for_the_fullest_window(spark):
+    for n in (20_000, 400_000):
+        df = spark.range(n).select(F.col("id").alias("user_id"), F.lit(at(5)).alias("ts"))
+        got = uv_bloom(df, size="1 hour").first().uv_estimate
+        assert abs(got - n) / n < 0.03
+
+
+def test_a_full_bloom_filter_is_an_error(spark):
+    df = spark.range(400_000).select(F.col("id").alias("user_id"), F.lit(at(5)).alias("ts"))
+    with pytest.raises(Exception, match="is full"):
+        uv_bloom(df, size="1 hour", expected_insertions=1000).collect()
+
+
 def test_bitmaps_merge_across_runs(spark, tmp_path):
     df, _ = _visits(spark)
     half1 = df.filter(F.col("ts") < at(3600))

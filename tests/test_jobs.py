@@ -54,6 +54,51 @@ def test_streaming_page_views_job(spark, tmp_path):
     assert got[epoch(1511658010)] == 2 and got[epoch(1511658020)] == 1
 
 
+def test_a_stream_goes_on_where_it_stopped(spark, tmp_path):
+    folder = tmp_path / "ub"
+    folder.mkdir()
+    out = str(tmp_path / "pv_out")
+    now = time.time()
+    for k, (name, rows) in enumerate([("a", [(1, 0), (2, 3)]), ("b", [(3, 12), (4, 14)]), ("c", [(9, 1000)])]):
+        _write(folder / f"{name}.csv", [f"{u},1,1,pv,{1511658000 + s}" for u, s in rows])
+        os.utime(folder / f"{name}.csv", (now + 5 * k, now + 5 * k))
+        q = run_job(spark, "page_views", str(folder), out, stream=True)     # a new start each time
+        q.processAllAvailable()
+        q.stop()
+    got = {r.window_end: r.pv for r in spark.read.parquet(out).collect()}
+    assert got == {epoch(1511658010): 2, epoch(1511658020): 2}
+
+
+def test_word_count_stream_is_a_log_of_refinements(spark, tmp_path):
+    from eventide.streaming.upsert import latest
+
+    folder = tmp_path / "lines"
+    folder.mkdir()
+    out = str(tmp_path / "words")
+    for k, text in enumerate(["a\nb\na", "b\nc"]):
+        _write(folder / f"{k}.txt", [text])
+        q = run_job(spark, "word_count", str(folder), out, stream=True)
+        q.processAllAvailable()
+        q.stop()
+    got = {r["word"]: r["count"] for r in latest(spark.read.parquet(out), ["word"]).collect()}
+    assert got == {"a": 2, "b": 2, "c": 1}
+
+
+def test_arrival_order_is_that_of_files_not_of_tasks(spark, tmp_path):
+    folder = tmp_path / "login"
+    folder.mkdir()
+    now = time.time()
+    pad = [f"77,83.149.11.{i % 99},success,{1558430000 + i}" for i in range(500)]   # the later file is the larger
+    _write(folder / "a.csv", ["5,83.149.11.1,fail,100"])
+    _write(folder / "b.csv", ["5,83.149.11.1,fail,101", *pad])
+    os.utime(folder / "a.csv", (now - 50, now - 50))
+    os.utime(folder / "b.csv", (now - 10, now - 10))
+    assert run_job(spark, "login_fail", str(folder)).count() == 1
+    os.utime(folder / "a.csv", (now, now))      # now 101 came first: a negative gap also warns
+    r = run_job(spark, "login_fail", str(folder)).collect()
+    assert len(r) == 1 and r[0].first_ts > r[0].last_ts
+
+
 def test_marketing_jobs_batch_and_stream(spark, tmp_path):
     base = 1511658000000
     lines = [f"u{i},{b},{c},{base + ms}" for i, (b, c, ms) in enumerate(

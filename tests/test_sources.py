@@ -67,10 +67,11 @@ def test_access_log_parse(spark):
 
 def test_kafka_options_and_value_cast(spark):
     opts = kafka_source_options("b1:9092,b2:9092", "clicks", group_id="analytics",
-                                **{"partition.assignment.strategy": "roundrobin"})
+                                **{"kafka.partition.assignment.strategy": "roundrobin", "maxOffsetsPerTrigger": 5})
     assert opts["kafka.bootstrap.servers"] == "b1:9092,b2:9092"
     assert opts["subscribe"] == "clicks" and opts["startingOffsets"] == "latest"
     assert opts["kafka.group.id"] == "analytics"
+    assert opts["maxOffsetsPerTrigger"] == "5" and "failOnDataLoss" not in opts    # Spark's default: fail
     assert opts["kafka.partition.assignment.strategy"] == "roundrobin"
     assert kafka_sink_options("b:1", "t", "/ck")["checkpointLocation"] == "/ck"
     raw = spark.createDataFrame([(bytearray(b"1,2,3,pv,1511658000"),)], "value binary")
