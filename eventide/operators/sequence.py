@@ -82,64 +82,68 @@ def followed_by(df: DataFrame, keys: Sequence[str], ts: str, first: Column, then
                     F.when(ok, F.lit("matched")).otherwise(F.lit("timeout")).alias("tag")))
 
 
-def _chunks(ts_us: np.ndarray, end_us: float, within_us: int, min_count: int):
-    """Greedy anchored chunks over sorted times; yields (first, last, n)."""
-    i, n = 0, len(ts_us)
-    while i < n:
-        start = ts_us[i]
-        j = int(np.searchsorted(ts_us, start + within_us, side="right"))
-        closed_by_timer = end_us > start + within_us   # timer fires before the reset
-        if closed_by_timer and j - i >= min_count:
-            yield ts_us[i], ts_us[j - 1], j - i
-        i = j
-
-
 def _fold_runs(batches, keys: list, within_us: int, min_count: int):
-    """mapInPandas body: rows arrive sorted by (keys, __end, __t); each run
-    (same keys and __end) is chunked greedily.  Only the run still open at
-    the end of an Arrow batch is carried into the next one."""
-    carry = None
-
-    def emit(pdf: pd.DataFrame, final: bool):
-        key_arr = [pdf[k].to_numpy() for k in keys]
-        end = pdf["__end"].to_numpy(dtype=np.int64)
-        open_end = pdf["__noend"].to_numpy(dtype=bool)   # no success after the run
-        t = pdf["__t"].to_numpy(dtype=np.int64)
-        change = np.zeros(len(t), dtype=bool)
-        change[0] = True
-        for a in key_arr + [end, open_end]:
-            change[1:] |= a[1:] != a[:-1]
-        starts = np.flatnonzero(change)
-        stops = np.append(starts[1:], len(t))
-        open_from = int(starts[-1])
-        if not final:   # the last run may continue in the next batch
-            starts, stops = starts[:-1], stops[:-1]
-        rows = {c: [] for c in keys + ["__first", "__last", "__n"]}
-        for a, b in zip(starts, stops):
-            horizon = np.inf if open_end[a] else float(end[a])
-            for first, last, n in _chunks(t[a:b], horizon, within_us, min_count):
-                for k, arr in zip(keys, key_arr):
-                    rows[k].append(arr[a])
-                rows["__first"].append(first)
-                rows["__last"].append(last)
-                rows["__n"].append(n)
-        rest = None if final else pdf.iloc[open_from:]
-        return pd.DataFrame(rows), rest
+    """mapInPandas body: rows arrive sorted by (keys, __end, __t).  The chunk
+    still open at the end of an Arrow batch is carried into the next one as
+    three numbers, so memory is one batch however long a run is."""
+    open_run, chunk = None, None        # (keys, end) and [first, last, n]
 
     for pdf in batches:
         if pdf.empty:
             continue
-        pdf = pdf.assign(__noend=pdf["__end"].isna(),
-                         __end=pdf["__end"].fillna(0).astype(np.int64))
-        if carry is not None and not carry.empty:
-            pdf = pd.concat([carry, pdf], ignore_index=True)
-        out, carry = emit(pdf.reset_index(drop=True), final=False)
-        if len(out):
-            yield out
-    if carry is not None and not carry.empty:
-        out, _ = emit(carry.reset_index(drop=True), final=True)
-        if len(out):
-            yield out
+        key_cols = [pdf[k].tolist() for k in keys]
+        end = pdf["__end"].tolist()
+        t = pdf["__t"].to_numpy(dtype=np.int64)
+        same = np.ones(len(t), dtype=bool)
+        for col in [*(pdf[k] for k in keys), pdf["__end"]]:
+            before = col.shift()
+            same &= ((col == before) | (col.isna() & before.isna())).to_numpy(dtype=bool)
+        same[0] = False
+        starts = np.flatnonzero(~same)
+        rows = []
+
+        def close():
+            run_keys, run_end = open_run
+            # the chunk's timer fires before the success that would drop it
+            if chunk[2] >= min_count and (run_end is None or run_end > chunk[0] + within_us):
+                rows.append((*run_keys, *chunk))
+
+        for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(t)]):
+            run = (tuple(_key(c[a]) for c in key_cols),
+                   None if pd.isna(end[a]) else int(end[a]))
+            if open_run is not None and run != open_run:
+                close()
+                chunk = None
+            open_run, i = run, a
+            while i < b:
+                if chunk is not None and t[i] > chunk[0] + within_us:
+                    close()
+                    chunk = None
+                first = int(t[i]) if chunk is None else chunk[0]
+                j = i + int(np.searchsorted(t[i:b], first + within_us, side="right"))
+                chunk = [first, int(t[j - 1]), (0 if chunk is None else chunk[2]) + j - i]
+                i = j
+        if rows:
+            yield _chunk_rows(rows, keys)
+    if open_run is not None:
+        run_keys, run_end = open_run
+        if chunk[2] >= min_count and (run_end is None or run_end > chunk[0] + within_us):
+            yield _chunk_rows([(*run_keys, *chunk)], keys)
+
+
+def _key(v):
+    """A key as it was: pandas turns whole numbers beside a NULL into floats."""
+    if pd.isna(v):
+        return None
+    return int(v) if isinstance(v, float) and v.is_integer() else v
+
+
+def _chunk_rows(rows: list, keys: list) -> pd.DataFrame:
+    """Keys stay objects: a NULL number must not turn into a float."""
+    cols = list(zip(*rows))
+    out = {k: pd.Series(c, dtype=object) for k, c in zip(keys, cols)}
+    out.update({n: pd.Series(c, dtype="int64") for n, c in zip(("__first", "__last", "__n"), cols[len(keys):])})
+    return pd.DataFrame(out)
 
 
 def burst_warnings(df: DataFrame, keys: Sequence[str], ts: str, is_fail: Column, within: str,
@@ -155,7 +159,7 @@ def burst_warnings(df: DataFrame, keys: Sequence[str], ts: str, is_fail: Column,
     two-level forward scan finds it).  Runs are hash-partitioned on
     (key, run end) -- a hot key's runs spread over tasks -- sorted inside
     each partition, and chunked greedily by a ``mapInPandas`` fold that holds
-    one Arrow batch plus the run still open at its end.
+    one Arrow batch and the three numbers of the chunk that is open.
     """
     keys = list(keys)
     d = df.select(*keys, ts, is_fail.alias("__fail"))

@@ -6,13 +6,13 @@ of the data.  The helpers here split each key into *buckets* -- a coarse,
 monotone function of the order, normally a time bucket -- and work on two
 levels:
 
-1. rows are hash-partitioned by ``(key, bucket)`` once (the only full
-   shuffle), and the per-row work (lag, running position, forward minimum)
-   is done inside a bucket;
-2. a one-row-per-``(key, bucket)`` summary carries what crosses a bucket
-   boundary (last row, row count, minimum) from bucket to bucket.  A key's
-   summary has one row per non-empty bucket, so it is bounded by the time
-   span, not by the data volume.
+1. a summary with one row per ``(key, bucket)`` (last row, row count,
+   minimum) is aggregated map-side and carried from bucket to bucket.  A
+   key's summary has one row per non-empty bucket, so it is bounded by the
+   time span, not by the data volume;
+2. the carried rows are united with the data, sorted before it, and one
+   window over ``(key, bucket)`` does the per-row work (lag, running position,
+   forward minimum).  Full rows are shuffled once, and nothing is joined.
 
 Results are exact and independent of the bucket width; the width only moves
 work between the two levels.  A NULL key is a group of its own.
@@ -32,34 +32,14 @@ from pyspark.sql import functions as F
 
 from eventide.session import checkpoint_root
 
-_B = "__bucket"
+_B, _ROW = "__bucket", "__is_row"
 
 
-def _with_bucket(df: DataFrame, keys: Sequence[str], bucket: Column) -> DataFrame:
-    # No explicit repartition: the per-row window brings the one full shuffle
-    # on (key, bucket), and the summary branch aggregates map-side first, so
-    # its shuffle carries one row per (key, bucket, task).  The input is
-    # scanned by both branches (column-pruned differently, so not reused).
-    return df.withColumn(_B, bucket)
-
-
-def _join_summary(rows: DataFrame, summary: DataFrame, keys: Sequence[str], how: str
-                  ) -> DataFrame:
-    """Join the per-(key, bucket) summary back with NULL-safe equality.
-
-    Plain equality would let Catalyst infer ``key IS NOT NULL`` for the
-    summary side only; the two sides would then no longer share the input
-    scan and shuffle.  NULL-safe keys keep them identical (one scan, one
-    exchange, reused) and give NULL keys their own group, like ``groupBy``.
-    """
-    cols = [*keys, _B]
-    s = summary.select(*[F.col(c).alias(f"__s_{c}") for c in cols],
-                       *[c for c in summary.columns if c not in cols])
-    cond = None
-    for c in cols:
-        e = rows[c].eqNullSafe(s[f"__s_{c}"])
-        cond = e if cond is None else cond & e
-    return rows.join(s, cond, how).drop(*[f"__s_{c}" for c in cols])
+def _with_carry(rows: DataFrame, carry: DataFrame) -> DataFrame:
+    """Data rows and, before them, the carried row of each (key, bucket).
+    Columns that one side lacks are NULL there."""
+    return (rows.withColumn(_ROW, F.lit(True))
+            .unionByName(carry.withColumn(_ROW, F.lit(False)), allowMissingColumns=True))
 
 
 def keyed_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column,
@@ -67,20 +47,15 @@ def keyed_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket:
     """Add ``prefix+v`` = value of ``v`` on the previous row of the same key,
     in ascending ``order`` (NULL on a key's first row)."""
     keys, order = list(keys), list(order)
-    d = _with_bucket(df, keys, bucket)
-    packed = F.struct(*[F.col(v).alias(v) for v in values])
-    in_bucket = Window.partitionBy(*keys, _B).orderBy(*order)
-    d = d.withColumn("__prev", F.lag(packed).over(in_bucket))
-
+    d = df.withColumn(_B, bucket).withColumn("__v", F.struct(*[F.col(v).alias(v) for v in values]))
     last = (d.groupBy(*keys, _B)
-            .agg(F.max_by(packed, F.struct(*[F.col(o) for o in order])).alias("__last")))
-    carry = last.select(*keys, _B, F.lag("__last").over(
-        Window.partitionBy(*keys).orderBy(_B)).alias("__carry"))
-
-    out = _join_summary(d, carry, keys, "left")
-    prev = F.coalesce(F.col("__prev"), F.col("__carry"))
+            .agg(F.max_by("__v", F.struct(*[F.col(o) for o in order])).alias("__v")))
+    carry = (last.select(*keys, _B, F.lag("__v").over(Window.partitionBy(*keys).orderBy(_B)).alias("__v"))
+             .filter(F.col("__v").isNotNull()))
+    w = Window.partitionBy(*keys, _B).orderBy(_ROW, *order)
+    out = _with_carry(d, carry).withColumn("__prev", F.lag("__v").over(w)).filter(_ROW)
     return out.select(*[F.col(c) for c in df.columns],
-                      *[prev[v].alias(prefix + v) for v in values])
+                      *[F.col("__prev")[v].alias(prefix + v) for v in values])
 
 
 def keyed_next_at_or_after(df: DataFrame, keys: Sequence[str], ts: str, bucket: Column,
@@ -93,45 +68,41 @@ def keyed_next_at_or_after(df: DataFrame, keys: Sequence[str], ts: str, bucket:
     non-decreasing function of ``ts``.
     """
     keys = list(keys)
-    d = _with_bucket(df, keys, bucket)
-    cand = F.when(when, F.col(value))
-    # Descending order + growing frame = suffix minimum in one pass per bucket.
-    suffix = (Window.partitionBy(*keys, _B).orderBy(F.col(ts).desc())
-              .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    d = d.withColumn("__in", F.min(cand).over(suffix))
-
-    per_bucket = d.groupBy(*keys, _B).agg(F.min(cand).alias("__m"))
+    d = df.withColumn(_B, bucket).withColumn("__cand", F.when(when, F.col(value)))
+    per_bucket = d.groupBy(*keys, _B).agg(F.min("__cand").alias("__cand"))
     later = (Window.partitionBy(*keys).orderBy(F.col(_B).desc())
              .rowsBetween(Window.unboundedPreceding, -1))
-    carry = per_bucket.select(*keys, _B, F.min("__m").over(later).alias("__carry"))
-
-    out = _join_summary(d, carry, keys, "left")
-    return out.select(*[F.col(c) for c in df.columns],
-                      F.least(F.col("__in"), F.col("__carry")).alias(out_col))
+    carry = (per_bucket.select(*keys, _B, F.min("__cand").over(later).alias("__cand"))
+             .filter(F.col("__cand").isNotNull()))
+    # Descending order + growing frame = suffix minimum in one pass per bucket;
+    # the carried minimum of all later buckets comes first.
+    suffix = (Window.partitionBy(*keys, _B).orderBy(F.col(_ROW), F.col(ts).desc())
+              .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    out = _with_carry(d, carry).withColumn("__next", F.min("__cand").over(suffix)).filter(_ROW)
+    return out.select(*[F.col(c) for c in df.columns], F.col("__next").alias(out_col))
 
 
 def keyed_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column,
                    out_col: str, limit: int | None = None) -> DataFrame:
     """Add ``out_col`` = 1-based position of the row within its key in
     ``order`` (``row_number``).  With ``limit``, only rows at positions
-    ``<= limit`` are returned, and buckets that start past the limit are
-    dropped before any per-row work."""
+    ``<= limit`` are returned, and each task keeps at most that many rows of a
+    (key, bucket) before the shuffle."""
     keys, order = list(keys), list(order)
-    d = _with_bucket(df, keys, bucket)
+    d = df.withColumn(_B, bucket)
     counts = d.groupBy(*keys, _B).agg(F.count(F.lit(1)).alias("__n"))
     before = (Window.partitionBy(*keys).orderBy(_B)
               .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select(*keys, _B,
-                            F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    carry = counts.select(*keys, _B, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    w = Window.partitionBy(*keys, _B).orderBy(_ROW, *order)
+    out = (_with_carry(d, carry).withColumn("__rn", F.row_number().over(w))
+           .withColumn("__off", F.max("__off").over(w.rowsBetween(Window.unboundedPreceding, 0))))
     if limit is not None:
-        offsets = offsets.filter(F.col("__off") < limit)
-    d = _join_summary(d, offsets, keys, "inner")
-    pos = F.col("__off") + F.row_number().over(
-        Window.partitionBy(*keys, _B).orderBy(*order))
-    d = d.withColumn(out_col, pos.cast("long"))
+        out = out.filter(F.col("__rn") <= limit + 1)       # the carried row is the first one
+    out = out.filter(_ROW).withColumn(out_col, (F.col("__off") + F.col("__rn") - 1).cast("long"))
     if limit is not None:
-        d = d.filter(F.col(out_col) <= limit)
-    return d.select(*[F.col(c) for c in df.columns], out_col)
+        out = out.filter(F.col(out_col) <= limit)
+    return out.select(*[F.col(c) for c in df.columns], out_col)
 
 
 def row_number_within(df: DataFrame, group: Sequence[str], order: Sequence[Column],

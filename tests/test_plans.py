@@ -38,3 +38,25 @@ def test_gate_only_numbers_the_first_events(spark):
     plan = _plan(q_ad_gate_pass(spark, SF001))
     assert "HashAggregate" in plan                # per-(key, bucket) counts before numbering
     assert "Filter" in plan
+
+
+@pytest.mark.parametrize("name", ["login_fail_strict", "login_fail_arrival", "ad_gate_pass", "ad_gate_warn",
+                                  "ad_gate_daily", "ad_by_geo", "order_timeout_cep", "login_fail_burst"])
+def test_keyed_scans_shuffle_full_rows_once(spark, name):
+    """No join brings the carried rows back, whatever their size: the rows go
+    through one exchange on (key, bucket), united with what is carried."""
+    import re
+
+    import __spark_entry__ as entry
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(entry.queries()[name](spark, SF001))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Join" not in plan
+    # of the exchanges on (key, bucket) only the summary's (partial aggregates) and the union's are left
+    lines = plan.split("\n")
+    full = [i for i, x in enumerate(lines) if re.search(r"Exchange hashpartitioning\(.*__bucket", x)
+            and not re.search(r"functions=\[partial|HashAggregate|SortAggregate", "".join(lines[i + 1:i + 3]))]
+    assert len(full) == 1

@@ -117,3 +117,22 @@ def test_match_sequence_dispatch(spark):
     got = {r.start_ts: r.tag for r in relaxed.collect()}
     # 842 -> success at 844 is exactly 2 s later (out); 843 -> 844 is 1 s (in)
     assert got == {epoch(1558430842): "timeout", epoch(1558430843): "matched"}
+
+
+def test_burst_rule_keeps_null_keys_and_needs_one_batch_only(spark):
+    """A key that only ever fails is one run; batches of 10 rows must give the
+    same chunks, and a NULL key is a group of its own."""
+    from datetime import timedelta
+
+    rows = [(k, at(0) + timedelta(milliseconds=700 * i), "fail") for k in (None, 9007199254740993) for i in range(95)]
+    df = spark.createDataFrame(rows, "user_id long, ts timestamp, event_type string")
+    want = [(str(k), 3) for k in (None, 9007199254740993) for _ in range(31)]
+    want += [(str(k), 2) for k in (None, 9007199254740993)]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        got = burst_warnings(df, ["user_id"], "ts", F.col("event_type") == "fail", "2 seconds").collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert len(got) == len(want)
+    assert {r.user_id for r in got} >= {None}
