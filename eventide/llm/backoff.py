@@ -35,18 +35,9 @@ from eventide.llm import textscan as ts
 from eventide.llm.scratch import materialize
 
 _U = np.uint64
-#: Text bytes of a unit and of a partition of the count table, about.
-UNIT_BYTES = 16 << 20
-
-
-def planes(x: np.ndarray) -> bytes:
-    """Bytes of equal weight side by side: high ones are mostly 0 and compress."""
-    return np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
-
-
-def from_planes(raw: bytes, dtype) -> np.ndarray:
-    size = np.dtype(dtype).itemsize
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).view(dtype).ravel()
+#: Text bytes of a unit, about, and those that a partition of the count table stands for.
+UNIT_BYTES = 6 << 20
+PART_BYTES = 16 << 20
 
 
 def unit_grams(texts, order: int, id_bits: int):
@@ -92,6 +83,7 @@ def backoff_scores(docs: DataFrame, order: int = 3, cutoff: int = 2, alpha: floa
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     units = max(1, -(-total // UNIT_BYTES))
+    parts = max(1, -(-total // PART_BYTES))
     id_bits = min(64, 24 + max(1, math.ceil(math.log2(total + 2))))
     rows = docs.select(F.pmod(F.xxhash64(F.col(id_col), F.octet_length(text), F.crc32(text.cast("binary"))),
                               F.lit(units)).cast("int").alias("unit"),
@@ -100,32 +92,32 @@ def backoff_scores(docs: DataFrame, order: int = 3, cutoff: int = 2, alpha: floa
 
     def ask(table: pa.Table) -> pa.Table:
         _, _, uniq, count, _ = unit_grams(table.column("text"), order, id_bits)
-        cut = _cuts(uniq, units, id_bits)
+        cut = _cuts(uniq, parts, id_bits)
         out = {"part": [], "unit": [], "keys": [], "counts": []}
         for p, (a, b) in enumerate(zip(cut[:-1], cut[1:])):
             if b > a:
                 out["part"].append(p)
                 out["unit"].append(table.column("unit")[0].as_py())
-                out["keys"].append(planes(np.diff(uniq[a:b], prepend=_U(0))))
-                out["counts"].append(planes(count[a:b].astype(np.uint32)))
+                out["keys"].append(ts.planes(np.diff(uniq[a:b], prepend=_U(0))))
+                out["counts"].append(ts.planes(count[a:b].astype(np.uint32)))
         return pa.table({"part": pa.array(out["part"], pa.int32()), "unit": pa.array(out["unit"], pa.int32()),
                          "keys": pa.array(out["keys"], pa.binary()), "counts": pa.array(out["counts"], pa.binary())})
 
     def add_up(table: pa.Table) -> pa.Table:
-        keys = [np.cumsum(from_planes(k, np.uint64), dtype=np.uint64) for k in table.column("keys").to_pylist()]
-        counts = np.concatenate([from_planes(c, np.uint32) for c in table.column("counts").to_pylist()])
+        keys = [np.cumsum(ts.from_planes(k, np.uint64), dtype=np.uint64) for k in table.column("keys").to_pylist()]
+        counts = np.concatenate([ts.from_planes(c, np.uint32) for c in table.column("counts").to_pylist()])
         sizes = np.cumsum([0] + [len(k) for k in keys])
         uniq, inv = np.unique(np.concatenate(keys), return_inverse=True)
         del keys
         total = np.bincount(inv, weights=counts, minlength=len(uniq)).astype(np.uint64)
-        answers = [planes(total[inv[a:b]]) for a, b in zip(sizes[:-1], sizes[1:])]
+        answers = [ts.planes(total[inv[a:b]]) for a, b in zip(sizes[:-1], sizes[1:])]
         return pa.table({"unit": table.column("unit"), "part": table.column("part"),
                          "totals": pa.array(answers, pa.binary())})
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         row, place, uniq, _, index = unit_grams(left.column("text"), order, id_bits)
         by_part = sorted(zip(right.column("part").to_pylist(), right.column("totals").to_pylist()))
-        total = (np.concatenate([from_planes(t, np.uint64) for _, t in by_part]) if by_part
+        total = (np.concatenate([ts.from_planes(t, np.uint64) for _, t in by_part]) if by_part
                  else np.zeros(0, np.uint64)).astype(np.float64)
         n_docs, n = left.num_rows, len(row)
         words = np.arange(n)

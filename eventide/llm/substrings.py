@@ -47,8 +47,9 @@ PIECE = 1 << 20
 BUCKET_TEXT_BYTES = 32 << 20
 
 ANCHOR, SEVERAL, REPEAT, OPEN = 0, 1, 2, 3
-_FIELDS = [("a", np.uint64), ("b", np.uint64), ("doc", np.int64), ("ord", np.int32), ("at", np.int64),
-           ("n", np.int32), ("kind", np.int8)]
+# 96 bits tell buckets apart: a is the identifier, b half of a second one.
+_FIELDS = [("a", np.uint64), ("b", np.uint32), ("doc", np.int64), ("ord", np.int32), ("at", np.uint32),
+           ("n", np.uint32), ("kind", np.int8)]
 PACKED = "bucket int, " + ", ".join(f"{f} binary" for f, _ in _FIELDS)
 FOUND = "doc long, ord int, at long, n int, open boolean"
 
@@ -96,9 +97,9 @@ def anchors(s: ts.Slice, length: int):
         ctx = ts.mix64(g[lo] + _U(7))
         for part in (g[lo + length - q], g[stop + length - q], n.astype(np.uint64)):
             ctx = ts.mix64(ctx * _U(0xD1342543DE82EF95) + part)
-        got.append((g[best[lo]], ctx, row[lo], lo + i - s.begin[row[lo]], n))
+        got.append((g[best[lo]], (ctx >> _U(32)).astype(np.uint32), row[lo], lo + i - s.begin[row[lo]], n))
     if not got:
-        return tuple(np.zeros(0, t) for t in (np.uint64, np.uint64, np.int64, np.int64, np.int64))
+        return tuple(np.zeros(0, t) for t in (np.uint64, np.uint32, np.int64, np.int64, np.int64))
     return tuple(np.concatenate(c) for c in zip(*got))
 
 
@@ -166,17 +167,18 @@ def pack(x: dict, buckets: int) -> pa.RecordBatch:
     cut = np.append(first, len(bucket))
     cols = [pa.array(used, pa.int32())]
     for f, t in _FIELDS:
-        cols.append(pa.array([x[f][i:j].tobytes() for i, j in zip(cut[:-1], cut[1:])], pa.binary()))
+        cols.append(pa.array([ts.planes(x[f][i:j]) for i, j in zip(cut[:-1], cut[1:])], pa.binary()))
     return pa.RecordBatch.from_arrays(cols, ["bucket", *(f for f, _ in _FIELDS)])
 
 
 def unpack(table: pa.Table) -> dict:
-    return {f: np.frombuffer(b"".join(table.column(f).to_pylist()), t) for f, t in _FIELDS}
+    return {f: np.concatenate([ts.from_planes(c, t) for c in table.column(f).to_pylist()]) for f, t in _FIELDS}
 
 
 def _found(parts: list[dict]) -> pa.Table:
     x = _join(parts)
-    return pa.table({"doc": x["doc"], "ord": x["ord"], "at": x["at"], "n": x["n"], "open": x["kind"] == OPEN})
+    return pa.table({"doc": x["doc"], "ord": x["ord"], "at": x["at"].astype(np.int64),
+                     "n": x["n"].astype(np.int32), "open": x["kind"] == OPEN})
 
 
 def settle_anchors(table: pa.Table) -> pa.Table:
@@ -226,7 +228,7 @@ def drop_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", tex
     columns = [c for c in (docs.columns if columns is None else columns) if c not in own]
     base = documents_with_order(docs, id_col, text_col).withColumn(
         "__bytes", F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    texts = base.select("__doc", "__ord", "__bytes")
+    carried = base.select(*columns, "__doc", "__ord", "__bytes")
     total = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_TEXT_BYTES))
     q = length // 2
@@ -243,28 +245,29 @@ def drop_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", tex
 
     def open_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc, order = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            doc, order = batch.column("__doc").to_numpy(), batch.column("__ord").to_numpy()
             parts = []
             for r in range(batch.num_rows):
-                marks = batch.column(3)[r].values
+                marks = batch.column("__marks")[r].values
                 at, n, is_open = (marks.field(k).to_numpy(zero_copy_only=False) for k in ("at", "n", "open"))
                 f_at, f_n = _runs(at[~is_open], n[~is_open])
                 parts.append(_columns(a=ts.mix64(f_at.astype(np.uint64)), doc=np.full(len(f_at), doc[r]),
                                       ord=np.full(len(f_at), order[r]), at=f_at, n=f_n,
                                       kind=np.full(len(f_at), REPEAT)))
                 at, n = _runs(at[is_open], n[is_open])
-                raw = np.frombuffer(batch.column(2)[r].as_buffer(), np.uint8)
+                raw = np.frombuffer(batch.column("__bytes")[r].as_buffer(), np.uint8)
                 for lo, k in zip(at.tolist(), n.tolist()):
                     for i in range(lo, lo + k, PIECE):
                         m = min(PIECE, lo + k - i)
                         g = gram_ids(raw[i:i + m + length - 1], q)
-                        parts.append(_columns(a=g[:m], b=g[length - q:length - q + m], doc=np.full(m, doc[r]),
+                        # the refined identifier is that of both halves
+                        a, b = g[:m], g[length - q:length - q + m]
+                        parts.append(_columns(a=ts.mix64(a * _U(0xD1342543DE82EF95) + b),
+                                              b=(ts.mix64(b * _U(0xD1342543DE82EF95) + a) >> _U(32)), doc=np.full(m, doc[r]),
                                               ord=np.full(m, order[r]), at=np.arange(i, i + m), n=np.ones(m)))
             x = _join(parts)
             windows = x["kind"] != REPEAT
             y = _take(x, windows)
-            # the refined identifier is the pair; fold it into one and keep the second
-            y["a"] = ts.mix64(y["a"] * _U(0xD1342543DE82EF95) + y["b"])
             z, repeat, _ = refine(y)
             own_first = _take(z, ~repeat)
             order_ = np.argsort(y["a"], kind="stable")
@@ -301,16 +304,16 @@ def drop_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", tex
     def per_document(found: DataFrame) -> DataFrame:        # a list no longer than its text
         return found.groupBy("doc", "ord").agg(F.collect_list(F.struct("at", "n", "open")).alias("__marks"))
 
-    first = (texts.mapInArrow(scan, PACKED).groupBy("bucket").applyInArrow(settle_anchors, FOUND))
+    first = (carried.select("__doc", "__ord", "__bytes").mapInArrow(scan, PACKED)
+             .groupBy("bucket").applyInArrow(settle_anchors, FOUND))
     keys = lambda d: [F.col("__doc") == d["doc"], F.col("__ord") == d["ord"]]
     marked = per_document(first)
-    second = (texts.join(marked, keys(marked)).select("__doc", "__ord", "__bytes", "__marks")
-              .mapInArrow(open_windows, PACKED).groupBy("bucket").applyInArrow(settle_windows, FOUND))
+    # both joins take the same columns of the documents, so they share one shuffle of the texts
+    second = (carried.join(marked, keys(marked)).mapInArrow(open_windows, PACKED)
+              .groupBy("bucket").applyInArrow(settle_windows, FOUND))
     gone = per_document(second)
-    carried = base.select(*columns, "__doc", "__ord", "__bytes")
     schema = T.StructType([carried.schema[c] for c in columns] + [
         T.StructField("removed", T.ArrayType(T.StructType([
             T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
         T.StructField("kept", T.BinaryType())])
-    return (carried.join(gone, keys(gone), "left").select(*columns, "__bytes", "__marks")
-            .mapInArrow(cut, schema))
+    return carried.join(gone, keys(gone), "left").mapInArrow(cut, schema)
