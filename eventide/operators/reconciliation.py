@@ -1,4 +1,9 @@
-"""Two-stream 1:1 reconciliation (JOIN-1, FLT-3, SNK-3).
+"""Two-stream reconciliation (JOIN-1, FLT-3, SNK-3).
+
+``reconcile`` gives every pair within the tolerance, which is one row per
+record where ids are used once; an id used n times within the tolerance gives
+up to n * n pairs.  ``reconcile_once`` gives every record exactly once, matched
+or unmatched, however often an id is used.
 
 Pays and receipts match on the transaction id when their times differ by at
 most ``tolerance``.  Output has three tags: ``matched`` (both sides),
@@ -17,7 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventide.functions.time import duration_micros, epoch_micros
+from eventide.functions.time import duration_micros, epoch_micros, time_bucket
+from eventide.plans.ordered import keyed_lag, keyed_position, keyed_running_max
 
 TAG_MATCHED = "matched"
 TAG_UNMATCHED_PAY = "unmatched_pay"
@@ -74,3 +80,66 @@ def reconcile(pays: DataFrame, receipts: DataFrame, tolerance: str = "5 seconds"
                                    for c in pay_cols], *rcp_cols,
                          F.lit(TAG_UNMATCHED_RECEIPT).alias("tag")))
     return matched.unionByName(lone_pays).unionByName(lone_rcps)
+
+
+def reconcile_once(pays: DataFrame, receipts: DataFrame, tolerance: str = "5 seconds",
+                   tx_col: str = "tx_id", pay_ts: str = "pay_ts", receipt_ts: str = "receipt_ts",
+                   pay_seq: str | None = None, receipt_seq: str | None = None,
+                   bucket: str = "1 day") -> DataFrame:
+    """Match each record at most once, with the open record of the other side.
+
+    Records of an id are taken in time order; at equal times pays come first,
+    then the ``seq`` columns decide (by default a hash of the record).  A
+    record matches the open one if that is of the other side and not older than
+    the tolerance; otherwise it becomes the open one itself, and the one it
+    replaces is unmatched.  Same columns and tags as ``reconcile``; records
+    without an id are unmatched.
+
+    At most one record is open at a time, so matching is decided by parity:
+    where neighbours could match, the first matches the second, the third the
+    fourth, and so on from the last neighbours that could not.  That is a lag, a
+    position and a running maximum per (id, time bucket): linear in the records,
+    and a hot id is spread over its buckets.
+    """
+    tol_us = duration_micros(tolerance)
+    pay_cols = [c for c in pays.columns if c != tx_col]
+    rcp_cols = [c for c in receipts.columns if c != tx_col]
+    p_type, r_type = (F.struct(*[df[c].alias(c) for c in cols]) for df, cols in
+                      ((pays, pay_cols), (receipts, rcp_cols)))
+
+    def side(df, ts, seq, number, me):
+        tie = F.col(seq).cast("long") if seq else F.xxhash64(*df.columns)
+        return df.select(tie.alias("__tie"), F.col(tx_col).alias("__tx"), F.col(ts).cast("timestamp").alias("__ts"),
+                         F.lit(number).alias("__side"), me.alias("__p" if number == 0 else "__r"))
+
+    rows = side(pays, pay_ts, pay_seq, 0, p_type).unionByName(
+        side(receipts, receipt_ts, receipt_seq, 1, r_type), allowMissingColumns=True)
+    usable = rows.filter(F.col("__tx").isNotNull() & F.col("__ts").isNotNull())
+    # behind each id's last record: a row that can match nothing
+    ends = usable.groupBy("__tx").agg(F.max("__ts").alias("__ts")) \
+        .withColumn("__side", F.lit(2)).withColumn("__tie", F.lit(0).cast("long"))
+    every = usable.unionByName(ends, allowMissingColumns=True)
+    order, near = ["__ts", "__side", "__tie"], time_bucket("__ts", bucket)
+    d = keyed_lag(every, ["__tx"], order, near, ["__ts", "__side", "__p", "__r"], "__prev_")
+    link = ((F.col("__side") < 2) & (F.col("__side") != F.col("__prev___side"))
+            & (epoch_micros("__ts") - epoch_micros("__prev___ts") <= tol_us))
+    d = d.withColumn("__link", F.coalesce(link, F.lit(False)))
+    # of records that are equal in all of these, only the first can have a link
+    d, order = d.withColumn("__rest", ~F.col("__link")), [*order, "__rest"]
+    d = keyed_position(d, ["__tx"], order, near, "__pos")
+    d = keyed_running_max(d, ["__tx"], order, near, F.when(~F.col("__link"), F.col("__pos")), "__start")
+    odd = F.pmod(F.col("__pos") - F.col("__start"), F.lit(2)) == 1
+    either = lambda a, b: F.coalesce(F.col(a), F.col(b))
+    matched = d.filter(F.col("__link") & odd).select(
+        "__tx", either("__p", "__prev___p").alias("__p"), either("__r", "__prev___r").alias("__r"),
+        F.lit(TAG_MATCHED).alias("tag"))
+    # the record before a break is unmatched if it is an even one of its run
+    lone = d.filter(~F.col("__link") & F.col("__prev___side").isNotNull() & odd).select(
+        "__tx", F.col("__prev___p").alias("__p"), F.col("__prev___r").alias("__r"),
+        F.when(F.col("__prev___side") == 0, F.lit(TAG_UNMATCHED_PAY)).otherwise(F.lit(TAG_UNMATCHED_RECEIPT)).alias("tag"))
+    without = rows.filter(F.col("__tx").isNull() | F.col("__ts").isNull()).select(
+        "__tx", "__p", "__r",
+        F.when(F.col("__side") == 0, F.lit(TAG_UNMATCHED_PAY)).otherwise(F.lit(TAG_UNMATCHED_RECEIPT)).alias("tag"))
+    return matched.unionByName(lone).unionByName(without).select(
+        F.col("__tx").alias(tx_col), *[F.col("__p")[c].alias(c) for c in pay_cols],
+        *[F.col("__r")[c].alias(c) for c in rcp_cols], "tag")

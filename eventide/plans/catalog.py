@@ -35,6 +35,7 @@ GATE_MAX, GATE_DAILY_MAX = 10, 1                             # GATE-1 (100 per d
 LOGIN_WITHIN, BURST_WITHIN = "6 hours", "12 hours"           # SEQ-1 (2 s)
 ORDER_WITHIN = "6 hours"                                     # SEQ-2 (15 min)
 OUTCOME_WITHIN = "365 days"                                  # SEQ-3/4 on orders
+ONCE_TOLERANCE = "20 days"                                   # JOIN-1, each record once (5 s)
 TX_TOLERANCE = "365 days"                                    # JOIN-1 (5 s)
 INCREMENTAL_CUT = "2024-01-16 12:00:00"                      # run 1 / run 2 of UV-3
 
@@ -234,6 +235,19 @@ def q_tx_reconcile(spark, sf):
     return reconciliation.reconcile(pays, receipts, TX_TOLERANCE)
 
 
+def q_tx_reconcile_once(spark, sf):
+    """Ids that are used again and again: customers on the one side, parts on
+    the other, by number."""
+    pays = _read(spark, sf, "orders").select(
+        F.col("o_custkey").alias("tx_id"), F.col("o_orderdate").alias("pay_ts"), F.col("o_orderkey").alias("pay_no"))
+    receipts = _read(spark, sf, "lineitem").select(
+        F.col("l_partkey").alias("tx_id"), F.col("l_shipdate").alias("receipt_ts"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("long").alias("receipt_no"))
+    once = reconciliation.reconcile_once(pays, receipts, ONCE_TOLERANCE, pay_seq="pay_no",
+                                         receipt_seq="receipt_no", bucket="30 days")
+    return once.withColumns({c: F.col(c).cast("string") for c in ("pay_no", "receipt_no")})
+
+
 def q_running_count(spark, sf):
     docs = _read(spark, sf, "documents").select("text")
     return windows.running_count(windows.words(docs), "word")
@@ -297,6 +311,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order_outcomes": q_order_outcomes,
     "order_deadline": q_order_deadline,
     "tx_reconcile": q_tx_reconcile,
+    "tx_reconcile_once": q_tx_reconcile_once,
     "running_count": q_running_count,
     "select_star": q_select_star,
     "access_log_parse": q_access_log_parse,
@@ -567,6 +582,28 @@ def _oracles() -> dict[str, str]:
                       ELSE 'unmatched_receipt' END AS tag
           FROM p FULL OUTER JOIN r ON p.tx_id = r.tx_id
                AND abs(epoch_us(p.pay_ts) - epoch_us(r.receipt_ts)) <= {tol}""",
+        "tx_reconcile_once": f"""
+          WITH RECURSIVE e AS (
+            SELECT *, row_number() OVER (PARTITION BY tx ORDER BY ts, side, no) AS rn FROM (
+              SELECT o_custkey AS tx, o_orderdate AS ts, 0 AS side, o_orderkey AS no FROM orders
+              UNION ALL
+              SELECT l_partkey, l_shipdate, 1, l_orderkey * 10 + l_linenumber FROM lineitem)),
+          w AS (
+            SELECT tx, rn, ts, side, no, true AS is_open, false AS took FROM e WHERE rn = 1
+            UNION ALL
+            SELECT e.tx, e.rn, e.ts, e.side, e.no, NOT m.took, m.took
+            FROM w JOIN e ON e.tx = w.tx AND e.rn = w.rn + 1,
+            LATERAL (SELECT w.is_open AND w.side <> e.side
+                            AND epoch_us(e.ts) - epoch_us(w.ts) <= {duration_micros(ONCE_TOLERANCE)} AS took) m),
+          n AS (SELECT *, lead(took) OVER x AS given, lag(ts) OVER x AS ts0, lag(no) OVER x AS no0
+                FROM w WINDOW x AS (PARTITION BY tx ORDER BY rn))
+          SELECT tx AS tx_id, CASE WHEN side = 0 THEN ts WHEN took THEN ts0 END AS pay_ts,
+                 CAST(CASE WHEN side = 0 THEN no WHEN took THEN no0 END AS VARCHAR) AS pay_no,
+                 CASE WHEN side = 1 THEN ts WHEN took THEN ts0 END AS receipt_ts,
+                 CAST(CASE WHEN side = 1 THEN no WHEN took THEN no0 END AS VARCHAR) AS receipt_no,
+                 CASE WHEN took THEN 'matched' WHEN side = 0 THEN 'unmatched_pay'
+                      ELSE 'unmatched_receipt' END AS tag
+          FROM n WHERE took OR (is_open AND NOT coalesce(given, false))""",
         "running_count": r"""
           SELECT word, count(*) AS count FROM (
             SELECT unnest(regexp_split_to_array(text, '[ \t\n\r\f]+')) AS word FROM documents)

@@ -105,6 +105,23 @@ def keyed_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], buc
     return out.select(*[F.col(c) for c in df.columns], out_col)
 
 
+def keyed_running_max(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column,
+                      value: Column, out_col: str) -> DataFrame:
+    """Add ``out_col`` = max(``value``) over the earlier rows of the same key
+    in ``order``, this row excluded (NULL where there is none)."""
+    keys, order = list(keys), list(order)
+    d = df.withColumn(_B, bucket).withColumn("__m", value)
+    per_bucket = d.groupBy(*keys, _B).agg(F.max("__m").alias("__m"))
+    before = (Window.partitionBy(*keys).orderBy(_B)
+              .rowsBetween(Window.unboundedPreceding, -1))
+    carry = (per_bucket.select(*keys, _B, F.max("__m").over(before).alias("__m"))
+             .filter(F.col("__m").isNotNull()))
+    w = (Window.partitionBy(*keys, _B).orderBy(_ROW, *order)
+         .rowsBetween(Window.unboundedPreceding, -1))
+    out = _with_carry(d, carry).withColumn("__max", F.max("__m").over(w)).filter(_ROW)
+    return out.select(*[F.col(c) for c in df.columns], F.col("__max").alias(out_col))
+
+
 def row_number_within(df: DataFrame, group: Sequence[str], order: Sequence[Column],
                       out_col: str, num_partitions: int | None = None) -> DataFrame:
     """Exact ``row_number() over (partition by group order by order)`` where

@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from eventide.operators import decide_at_deadline, order_outcomes, reconcile, with_tx
 from eventide.sources import parse_lines
-from tests.fixtures import ORDER_KEY_LINES, TX_PAIRS, epoch
+from tests.fixtures import ORDER_KEY_LINES, TX_PAIRS, at, epoch
 
 
 def _orders(spark):
@@ -71,3 +71,43 @@ def test_reconcile_equals_brute_force_interval_join(spark):
         assert sorted((o.tx_id, o.pay_ts, o.receipt_ts) for o in out if o.tag == "matched") == want_pairs
         assert sorted((o.tx_id, o.pay_ts) for o in out if o.tag == "unmatched_pay") == want_lone_p
         assert sorted((o.tx_id, o.receipt_ts) for o in out if o.tag == "unmatched_receipt") == want_lone_r
+
+
+def test_each_record_is_matched_once(spark):
+    """A hot id with many records, ties, repeated records and rows without id
+    or time, against the walk over each id's records."""
+    import random
+
+    from eventide.operators import reconcile_once
+
+    rnd = random.Random(4)
+    pays = [(rnd.choice(["hot", "a", "b", None]), at(rnd.randint(0, 400)), i // 2) for i in range(300)]
+    rcps = [(rnd.choice(["hot", "a", "b", None]), at(rnd.randint(0, 400)), i // 2) for i in range(300)]
+    pays += pays[:40] + [("hot", None, 900)]
+    rcps += rcps[:40]
+    got = reconcile_once(spark.createDataFrame(pays, "tx_id string, pay_ts timestamp, p int"),
+                         spark.createDataFrame(rcps, "tx_id string, receipt_ts timestamp, r int"),
+                         "3 seconds", pay_seq="p", receipt_seq="r", bucket="1 minute").collect()
+    want, by = [], {}
+    for rows, side in ((pays, 0), (rcps, 1)):
+        for tx, ts, no in rows:
+            if tx is None or ts is None:
+                want.append((str(tx), "u", side, no, None))
+            else:
+                by.setdefault(tx, []).append((ts, side, no))
+    for tx, events in by.items():
+        open_ = None
+        for e in sorted(events):
+            if open_ and open_[1] != e[1] and (e[0] - open_[0]).total_seconds() <= 3:
+                p, r = (open_, e) if open_[1] == 0 else (e, open_)
+                want.append((tx, "m", 0, p[2], r[2]))
+                open_ = None
+            else:
+                if open_:
+                    want.append((tx, "u", open_[1], open_[2], None))
+                open_ = e
+        if open_:
+            want.append((tx, "u", open_[1], open_[2], None))
+    mine = [(str(g.tx_id), "m", 0, g.p, g.r) if g.tag == "matched" else
+            (str(g.tx_id), "u", *((0, g.p) if g.tag == "unmatched_pay" else (1, g.r)), None) for g in got]
+    assert sorted(map(str, mine)) == sorted(map(str, want))
