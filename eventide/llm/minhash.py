@@ -6,12 +6,13 @@ attempt) until one is full (optimal densification).  Bins are grouped into
 bands; documents that agree in a band share a bucket.
 
 Buckets give star-shaped candidates: every member is compared with the
-bucket's centre only, not with every other member.  Members not linked to the
-centre stay in the bucket for another round with twice as many centres, until
-none is left to compare; so the pairs of a bucket grow with its size, and a
-group that the first centre doesn't belong to is found all the same.  Centres
-are drawn anew in each band.  Candidates are confirmed on the full shingle
-sets, and links are joined into components.
+bucket's centre only, never with every other member, so the pairs of a bucket
+are fewer than its members.  The centre is the member whose buckets are the
+fullest (the text that a family of copies has drifted from).  Buckets that still
+hold several groups are then split by ``STEP`` further bins, in which like texts
+agree more often than unlike ones, and get centres of their own, until every
+bucket is of one group or the bins are used up.  Candidates are confirmed on the
+full shingle sets, and links are joined into components.
 
 Documents with equal sets are one class from the start: only the smallest id
 of a class is compared.
@@ -29,7 +30,7 @@ from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from eventide.llm import textscan as ts
 from eventide.llm.components import connected_components
@@ -37,6 +38,8 @@ from eventide.llm.scratch import materialize
 
 _U = np.uint64
 _EMPTY = _U(0xFFFFFFFFFFFFFFFF)
+#: Further bins that split the buckets of each round after the first.
+STEP = 4
 
 
 def shingle_sets(s: ts.Slice, size: int, word_class: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -83,7 +86,8 @@ def signatures(row: np.ndarray, h: np.ndarray, rows: int, bins: int) -> np.ndarr
 
 def signature_table(docs: DataFrame, shingle: int, bands: int, rows_per_band: int, word_class: np.ndarray,
                     id_col: str, text_col: str) -> DataFrame:
-    """doc_id, n_shingles, two 64-bit prints of the whole set, one key per band."""
+    """doc_id, n_shingles, two 64-bit prints of the whole set, one key per band
+    and one byte of each bin."""
     bins = bands * rows_per_band
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,18 +100,21 @@ def signature_table(docs: DataFrame, shingle: int, bands: int, rows_per_band: in
                 for salt in (_U(0x6A09E667F3BCC909), _U(0xBB67AE8584CAA73B)):
                     total = np.concatenate(([_U(0)], np.cumsum(ts.mix64(h ^ salt), dtype=np.uint64)))
                     prints.append((total[edge[1:]] - total[edge[:-1]]).view(np.int64))
-                sig = signatures(row, h, s.rows, bins).reshape(s.rows, bands, rows_per_band)
+                sig = signatures(row, h, s.rows, bins)
+                low = np.ascontiguousarray(sig.astype(np.uint8))
+                sig = sig.reshape(s.rows, bands, rows_per_band)
                 key = np.broadcast_to(np.arange(bands, dtype=np.uint64), (s.rows, bands)) + _U(1)
                 for k in range(rows_per_band):
                     key = ts.mix64(key * _U(0xD1342543DE82EF95) + sig[:, :, k])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(s.first, s.rows), pa.array(n), *map(pa.array, prints),
                      pa.ListArray.from_arrays(pa.array(np.arange(0, s.rows * bands + 1, bands), pa.int32()),
-                                              pa.array(np.ascontiguousarray(key).view(np.int64).ravel()))],
-                    ["doc_id", "n_shingles", "print1", "print2", "bands"])
+                                              pa.array(np.ascontiguousarray(key).view(np.int64).ravel())),
+                     pa.array([r.tobytes() for r in low], pa.binary())],
+                    ["doc_id", "n_shingles", "print1", "print2", "bands", "bins"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")) \
-        .mapInArrow(sign, "doc_id long, n_shingles long, print1 long, print2 long, bands array<long>")
+        .mapInArrow(sign, "doc_id long, n_shingles long, print1 long, print2 long, bands array<long>, bins binary")
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int, word_class: np.ndarray) -> DataFrame:
@@ -156,39 +163,54 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     prints = ["print1", "print2", "n_shingles"]
     classes = materialize(full.groupBy(*prints).agg(F.min("doc_id").alias("rep")), "classes")
     members = full.join(classes, prints)
-    reps = materialize(members.filter(F.col("doc_id") == F.col("rep")).select(
-        "doc_id", F.col("n_shingles").alias("n"), F.posexplode("bands").alias("band", "key"))
-        .dropDuplicates(["doc_id", "band", "key"]), "bands")
-    in_reach = F.least("n", "n_c") * 100 >= F.greatest("n", "n_c") * percent
-
-    def centres(rows: DataFrame, k: int) -> DataFrame:
-        order = Window.partitionBy("band", "key").orderBy(F.xxhash64("doc_id", "band"), "doc_id")
-        return (rows.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= k)
-                .select("band", "key", F.col("doc_id").alias("centre"), F.col("n").alias("n_c")))
-
-    shared = reps.groupBy("band", "key").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > 1).select("band", "key")
-    rows = materialize(reps.join(materialize(shared, "buckets"), ["band", "key"]), "bucketed")
-    wanted = materialize(rows.select("doc_id").distinct(), "candidates")
+    reps = members.filter(F.col("doc_id") == F.col("rep"))
+    every = materialize(reps.select("doc_id", F.col("n_shingles").alias("n"), F.posexplode("bands").alias("band", "key")),
+                        "bands")
+    shared = materialize(every.groupBy("band", "key").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > 1), "buckets")
+    rows = materialize(every.join(shared, ["band", "key"]), "bucketed")
+    # of each candidate: its text, one byte of each bin, and how full its buckets are
+    fame = materialize(rows.groupBy("doc_id").agg(F.sum("c").alias("fame"), F.max("n").alias("n")), "fame")
+    rows = rows.select("band", "key", "doc_id")
     texts = materialize(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-                        .join(wanted, "doc_id", "left_semi"), "candidate-texts")
-    links, k = None, 1
-    while rows.limit(1).count():
-        meet = materialize(rows.join(materialize(centres(rows, k), "centres"), ["band", "key"])
-                           .filter(F.col("doc_id") != F.col("centre")), "stars")
-        pairs = meet.filter(in_reach).groupBy(
-            F.least("centre", "doc_id").alias("a"), F.greatest("centre", "doc_id").alias("b")) \
-            .agg(F.min("centre").alias("centre")) \
-            .select("centre", F.when(F.col("centre") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("member"))
-        good = materialize(confirm(materialize(pairs, "pairs"), texts, shingle, percent, word_class), "links")
+                        .join(fame.select("doc_id"), "doc_id", "left_semi"), "candidate-texts")
+    bins = materialize(reps.select("doc_id", "bins").join(fame.select("doc_id"), "doc_id", "left_semi")
+                       .groupBy("doc_id").agg(F.min("bins").alias("bins")), "candidate-bins")
+    label = fame.select("doc_id", "n", "fame", F.col("doc_id").alias("label"))
+    links = tested = None
+    for used in range(0, bands * rows_per_band, STEP):
+        known = materialize(rows.join(label, "doc_id"), "known")
+        # the centre of every bucket that holds more than one group
+        first = F.struct((-F.col("fame")).alias("f"), F.xxhash64("doc_id", "band").alias("h"), F.col("doc_id").alias("centre"),
+                         F.col("n").alias("n_c"), F.col("label").alias("label_c"))
+        stars = materialize(
+            known.groupBy("band", "key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min(first).alias("s"))
+            .filter(F.col("lo") != F.col("hi")).select("band", "key", "s.centre", "s.n_c", "s.label_c"), "centres")
+        if not stars.limit(1).count():
+            break
+        known = materialize(known.join(stars, ["band", "key"]), "stars")
+        pairs = known.filter((F.col("label") != F.col("label_c"))
+                             & (F.least("n", "n_c") * 100 >= F.greatest("n", "n_c") * percent)) \
+            .groupBy(F.least("centre", "doc_id").alias("a"), F.greatest("centre", "doc_id").alias("b")) \
+            .agg(F.min("centre").alias("centre"))
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = materialize(pairs, "pairs")
+        tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
+        good = materialize(confirm(pairs.select("centre", F.when(F.col("centre") == F.col("a"), F.col("b"))
+                                                .otherwise(F.col("a")).alias("member")),
+                                   texts, shingle, percent, word_class), "links")
         links = good if links is None else links.unionByName(good)
-        either = good.select("centre", F.col("member").alias("doc_id")).unionByName(
-            good.select(F.col("member").alias("centre"), F.col("centre").alias("doc_id"))).distinct()
-        done = meet.join(either, ["centre", "doc_id"], "left_semi").select("band", "key", "doc_id").unionByName(
-            centres(rows, k).select("band", "key", F.col("centre").alias("doc_id"))).distinct()
-        left = materialize(rows.join(done, ["band", "key", "doc_id"], "left_anti"), "left")
-        again = left.groupBy("band", "key").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > 1)
-        rows = materialize(left.join(again.select("band", "key"), ["band", "key"]), "bucketed")
-        k *= 2
+        # groups known so far: a document goes by the smallest label it is linked with
+        both = good.select("centre", "member").unionByName(
+            good.select(F.col("member").alias("centre"), F.col("centre").alias("member")))
+        near = both.join(label.select(F.col("doc_id").alias("centre"), F.col("label").alias("near")), "centre") \
+            .groupBy(F.col("member").alias("doc_id")).agg(F.min("near").alias("near"))
+        label = materialize(label.join(near, "doc_id", "left").select(
+            "doc_id", "n", "fame", F.least("label", "near").alias("label")), "labels")
+        # the members of these buckets go on, dealt by more bins
+        part = F.expr(f"substring(bins, pmod((band + 1) * {rows_per_band} + {used}, {bands * rows_per_band - STEP}) + 1, {STEP})")
+        rows = (known.filter(F.col("doc_id") != F.col("centre")).select("band", "key", "doc_id")
+                .join(bins, "doc_id").select("band", F.xxhash64("key", part).alias("key"), "doc_id"))
     if links is None:
         found = members.select("doc_id", "n_shingles", F.col("rep").alias("component_id"))
     else:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from eventide.llm import oracles
+
 #: The rules of op7, by (host, path, verdict).
 URL_RULES = [
     ("net", "/", "block"),
@@ -111,4 +113,8 @@ QUERIES = {
     "op9_instance_toxicity": op9_instance_toxicity,
     "op10_backoff_scores": op10_backoff_scores,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op1_prefix_decontamination": oracles.DECONTAMINATION,
+    "op7_host_reputation": oracles.url_reputation(URL_RULES),
+    "op10_backoff_scores": oracles.BACKOFF,
+}

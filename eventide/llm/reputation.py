@@ -19,6 +19,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from eventide.llm.scratch import materialize
+
 OWN = ["host", "path", "rule", "verdict", "bad_rate", "bad_rate_low"]
 
 
@@ -109,11 +111,13 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], outcome: Col
     keep = [c for c in pages.columns if c not in OWN]
     label = F.lit(None) if outcome is None else outcome
     base = pages.select(*keep, host.alias("host"), path.alias("path"), label.cast("int").alias("__bad"))
+    base = materialize(base, "urls")            # labels are looked up once
     table = spark.createDataFrame(
         [(h.lower(), p, h + p, v) for h, p, v in rules] or [("\0", "", "", "allow")],
         "rule_host string, rule_path string, rule string, rule_verdict string")
     hosts = base.select("host").distinct()
-    fits = hosts.join(host_rules(hosts, table), "host", "left")
+    # one row per host, written, so that AQE may split a host with very many pages
+    fits = materialize(hosts.join(host_rules(hosts, table), "host", "left"), "host-rules")
     won = F.get(F.filter("rules", lambda r: F.startswith(F.col("path"), r["rule_path"])), F.lit(0))
     ruled = (base.join(fits, "host")
              .withColumn("__won", F.when(F.col("rules").isNotNull(), won)).drop("rules")
@@ -129,7 +133,7 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], outcome: Col
     mean = F.coalesce("host_mean", "domain_mean", "suffix_mean", "top_mean", F.lit(0.0))
     n = F.coalesce("host_n", "domain_n", "suffix_n", F.lit(0.0))
     low = F.greatest(F.lit(0.0), mean - z * F.sqrt(mean * (1 - mean) / (n + 1)))
-    rated = rated.select("host", mean.alias("bad_rate"), low.alias("bad_rate_low"))
+    rated = materialize(rated.select("host", mean.alias("bad_rate"), low.alias("bad_rate_low")), "host-rates")
     method = F.when(F.col("bad_rate_low") > limit, "block").otherwise("allow")
     return (ruled.join(rated, "host")
             .withColumn("verdict", F.coalesce("rule_verdict", method))

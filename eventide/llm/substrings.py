@@ -209,14 +209,16 @@ def _runs(at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at[new], end[last] - at[new]
 
 
-def documents_with_order(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Add __doc (null: smallest) and __ord, which tells rows of one id apart."""
+def documents_with_order(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, list[str]]:
+    """Add __doc (null: smallest) and __ord, which tells rows of one id apart;
+    and say which of the two it takes to know a document."""
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(-2 ** 63).cast("long"))
     docs = docs.withColumn("__doc", key)
     several = docs.groupBy("__doc").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count()
     if not several:
-        return docs.withColumn("__ord", F.lit(0))
-    return docs.withColumn("__ord", F.row_number().over(Window.partitionBy("__doc").orderBy(text_col)))
+        return docs.withColumn("__ord", F.lit(0)), ["doc"]
+    order = Window.partitionBy("__doc").orderBy(text_col)
+    return docs.withColumn("__ord", F.row_number().over(order)), ["doc", "ord"]
 
 
 def drop_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text",
@@ -226,8 +228,8 @@ def drop_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", tex
     spark = docs.sparkSession
     own = ["removed", "kept"]
     columns = [c for c in (docs.columns if columns is None else columns) if c not in own]
-    base = documents_with_order(docs, id_col, text_col).withColumn(
-        "__bytes", F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    base, known_by = documents_with_order(docs, id_col, text_col)
+    base = base.withColumn("__bytes", F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     carried = base.select(*columns, "__doc", "__ord", "__bytes")
     total = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_TEXT_BYTES))
@@ -302,11 +304,11 @@ def drop_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", tex
                 [*columns, *own])
 
     def per_document(found: DataFrame) -> DataFrame:        # a list no longer than its text
-        return found.groupBy("doc", "ord").agg(F.collect_list(F.struct("at", "n", "open")).alias("__marks"))
+        return found.groupBy(*known_by).agg(F.collect_list(F.struct("at", "n", "open")).alias("__marks"))
 
     first = (carried.select("__doc", "__ord", "__bytes").mapInArrow(scan, PACKED)
              .groupBy("bucket").applyInArrow(settle_anchors, FOUND))
-    keys = lambda d: [F.col("__doc") == d["doc"], F.col("__ord") == d["ord"]]
+    keys = lambda d: [F.col(f"__{k}") == d[k] for k in known_by]
     marked = per_document(first)
     # both joins take the same columns of the documents, so they share one shuffle of the texts
     second = (carried.join(marked, keys(marked)).mapInArrow(open_windows, PACKED)

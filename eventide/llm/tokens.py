@@ -9,7 +9,7 @@ need more bits go in full to an exception list (position, difference).
 File layout (little endian):
 
     blocks      u32 minimum, u16 ids, u8 width, u8 zero, u16 exceptions, u16 zero,
-                packed bits (most significant first, whole bytes),
+                packed bits (one plane per bit, lowest first, whole bytes each),
                 u16 positions, u32 differences of the exceptions
     documents   i64 ids of documents, u8 null marks, u64 numbers of token ids
     index       u64 start of each block
@@ -44,47 +44,39 @@ PERCENTILE = 95
 MAGIC = b"PFORTOK1"
 _HEAD = struct.Struct("<IHBBHH")
 _TRAILER = struct.Struct("<QQQQI8s")
-#: Distinct words whose ids a worker remembers.
-CACHE_WORDS = 600_000
+#: Distinct words whose ids a worker remembers, twice: those of late and those before.
+CACHE_WORDS = 700_000
+#: ASCII marks that can be parted from the letters before them.
+_MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"
 
 
 # ---- blocks ---------------------------------------------------------------
 
 def pack_block(ids: np.ndarray) -> bytes:
     low = int(ids.min())
-    diff = (ids - np.uint32(low)).astype(np.uint32)
-    bits = np.ceil(np.log2(diff.astype(np.float64) + 1)).astype(np.int64)   # bit lengths
-    hist = np.bincount(bits, minlength=33)
-    width = int(np.searchsorted(np.cumsum(hist), PERCENTILE / 100 * len(ids)))
-    out = np.flatnonzero(bits > width).astype(np.uint16)
-    if width:
-        body = diff & np.uint32((1 << width) - 1)
-        if width <= 16:
-            lanes = (body << np.uint32(16 - width)).astype(">u2").view(np.uint8).reshape(-1, 2)
-            matrix = np.unpackbits(lanes, axis=1)[:, :width]
-        else:
-            lanes = (body << np.uint32(32 - width)).astype(">u4").view(np.uint8).reshape(-1, 4)
-            matrix = np.unpackbits(lanes, axis=1)[:, :width]
-        packed = np.packbits(matrix).tobytes()
-    else:
-        packed = b""
-    return (_HEAD.pack(low, len(ids), width, 0, len(out), 0) + packed
+    diff = ids - np.uint32(low)
+    at = (len(ids) * PERCENTILE - 1) // 100
+    width = int(np.partition(diff, at)[at]).bit_length()
+    out = np.flatnonzero(diff >> np.uint32(width)) if width < 32 else np.zeros(0, np.int64)
+    planes = []
+    for bit in range(0, width, 8):
+        byte = (diff >> np.uint32(bit)).astype(np.uint8)
+        shift = np.arange(min(8, width - bit), dtype=np.uint8)[:, None]
+        planes.append(np.packbits((byte >> shift) & np.uint8(1), axis=1).tobytes())
+    return (_HEAD.pack(low, len(ids), width, 0, len(out), 0) + b"".join(planes)
             + out.astype("<u2").tobytes() + diff[out].astype("<u4").tobytes())
 
 
 def unpack_block(raw: bytes) -> np.ndarray:
     low, n, width, _, n_out, _ = _HEAD.unpack_from(raw)
-    at = _HEAD.size
-    size = (n * width + 7) // 8
-    if width:
-        bits = np.unpackbits(np.frombuffer(raw, np.uint8, size, at), count=n * width).reshape(n, width)
-        lanes = 16 if width <= 16 else 32
-        full = np.zeros((n, lanes), np.uint8)
-        full[:, lanes - width:] = bits
-        diff = np.packbits(full, axis=1).view(">u2" if lanes == 16 else ">u4").reshape(n).astype(np.uint32)
-    else:
-        diff = np.zeros(n, np.uint32)
-    at += size
+    at, row = _HEAD.size, (n + 7) // 8
+    bits = np.unpackbits(np.frombuffer(raw, np.uint8, width * row, at).reshape(width, row), axis=1, count=n)
+    diff = np.zeros(n, np.uint32)
+    for bit in range(0, width, 8):
+        lane = bits[bit:bit + 8]
+        byte = np.bitwise_or.reduce(lane << np.arange(len(lane), dtype=np.uint8)[:, None], axis=0)
+        diff |= byte.astype(np.uint32) << np.uint32(bit)
+    at += width * row
     where = np.frombuffer(raw, "<u2", n_out, at)
     diff[where] = np.frombuffer(raw, "<u4", n_out, at + 2 * n_out)
     return diff + np.uint32(low)
@@ -202,6 +194,7 @@ class WordEncoder:
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for w, i in vocab.items() if w.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}
 
     def _learn(self, words: list[str]) -> None:
         """Words of letters only are encoded many at a time: each is one
@@ -224,25 +217,43 @@ class WordEncoder:
             for w, e in zip(some, self.tok.encode_batch_fast(some, add_special_tokens=False)):
                 self.known[w] = np.array(e.ids, "<u4").tobytes()
 
+    def _reduce(self, word: str) -> tuple[str, str]:
+        """(word in lower case, marks behind it) where both can be encoded apart:
+        in Latin-1, lower-casing and composition act on single characters, and
+        a run of letters and the run of marks behind it are two pre-tokens."""
+        if max(word) >= "\u0100" or "<" in word:
+            return word, ""
+        low = word.lower()
+        core = low.rstrip(_MARKS)
+        if core and core[-1].isalpha():
+            return core, low[len(core):]
+        return low, ""
+
     def encode(self, text: str) -> np.ndarray:
         known = self.known
         words = text.replace("\n", " ").split(" ")
         try:
-            return np.frombuffer(b"".join([known[w] for w in words]), "<u4")
+            return np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4")
         except KeyError:
             pass
-        if len(known) > CACHE_WORDS:
-            known.clear()
-            known[""] = b""
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        # a word with a full stop or comma behind it is the word, then the mark
-        split = [w for w in new if w[-1] in ".," and "a" <= w[-2:-1] <= "z"]
-        parts = [p for w in split for p in (w[:-1], w[-1])]
-        cut = set(split)
-        self._learn([w for w in dict.fromkeys([w for w in new if w not in cut] + parts) if w not in known])
-        for w in split:
-            known[w] = known[w[:-1]] + known[w[-1]]
-        return np.frombuffer(b"".join([known[w] for w in words]), "<u4")
+        if len(known) > CACHE_WORDS:        # the words in use move over again
+            self.old, self.known = known, {"": b""}
+            known = self.known
+        new = {}
+        for w in set(words).difference(known):
+            ids = self.old.get(w)
+            if ids is None:
+                new[w] = self._reduce(w)
+            else:
+                known[w] = ids
+        if new:
+            parts = {p for pair in new.values() for p in pair}.difference(known)
+            for p in [p for p in parts if p in self.old]:
+                known[p] = self.old[p]
+            self._learn(list(parts.difference(known)))
+            for w, (core, tail) in new.items():
+                known[w] = known[core] + known[tail]
+        return np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4")
 
 
 _encoders: dict[str, WordEncoder] = {}

@@ -35,6 +35,7 @@ def brute(rows, order, cutoff, alpha):
 @pytest.mark.parametrize("order,unit", [(3, 16 << 20), (3, 4000), (1, 4000), (4, 9000)])
 def test_equals_brute_force(spark, monkeypatch, order, unit):
     monkeypatch.setattr(bo, "UNIT_BYTES", unit)
+    monkeypatch.setattr(bo, "PART_BYTES", unit // 2)
     rows = documents(spark)
     rows += [rows[5]] * 2
     got = bo.backoff_scores(frame(spark, rows), order=order).collect()
