@@ -1,8 +1,8 @@
-"""Tables written to the shared folder to cut lineage, and small input guards."""
+"""Tables written to the shared folder to cut lineage."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame
 
 from eventide.session import scratch_path
 
@@ -15,14 +15,3 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, f"llm-{name}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a scratch table (through Spark's own file system client)."""
-    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
-
-
-def column_or_null(df: DataFrame, name: str, dtype: str):
-    """``df[name]`` cast to ``dtype``; a null column where the table has none."""
-    return df[name].cast(dtype) if name in df.columns else F.lit(None).cast(dtype)
