@@ -13,9 +13,9 @@ n-gram hash); a partition adds the counts up and answers each unit; the unit's
 documents meet the answers and sum their words.  A frequent n-gram is one entry
 per unit, wherever it stands.
 
-n-grams are known by hashes of 24 bits more than the corpus size in bytes has
-(at most 64), so the chance that an n-gram shares its hash with another one
-stays below 2^-24 at any size.
+n-grams are known by hashes of ``SPARE_BITS`` more bits than the corpus size in
+bytes has (at most 64 in all), so the chance that an n-gram shares its hash with
+another one is about one in a million at any size.
 
 Defined cases: words are runs of digits, letters and non-ASCII characters, A-Z
 folded; a null or empty text has no words and score 0; repeated rows count and
@@ -37,7 +37,9 @@ from eventide.llm.scratch import materialize
 _U = np.uint64
 #: Text bytes of a unit, about, and those that a partition of the count table stands for.
 UNIT_BYTES = 6 << 20
-PART_BYTES = 16 << 20
+PART_BYTES = 4 << 20
+#: Bits that n-gram hashes have beyond those of the corpus size in bytes.
+SPARE_BITS = 20
 
 
 def unit_grams(texts, order: int, id_bits: int):
@@ -84,7 +86,7 @@ def backoff_scores(docs: DataFrame, order: int = 3, cutoff: int = 2, alpha: floa
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     units = max(1, -(-total // UNIT_BYTES))
     parts = max(1, -(-total // PART_BYTES))
-    id_bits = min(64, 24 + max(1, math.ceil(math.log2(total + 2))))
+    id_bits = min(64, SPARE_BITS + max(1, math.ceil(math.log2(total + 2))))
     rows = docs.select(F.pmod(F.xxhash64(F.col(id_col), F.octet_length(text), F.crc32(text.cast("binary"))),
                               F.lit(units)).cast("int").alias("unit"),
                        F.col(id_col).alias("doc_id"), text.alias("text"))
