@@ -5,14 +5,16 @@ the bin's value, and empty bins borrow from bins drawn by a hash of (bin,
 attempt) until one is full (optimal densification).  Bins are grouped into
 bands; documents that agree in a band share a bucket.
 
-Buckets give star-shaped candidates: every member is compared with the
-bucket's centre only, never with every other member, so the pairs of a bucket
-are fewer than its members.  The centre is the member whose buckets are the
-fullest (the text that a family of copies has drifted from).  Buckets that still
-hold several groups are then split by ``STEP`` further bins, in which like texts
-agree more often than unlike ones, and get centres of their own, until every
-bucket is of one group or the bins are used up.  Candidates are confirmed on the
-full shingle sets, and links are joined into components.
+Buckets give star-shaped candidates: members are compared with centres, not with
+every other member.  The first centre is the member whose buckets are the fullest
+(the text that a family of copies has drifted from).  Links are joined into
+groups after each round; a bucket keeps its key and its members, and gets more
+centres, one for each of ``PARTS`` parts that its groups are dealt into, while
+members that were no centre are of several groups.  What is mixed after these
+rounds goes to an exact join: two sets that are alike share one of their rarest
+shingles (prefix filter with lengths and positions), so that every pair of a
+bucket is compared, known to be of one group, or unable to be alike.  Candidates
+are confirmed on the full shingle sets, and links are joined into components.
 
 Documents with equal sets are one class from the start: only the smallest id
 of a class is compared.
@@ -38,8 +40,10 @@ from eventide.llm.scratch import materialize
 
 _U = np.uint64
 _EMPTY = _U(0xFFFFFFFFFFFFFFFF)
-#: Further bins that split the buckets of each round after the first.
-STEP = 4
+#: Centres of a bucket in each round.
+PARTS = (1, 4, 16)
+#: Counters of shingles by which the exact join orders them.
+SLOTS = 1 << 20
 
 
 def shingle_sets(s: ts.Slice, size: int, word_class: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -86,8 +90,7 @@ def signatures(row: np.ndarray, h: np.ndarray, rows: int, bins: int) -> np.ndarr
 
 def signature_table(docs: DataFrame, shingle: int, bands: int, rows_per_band: int, word_class: np.ndarray,
                     id_col: str, text_col: str) -> DataFrame:
-    """doc_id, n_shingles, two 64-bit prints of the whole set, one key per band
-    and one byte of each bin."""
+    """doc_id, n_shingles, two 64-bit prints of the whole set, one key per band."""
     bins = bands * rows_per_band
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,21 +103,18 @@ def signature_table(docs: DataFrame, shingle: int, bands: int, rows_per_band: in
                 for salt in (_U(0x6A09E667F3BCC909), _U(0xBB67AE8584CAA73B)):
                     total = np.concatenate(([_U(0)], np.cumsum(ts.mix64(h ^ salt), dtype=np.uint64)))
                     prints.append((total[edge[1:]] - total[edge[:-1]]).view(np.int64))
-                sig = signatures(row, h, s.rows, bins)
-                low = np.ascontiguousarray(sig.astype(np.uint8))
-                sig = sig.reshape(s.rows, bands, rows_per_band)
+                sig = signatures(row, h, s.rows, bins).reshape(s.rows, bands, rows_per_band)
                 key = np.broadcast_to(np.arange(bands, dtype=np.uint64), (s.rows, bands)) + _U(1)
                 for k in range(rows_per_band):
                     key = ts.mix64(key * _U(0xD1342543DE82EF95) + sig[:, :, k])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(s.first, s.rows), pa.array(n), *map(pa.array, prints),
                      pa.ListArray.from_arrays(pa.array(np.arange(0, s.rows * bands + 1, bands), pa.int32()),
-                                              pa.array(np.ascontiguousarray(key).view(np.int64).ravel())),
-                     pa.array([r.tobytes() for r in low], pa.binary())],
-                    ["doc_id", "n_shingles", "print1", "print2", "bands", "bins"])
+                                              pa.array(np.ascontiguousarray(key).view(np.int64).ravel()))],
+                    ["doc_id", "n_shingles", "print1", "print2", "bands"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")) \
-        .mapInArrow(sign, "doc_id long, n_shingles long, print1 long, print2 long, bands array<long>, bins binary")
+        .mapInArrow(sign, "doc_id long, n_shingles long, print1 long, print2 long, bands array<long>")
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int, word_class: np.ndarray) -> DataFrame:
@@ -152,6 +152,60 @@ def confirm(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int, word
     return both.select("centre", "member", "text_c", "text_m").mapInArrow(alike, "centre long, member long").distinct()
 
 
+def rare_shingles(texts: DataFrame, shingle: int, percent: int, word_class: np.ndarray) -> DataFrame:
+    """(doc_id, n, token, at): of each text the rarest shingles, so many that
+    two texts that are alike have one in common; ``at`` is the place among all
+    shingles of the text, rarest first.  Rarity is read from ``SLOTS`` counters;
+    any order that all texts share is right, a rough one only costs pairs."""
+
+    def sets(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            for s in ts.slices(batch.column(1)):
+                row, h = shingle_sets(s, shingle, word_class)
+                yield batch.column(0).slice(s.first, s.rows).to_numpy(zero_copy_only=False), row, h
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS, np.int64)
+        for _, _, h in sets(batches):
+            total += np.bincount((h % _U(SLOTS)).astype(np.int64), minlength=SLOTS)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["slot", "n"])
+
+    rows = texts.select("doc_id", "text")
+    table = rows.mapInArrow(tally, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(SLOTS, np.int64)
+    counts[table.column("slot").to_numpy()] = table.column("n").to_numpy()
+
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, row, h in sets(batches):
+            often = counts[(h % _U(SLOTS)).astype(np.int64)]
+            order = np.lexsort((h, often, row))
+            row, h, often = row[order], h[order], often[order]
+            n = np.bincount(row, minlength=len(ids))
+            at = np.arange(len(row)) - (np.cumsum(n) - n)[row]
+            # a shingle counted once is in no other text
+            keep = np.flatnonzero((at <= n[row] - (percent * n[row] + 99) // 100) & (often > 1))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[row[keep]].astype(np.int64)), pa.array(n[row[keep]].astype(np.int64)),
+                 pa.array(h[keep].view(np.int64)), pa.array(at[keep].astype(np.int64))], ["doc_id", "n", "token", "at"])
+
+    return rows.mapInArrow(rarest, "doc_id long, n long, token long, at long")
+
+
+def rare_pairs(texts: DataFrame, label: DataFrame, shingle: int, percent: int, word_class: np.ndarray) -> DataFrame:
+    """(a, b) of all texts of different groups that may be alike."""
+    rare = materialize(rare_shingles(texts, shingle, percent, word_class).join(label.select("doc_id", "label"), "doc_id"),
+                       "rare")
+    mixed = rare.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter(F.col("lo") != F.col("hi"))
+    rare = materialize(rare.join(mixed.select("token"), "token"), "rare-shared")
+    one, two = (rare.select("token", *(F.col(c).alias(c + x) for c in ("doc_id", "n", "at", "label"))) for x in "12")
+    n = F.col("n1") + F.col("n2")
+    left = F.least(F.col("n1") - F.col("at1"), F.col("n2") - F.col("at2"))      # of the first common one on
+    return (one.join(two, (one["token"] == two["token"]) & (F.col("doc_id1") < F.col("doc_id2"))
+                     & (F.col("label1") != F.col("label2")) & (left * (100 + percent) >= n * percent))
+            .select(F.col("doc_id1").alias("a"), F.col("doc_id2").alias("b")).distinct())
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 26, rows_per_band: int = 5,
                     word_class: np.ndarray = ts.BLANK_WORD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
@@ -173,49 +227,53 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     rows = rows.select("band", "key", "doc_id")
     texts = materialize(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
                         .join(fame.select("doc_id"), "doc_id", "left_semi"), "candidate-texts")
-    bins = materialize(reps.select("doc_id", "bins").join(fame.select("doc_id"), "doc_id", "left_semi")
-                       .groupBy("doc_id").agg(F.min("bins").alias("bins")), "candidate-bins")
     label = fame.select("doc_id", "n", "fame", F.col("doc_id").alias("label"))
-    links = tested = None
-    for used in range(0, bands * rows_per_band, STEP):
+    links = tested = of = None
+
+    def test(pairs: DataFrame) -> None:
+        nonlocal links, tested, of, label
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = materialize(pairs, "pairs")
+        tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
+        good = materialize(confirm(pairs.select(F.col("a").alias("centre"), F.col("b").alias("member")),
+                                   texts, shingle, percent, word_class), "links")
+        links = good if links is None else links.unionByName(good)
+        # groups known so far: a document goes by the smallest one it is linked with
+        of = materialize(connected_components(links.select(F.col("centre").alias("u"), F.col("member").alias("v"))),
+                         "components")
+        label = materialize(fame.join(of, F.col("doc_id") == F.col("node"), "left").select(
+            "doc_id", "n", "fame", F.coalesce("component", "doc_id").alias("label")), "labels")
+
+    for parts in PARTS:
         known = materialize(rows.join(label, "doc_id"), "known")
-        # the centre of every bucket that holds more than one group
+        # one centre of each part of every bucket that holds more than one group
         first = F.struct((-F.col("fame")).alias("f"), F.xxhash64("doc_id", "band").alias("h"), F.col("doc_id").alias("centre"),
                          F.col("n").alias("n_c"), F.col("label").alias("label_c"))
         stars = materialize(
-            known.groupBy("band", "key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min(first).alias("s"))
-            .filter(F.col("lo") != F.col("hi")).select("band", "key", "s.centre", "s.n_c", "s.label_c"), "centres")
+            known.groupBy("band", "key", F.expr(f"pmod(xxhash64(label, band), {parts})").alias("part"))
+            .agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min(first).alias("s"))
+            .groupBy("band", "key").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.collect_list("s").alias("s"))
+            .filter(F.col("lo") != F.col("hi")).select("band", "key", "s"), "centres")
         if not stars.limit(1).count():
+            rows = None
             break
         known = materialize(known.join(stars, ["band", "key"]), "stars")
-        pairs = known.filter((F.col("label") != F.col("label_c"))
-                             & (F.least("n", "n_c") * 100 >= F.greatest("n", "n_c") * percent)) \
-            .groupBy(F.least("centre", "doc_id").alias("a"), F.greatest("centre", "doc_id").alias("b")) \
-            .agg(F.min("centre").alias("centre"))
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
-        good = materialize(confirm(pairs.select("centre", F.when(F.col("centre") == F.col("a"), F.col("b"))
-                                                .otherwise(F.col("a")).alias("member")),
-                                   texts, shingle, percent, word_class), "links")
-        links = good if links is None else links.unionByName(good)
-        # groups known so far: a document goes by the smallest label it is linked with
-        both = good.select("centre", "member").unionByName(
-            good.select(F.col("member").alias("centre"), F.col("centre").alias("member")))
-        near = both.join(label.select(F.col("doc_id").alias("centre"), F.col("label").alias("near")), "centre") \
-            .groupBy(F.col("member").alias("doc_id")).agg(F.min("near").alias("near"))
-        label = materialize(label.join(near, "doc_id", "left").select(
-            "doc_id", "n", "fame", F.least("label", "near").alias("label")), "labels")
-        # the members of these buckets go on, dealt by more bins
-        part = F.expr(f"substring(bins, pmod((band + 1) * {rows_per_band} + {used}, {bands * rows_per_band - STEP}) + 1, {STEP})")
-        rows = (known.filter(F.col("doc_id") != F.col("centre")).select("band", "key", "doc_id")
-                .join(bins, "doc_id").select("band", F.xxhash64("key", part).alias("key"), "doc_id"))
+        test(known.select("doc_id", "n", "label", F.inline("s")).filter(
+            (F.col("label") != F.col("label_c")) & (F.least("n", "n_c") * 100 >= F.greatest("n", "n_c") * percent))
+            .select(F.least("centre", "doc_id").alias("a"), F.greatest("centre", "doc_id").alias("b")).distinct())
+        # centres have met all of the bucket; the others stay
+        rows = known.filter(~F.exists("s", lambda c: c["centre"] == F.col("doc_id"))).select("band", "key", "doc_id")
+    if rows is not None:
+        known = materialize(rows.join(label, "doc_id"), "known")
+        mixed = known.groupBy("band", "key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")) \
+            .filter(F.col("lo") != F.col("hi")).select("band", "key")
+        mixed = materialize(known.join(mixed, ["band", "key"]).select("doc_id").distinct(), "mixed")
+        if mixed.limit(1).count():
+            test(rare_pairs(materialize(texts.join(mixed, "doc_id"), "mixed-texts"), label, shingle, percent, word_class))
     if links is None:
         found = members.select("doc_id", "n_shingles", F.col("rep").alias("component_id"))
     else:
-        of = materialize(connected_components(links.select(F.col("centre").alias("u"), F.col("member").alias("v"))),
-                         "components")
         found = (materialize(members.select("doc_id", "n_shingles", "rep"), "members")
                  .join(of, F.col("rep") == F.col("node"), "left")
                  .select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id")))

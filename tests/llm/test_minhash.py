@@ -45,6 +45,32 @@ def test_equals_brute_force(spark, size, percent):
         assert r["kept"] == (r["doc_id"] == r["component_id"])
 
 
+@pytest.mark.parametrize("size,percent", [(3, 85), (5, 80)])
+def test_no_link_is_lost_in_a_mixed_bucket(spark, size, percent):
+    rng = random.Random(11)
+    common, rows = ["c%d" % k for k in range(160)], []
+    for g in range(110):            # a common passage, a few words of the group, changes of the text
+        own = ["g%d_%d" % (g, k) for k in range(60)]
+        for _ in range(3):
+            text = common + own
+            for _ in range(2):
+                text[rng.randrange(len(text))] = "x%d" % rng.randrange(10 ** 9)
+            rows.append((len(rows), " ".join(text)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    keys = {r["doc_id"]: r["bands"][0] for r in
+            mh.signature_table(df, size, 1, 2, ts.BLANK_WORD, "doc_id", "text").collect()}
+    assert max(list(keys.values()).count(k) for k in set(keys.values())) >= 100
+    sets = {i: {tuple(t.split()[k:k + size]) for k in range(len(t.split()) - size + 1)} for i, t in rows}
+    links = [(a, b) for a in sets for b in sets if a < b and keys[a] == keys[b]
+             and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+    of = components(sets, links)
+    got = {r["doc_id"]: r["component_id"] for r in
+           mh.near_duplicates(df, shingle=size, percent=percent, bands=1, rows_per_band=2).collect()}
+    lost = [(a, b) for a, b in links if got[a] != got[b]]
+    assert len(links) > 60 and not lost, (len(links), len(lost))
+    assert all(got[a] <= of[a] for a in got)
+
+
 def test_nothing_to_compare(spark):
     assert mh.near_duplicates(frame(spark, [])).count() == 0
     only = documents(spark)[7:10]
