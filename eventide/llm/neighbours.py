@@ -10,11 +10,14 @@ Threshold edges are the list entries that pass the cosine in double precision;
 they are joined into components.  A list whose entries all pass is saturated: it
 may be too short for the vector's links.  It is enlarged to its whole
 component: components are compared block by block (two blocks in memory), and
-only numbers of links leave a block pair, never pairs.
+only numbers of links leave a block pair, never pairs.  For links that lead out
+of the component, the vectors of saturated lists get new lists that take
+partners from other components only; what passes joins the components, and this
+goes on until no list is saturated or nothing is joined.
 
 Recall is audited: ``audit`` vectors are compared with all vectors, and more
 leaves and rounds follow while the links found are less than ``recall`` of the
-true ones.
+true ones; if they still are after the last try, that is an error.
 
 Defined cases: vectors that are null, zero, or hold null or non-finite
 components link with nothing, as do rows without an id; vectors of different
@@ -62,7 +65,9 @@ def unit_vectors(classes: DataFrame) -> DataFrame:
 
 
 def leaf_lists(vectors: DataFrame, n: int, dim: int, k: int, trees: int, seed: int) -> DataFrame:
-    """First neighbours: the nearest within leaves of random projections."""
+    """Nearest within leaves of random projections.  ``vectors``: (id, vec,
+    component, wanted); a list takes no partner of its own component, and only
+    the wanted vectors get one."""
     bits = min(40, max(0, math.ceil(math.log2(max(1, n / LEAF)))))
     planes = np.random.RandomState(seed).randn(trees, bits, dim).astype(np.float32)
     power = (1 << np.arange(bits, dtype=np.int64))
@@ -76,25 +81,28 @@ def leaf_lists(vectors: DataFrame, n: int, dim: int, k: int, trees: int, seed: i
                 leaf = ((x @ planes[t].T > 0) * power).sum(1) if bits else np.zeros(len(x), np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(x), t, np.int32)), pa.array(leaf.astype(np.int64)),
-                     batch.column(0), batch.column(1)], ["tree", "leaf", "id", "vec"])
+                     *batch.columns], ["tree", "leaf", "id", "vec", "component", "wanted"])
 
     def nearest(table: pa.Table) -> pa.Table:
         ids, x = table.column("id").to_numpy(), _matrix(table.column("vec"), "<f2")
-        sim = x @ x.T
-        np.fill_diagonal(sim, -2)
+        group, wanted = table.column("component").to_numpy(), np.array(table.column("wanted").to_pylist(), bool)
         m = min(k, len(ids) - 1)
-        if m <= 0:
+        if m <= 0 or not wanted.any():
             return pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64()),
                              "sim": pa.array([], pa.float32())})
+        sim = x[wanted] @ x.T
+        sim[group[wanted][:, None] == group[None, :]] = -2
         best = np.argpartition(-sim, m - 1, axis=1)[:, :m]
-        return pa.table({"u": np.repeat(ids, m), "v": ids[best.ravel()],
-                         "sim": np.take_along_axis(sim, best, 1).ravel().astype(np.float32)})
+        near = np.take_along_axis(sim, best, 1).ravel().astype(np.float32)
+        other = near > -1.5
+        return pa.table({"u": np.repeat(ids[wanted], m)[other], "v": ids[best.ravel()][other], "sim": near[other]})
 
-    rows = vectors.mapInArrow(leaves, "tree int, leaf long, id long, vec binary")
+    rows = vectors.select("id", "vec", "component", "wanted").mapInArrow(
+        leaves, "tree int, leaf long, id long, vec binary, component long, wanted boolean")
     sizes = rows.groupBy("tree", "leaf").agg(F.count(F.lit(1)).alias("c"))
     split = rows.join(materialize(sizes, "leaf-sizes"), ["tree", "leaf"]).withColumn(
         "part", F.expr(f"pmod(xxhash64(id, tree, {seed}), greatest(1, cast(ceil(c / {1.5 * LEAF}) as long)))"))
-    return split.select("tree", "leaf", "part", "id", "vec").groupBy("tree", "leaf", "part") \
+    return split.select("tree", "leaf", "part", "id", "vec", "component", "wanted").groupBy("tree", "leaf", "part") \
         .applyInArrow(nearest, LISTS)
 
 
@@ -262,6 +270,39 @@ def near_vectors(table: DataFrame, threshold: float = 0.95, k: int = 10, trees:
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))
 
 
+def _near_pairs(lists: DataFrame, threshold: float) -> DataFrame:
+    return lists.filter(F.col("sim") >= threshold - 0.01).select(
+        F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+
+
+def _saturated(lists: DataFrame, threshold: float, k: int) -> DataFrame:
+    """Vectors whose list is full of partners that pass."""
+    return lists.filter(F.col("sim") >= threshold - 0.01).groupBy("u").agg(F.count(F.lit(1)).alias("c")) \
+        .filter(F.col("c") >= k).select("u")
+
+
+def join_components(lists: DataFrame, edges: DataFrame, of: DataFrame, vectors: DataFrame, classes: DataFrame,
+                    n: int, dim: int, threshold: float, k: int, trees: int, seed: int) -> tuple[DataFrame, DataFrame]:
+    """Edges and components, with the links between components that saturated
+    lists have no room for."""
+    full = materialize(_saturated(lists, threshold, k), "saturated")
+    while full.limit(1).count():
+        seed += 1
+        placed = materialize(
+            vectors.join(of, F.col("id") == F.col("node"), "left").join(full, F.col("id") == F.col("u"), "left")
+            .select("id", "vec", F.coalesce("component", "id").alias("component"), F.col("u").isNotNull().alias("wanted")),
+            "placed-vectors")
+        cross = materialize(best_of(leaf_lists(placed, n, dim, k, trees, seed).withColumn("fresh", F.lit(True)), k),
+                            "cross-lists")
+        more = materialize(passing(_near_pairs(cross, threshold), classes, threshold), "cross-links")
+        if not more.limit(1).count():
+            break
+        edges = edges.unionByName(more)
+        of = materialize(connected_components(edges), "vector-components")
+        full = materialize(_saturated(cross, threshold, k), "saturated")
+    return edges, of
+
+
 def _one_dimension(classes: DataFrame, dim: int, threshold: float, k: int, trees: int, rounds: int,
                    change: float, audit: int, recall: float) -> DataFrame:
     """(id, component, n) for the classes of one vector length."""
@@ -270,9 +311,10 @@ def _one_dimension(classes: DataFrame, dim: int, threshold: float, k: int, trees
     queries = classes.select("id", "embedding").orderBy(F.xxhash64("id")).limit(audit)      # a stated number
     truth = true_links(classes, queries, threshold)
     wanted = sum(truth.values())
-    lists, seed = None, 1
+    apart = vectors.select("id", "vec", F.col("id").alias("component"), F.lit(True).alias("wanted"))
+    lists, extra, seed = None, None, 1
     while True:
-        first = leaf_lists(vectors, n, dim, k, trees, seed).withColumn("fresh", F.lit(True))
+        first = leaf_lists(apart, n, dim, k, trees, seed).withColumn("fresh", F.lit(True))
         if lists is not None:
             first = first.unionByName(lists.select("u", "v", "sim", F.lit(False).alias("fresh")))
         lists = materialize(best_of(first, k), "neighbours")
@@ -280,15 +322,19 @@ def _one_dimension(classes: DataFrame, dim: int, threshold: float, k: int, trees
             lists = materialize(descend(lists, vectors, k, seed + turn), "neighbours")
             if lists.filter("fresh").count() <= change * n * k:
                 break
-        near = lists.filter(F.col("sim") >= threshold - 0.01).select(
-            F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-        edges = materialize(passing(near, classes, threshold), "vector-links")
+        edges = materialize(passing(_near_pairs(lists, threshold), classes, threshold), "vector-links")
+        if extra is not None:
+            edges = edges.unionByName(extra)
         of = materialize(connected_components(edges), "vector-components")
+        extra, of = join_components(lists, edges, of, vectors, classes, n, dim, threshold, k, trees, 1000 * seed)
         members = materialize(classes.join(of, F.col("id") == F.col("node"))
                               .select("component", "id", "copies", "embedding"), "component-members")
         counts = materialize(link_counts(members, threshold), "link-counts")
         got = {r["id"]: r["n"] for r in
                counts.join(F.broadcast(queries.select("id")), "id").select("id", "n").collect()}
-        if sum(got.values()) >= recall * wanted or seed > 50:
+        if sum(got.values()) >= recall * wanted:
             return members.select("id", "component").join(counts, "id", "left")
+        if seed > 50:
+            raise RuntimeError(f"{sum(got.values())} of {wanted} links of the audited vectors found, {recall} wanted: "
+                               "more trees, rounds or a larger k are needed")
         seed += 10

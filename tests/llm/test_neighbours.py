@@ -63,3 +63,19 @@ def test_empty_and_repeated(spark):
     got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in
                  near_vectors(spark.createDataFrame(rows, schema)).collect())
     assert got == [(1, 1, 1), (1, 1, 1), (1, 1, 1), (2, 1, 1)]
+
+
+def test_full_lists_do_not_hide_links_between_groups(spark):
+    rng = np.random.RandomState(5)
+    base, off = np.eye(16)[0], np.eye(16)[1]
+    rows = []
+    for centre in (base, 0.96 * base + 0.28 * off):         # 0.96 across, above 0.999 inside
+        rows += [(len(rows) + k, (centre + 0.002 * rng.randn(16)).tolist()) for k in range(20)]
+    got = near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), threshold=0.95).collect()
+    assert {(r["n_links"], r["component_id"]) for r in got} == {(39, 0)}
+
+
+def test_a_failed_audit_is_an_error(spark):
+    rows = [(i, [1.0, 0.001 * i]) for i in range(5)]
+    with pytest.raises(RuntimeError, match="audited"):
+        near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), rounds=0, recall=1.01)
