@@ -79,6 +79,16 @@ def uv_bitmap(df: DataFrame, user_col: str = "user_id", ts: str = "ts", size: st
     return bitmap_counts(window_bitmaps(df, user_col, ts, size, slide, bits), out_col)
 
 
+def bloom_insertions(df: DataFrame, user_col: str = "user_id", ts: str = "ts", size: str = "1 hour",
+                     slide: str | None = None) -> int:
+    """Visitors that a filter of each window must hold: the exact number of the
+    fullest window, rounded up to a multiple of the preset."""
+    seen = df.select(event_window(ts, size, slide).end.alias("window_end"), F.col(user_col).alias("u"))
+    fullest = (seen.distinct().groupBy("window_end").agg(F.count("u").alias("n"))
+               .agg(F.max("n")).first()[0])
+    return BLOOM_EXPECTED_INSERTIONS * max(1, -(-(fullest or 0) // BLOOM_EXPECTED_INSERTIONS))
+
+
 def uv_bloom(df: DataFrame, user_col: str = "user_id", ts: str = "ts", size: str = "1 hour",
              slide: str | None = None, expected_insertions: int | None = None,
              fpp: float = BLOOM_FPP, out_col: str = "uv_estimate") -> DataFrame:
@@ -86,9 +96,7 @@ def uv_bloom(df: DataFrame, user_col: str = "user_id", ts: str = "ts", size: str
     (one small aggregate over the data beforehand)."""
     seen = df.select(event_window(ts, size, slide).end.alias("window_end"), F.col(user_col).alias("u"))
     if expected_insertions is None:
-        fullest = (seen.groupBy("window_end").agg(F.approx_count_distinct("u").alias("n"))
-                   .agg(F.max("n")).first()[0])
-        expected_insertions = max(BLOOM_EXPECTED_INSERTIONS, int(1.2 * (fullest or 0)))
+        expected_insertions = bloom_insertions(df, user_col, ts, size, slide)
     m, k = bloom_size(expected_insertions, fpp)
     # The filter itself is a set of Spark bitmaps (positions + 1 keep values
     # positive).  Visitors are made distinct first, so k rows are exploded per

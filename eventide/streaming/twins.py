@@ -140,8 +140,8 @@ def s_uv_bitmap(spark, sf):
 def s_uv_bloom(spark, sf):
     """UV-2 on a stream: the Bloom filter of each window is the same OR-merged
     bitmaps, kept as watermark-aggregate state; the estimate is computed per
-    closed window."""
-    m, k = bloom_size(distinct_ops.BLOOM_EXPECTED_INSERTIONS, distinct_ops.BLOOM_FPP)
+    closed window.  The filter has the size of the batch form's."""
+    m, k = bloom_size(distinct_ops.bloom_insertions(C._views(spark, sf), size=C.UV_SIZE), distinct_ops.BLOOM_FPP)
     ev = _events(spark, sf).filter(live(F.col("event_type") == C.PV))
     positions = F.transform(bloom_positions(F.col("user_id"), m, k), lambda x: x + 1)
     filters = (ev.select("ts", F.explode(positions).alias("p"))

@@ -45,6 +45,17 @@ def test_bloom_is_sized_for_the_fullest_window(spark):
         assert abs(got - n) / n < 0.03
 
 
+@pytest.mark.parametrize("name,n", [("uv_bloom", 1_500_000), ("uv_bloom_stream", 400_000)])
+def test_registered_bloom_queries_hold_full_windows(spark, tmp_path, name, n):
+    import __spark_entry__ as entry
+
+    spark.range(n).select(F.col("id").alias("event_id"), F.col("id").alias("user_id"), F.lit("view").alias("event_type"),
+                          F.expr("timestamp_ntz'2024-01-05 00:00:00' + make_dt_interval(0, 0, 0, id % 80000)").alias("ts")) \
+        .write.parquet(f"{tmp_path}/events.parquet")
+    got = entry.queries()[name](spark, str(tmp_path)).collect()
+    assert len(got) == 1 and abs(got[0].uv_estimate - n) / n < 0.03
+
+
 def test_a_full_bloom_filter_is_an_error(spark):
     df = spark.range(400_000).select(F.col("id").alias("user_id"), F.lit(at(5)).alias("ts"))
     with pytest.raises(Exception, match="is full"):
