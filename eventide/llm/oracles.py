@@ -42,6 +42,36 @@ FROM d LEFT JOIN (SELECT doc_id, sum(v + steps * log10(0.4)) AS t, sum(steps) AS
      USING (doc_id)"""
 
 
+LINES = rf"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, i, lines[i] AS line,
+             translate(regexp_replace(lines[i], '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), {_LOW}) AS key
+      FROM d, unnest(range(1, len(lines) + 1)) AS u(i)),
+first AS (SELECT key, min(doc_id) AS holder FROM l WHERE length(key) >= 10 GROUP BY key),
+k AS (SELECT l.*, holder IS NOT NULL AND doc_id > holder AS gone FROM l LEFT JOIN first USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM k GROUP BY doc_id"""
+
+INFILL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || doc_id) AS h,
+             regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS w
+           FROM documents),
+u AS (SELECT doc_id, t, w, len(w) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+             CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50
+                  THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (SELECT *, array_to_string(list_slice(w, 1, a), '') AS pre, array_to_string(list_slice(w, a + 1, b), '') AS mid,
+             array_to_string(list_slice(w, b + 1, n), '') AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+              ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(CASE form WHEN 'plain' THEN t ELSE pre || mid || suf END) AS restored_sha256
+FROM p"""
+
+
 def url_reputation(rules: list[tuple[str, str, str]], limit: float = 0.5, z: float = 1.645) -> str:
     table = ", ".join(f"('{h}', '{p}', '{h}{p}', '{v}')" for h, p, v in rules)
 

@@ -101,6 +101,22 @@ def op10_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", F.round("score", 3).alias("score"), "backoffs")
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventide.llm.lines import dedup_lines
+
+    return dedup_lines(_table(spark, sf_dir, "documents"), min_chars=10, columns=["doc_id"], with_text=True).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventide.llm.infill import fill_in_middle, restored
+
+    made = restored(fill_in_middle(_table(spark, sf_dir, "documents"), rate=50, spm_rate=80, seed=42,
+                                   columns=["doc_id"]))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
 QUERIES = {
     "op1_prefix_decontamination": op1_prefix_decontamination,
     "op2_pfor_tokens": op2_pfor_tokens,
@@ -112,9 +128,13 @@ QUERIES = {
     "op8_oph_near_duplicates": op8_oph_near_duplicates,
     "op9_instance_toxicity": op9_instance_toxicity,
     "op10_backoff_scores": op10_backoff_scores,
+    "op11_line_dedup": op11_line_dedup,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 ORACLE_SQL: dict[str, str] = {
     "op1_prefix_decontamination": oracles.DECONTAMINATION,
     "op7_host_reputation": oracles.url_reputation(URL_RULES),
     "op10_backoff_scores": oracles.BACKOFF,
+    "op11_line_dedup": oracles.LINES,
+    "op13_fill_in_middle": oracles.INFILL,
 }
