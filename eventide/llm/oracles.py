@@ -53,6 +53,29 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
 FROM k GROUP BY doc_id"""
 
+COLLOCATIONS = rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang,
+             unnest(regexp_split_to_array(translate(coalesce(text, ''), {_LOW}), '[.,;:!?\x0A-\x0D]')) AS piece
+           FROM documents),
+q AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
+      FROM q, (VALUES (1), (2), (3)) AS s(m), unnest(range(1, len(w) - m + 2)) AS u(i)),
+c AS (SELECT lang, m, phrase, count(*) AS f FROM g GROUP BY ALL),
+tot AS (SELECT lang, sum(f)::BIGINT AS n FROM c WHERE m = 1 GROUP BY lang),
+cand AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM c WHERE m > 1 AND f >= 10),
+cut AS (SELECT x.lang, x.m, x.phrase, x.a, k, l.f AS l, r.f AS r,
+               (1000000::HUGEINT * x.a * x.a // (l.f::HUGEINT * r.f))::BIGINT AS score
+        FROM cand x, unnest(range(1, x.m)) AS u(k), c l, c r
+        WHERE l.lang = x.lang AND l.phrase = array_to_string(x.w[1:k], ' ')
+          AND r.lang = x.lang AND r.phrase = array_to_string(x.w[k + 1:x.m], ' ')),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+around AS (SELECT lang, phrase, max(a) AS top
+           FROM (SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, a
+                 FROM cand WHERE m = 3) GROUP BY ALL),
+kept AS (SELECT best.* FROM best LEFT JOIN around USING (lang, phrase) WHERE top IS NULL OR 100 * top < 50 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN tot USING (lang) WHERE rank <= 2000"""
+
 INFILL = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || doc_id) AS h,
              regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS w

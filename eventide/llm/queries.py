@@ -108,6 +108,12 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from eventide.llm.phrases import collocations
+
+    return collocations(_table(spark, sf_dir, "documents"), max_words=3, min_count=10, inside_percent=50, keep=2000)
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     from eventide.llm.infill import fill_in_middle, restored
 
@@ -129,6 +135,7 @@ QUERIES = {
     "op9_instance_toxicity": op9_instance_toxicity,
     "op10_backoff_scores": op10_backoff_scores,
     "op11_line_dedup": op11_line_dedup,
+    "op12_collocations": op12_collocations,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
 ORACLE_SQL: dict[str, str] = {
@@ -136,5 +143,6 @@ ORACLE_SQL: dict[str, str] = {
     "op7_host_reputation": oracles.url_reputation(URL_RULES),
     "op10_backoff_scores": oracles.BACKOFF,
     "op11_line_dedup": oracles.LINES,
+    "op12_collocations": oracles.COLLOCATIONS,
     "op13_fill_in_middle": oracles.INFILL,
 }
