@@ -44,8 +44,8 @@ _STEP = _U(0xD1342543DE82EF95)
 SPACING = 24
 LONGEST = 4096
 #: Chunk bytes of a unit, and text bytes that a range of the sieve stands for, about.
-UNIT_BYTES = 8 << 20
-RANGE_BYTES = 8 << 20
+UNIT_BYTES = 3 << 20
+RANGE_BYTES = 4 << 20
 #: Bits that sieve hashes have beyond those of the corpus size in bytes.
 SPARE_BITS = 8
 #: A ranking task gets at most so many times the rows that a group keeps.
@@ -163,26 +163,39 @@ class Grams:
                 key = ts.mix64(key[:m] * _STEP + h[k:k + m])
                 i = np.flatnonzero(own)
                 keys[k].append(ts.mix64(key[i] + salt[code_of[i]] + _U(k)))
-                starts[k].append(i + at)
+                starts[k].append((i + at).astype(np.int32))
             data.append(s.data)
-            begin.append(start + base)
-            end.append(stop_at + base)
+            begin.append((start + base).astype(np.int32))
+            end.append((stop_at + base).astype(np.int32))
             weights.append(weight[s.first + row])
-            lang.append(code_of)
+            lang.append(code_of.astype(np.int32))
             at += len(start)
             base += len(s.data)
-        join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
+        def join(parts, kind):
+            out = np.concatenate(parts) if parts else np.zeros(0, kind)
+            parts.clear()
+            return out
+
         self.max_words, self.names = max_words, names
-        self.data, self.begin, self.end = join(data, np.uint8), join(begin, np.int64), join(end, np.int64)
-        self.weight, self.lang = join(weights, np.int64), join(lang, np.int64)
+        self.data, self.begin, self.end = join(data, np.uint8), join(begin, np.int32), join(end, np.int32)
+        self.weight, self.lang = join(weights, np.int64), join(lang, np.int32)
         self.sizes = [sum(map(len, k)) for k in keys]
+        self.word = join([x for k in starts for x in k], np.int32)
+        del starts
         self.key = join([x for k in keys for x in k], np.uint64)
-        self.word = join([x for k in starts for x in k], np.int64)
 
     def short(self, id_bits: int):
         """(distinct short keys, their weights, the place of each n-gram's key)."""
-        uniq, inv = np.unique(self.key >> _U(64 - id_bits), return_inverse=True)
-        return uniq, np.bincount(inv, weights=self.weight[self.word], minlength=len(uniq)).astype(np.int64), inv
+        short = self.key >> _U(64 - id_bits)
+        order = np.argsort(short).astype(np.int32)
+        short = short[order]
+        new = np.ones(len(short), bool)
+        new[1:] = short[1:] != short[:-1]
+        place = np.empty(len(short), np.int32)
+        place[order] = np.cumsum(new, dtype=np.int32) - 1
+        first = np.flatnonzero(new)
+        weights = np.add.reduceat(self.weight[self.word[order]], first) if len(first) else np.zeros(0, np.int64)
+        return short[first], weights, place
 
     def spelled(self, chosen: np.ndarray):
         """(language, words, phrase, weight) of the distinct ones of the chosen n-grams."""
