@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,32 +50,49 @@ def time_bounds(df: DataFrame, ts: str, slices: int) -> list:
     return sorted(set(got))
 
 
-def replay_stream(df: DataFrame, ts: str, slices: int = 4, slice_rows: int = 2_000_000,
-                  bounds: list | None = None) -> DataFrame:
+def replay_stream(df: DataFrame, ts: str, slices: int = 4, file_rows: int = 2_000_000,
+                  bounds: list | None = None, arrival: Column | None = None) -> DataFrame:
     """Stream a table in event-time order over several micro-batches.
 
-    The table is written slice by slice (at least ``slices``, and one per
-    ``slice_rows`` rows; rows without a time come first) and read back one file
-    per trigger, so state and timers are carried from batch to batch as on a
-    live stream.  The last file is the flush sentinel: all columns NULL, ``ts``
-    far in the future.  Streams that are united need the same ``bounds``."""
+    The table is written slice by slice (rows without a time come first), each
+    slice in files of about ``file_rows`` rows, and read back one slice per
+    trigger, so state and timers are carried from batch to batch as on a live
+    stream.  A slice that has fewer files than the others shares its trigger
+    with the next one; that only moves the batch border.  The last file is the
+    flush sentinel: all columns NULL, ``ts`` far in the future.  Streams that
+    are united need the same ``bounds``.  With ``arrival`` (a time), rows come
+    in that order instead, so rows whose ``ts`` is well before it come late."""
     spark = df.sparkSession
     folder = scratch_path(spark, "replay")
+    files = max(1, -(-df.count() // (slices * file_rows)))
+    plain = df
+    if arrival is not None:
+        df = df.withColumn("__arrival", arrival)
+    order = "__arrival" if arrival is not None else ts
     if bounds is None:
-        bounds = time_bounds(df, ts, max(slices, -(-df.count() // slice_rows)))
-    at = F.unix_micros(F.col(ts).cast("timestamp"))
+        bounds = time_bounds(df, order, slices)
+    at = F.unix_micros(F.col(order).cast("timestamp"))
     edges = [None, *bounds, None]
-    nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields])
+    nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in plain.schema.fields])
     for lo, hi in zip(edges, edges[1:]):
         part = df
         if lo is not None:
             part = part.filter(at >= lo)
         if hi is not None:
             part = part.filter((at < hi) | at.isNull()) if lo is None else part.filter(at < hi)
-        part.coalesce(1).write.mode("append").parquet(folder)
-    row = [SENTINEL_TS if f.name == ts else None for f in df.schema.fields]
+        part = part.select(*plain.columns)
+        (part.repartition(files) if files > 1 else part.coalesce(1)).write.mode("append").parquet(folder)
+    row = [SENTINEL_TS if f.name == ts else None for f in plain.schema.fields]
     spark.createDataFrame([row], nullable).coalesce(1).write.mode("append").parquet(folder)
-    return spark.readStream.schema(nullable).option("maxFilesPerTrigger", "1").parquet(folder)
+    return spark.readStream.schema(nullable).option("maxFilesPerTrigger", str(files)).parquet(folder)
+
+
+def replay_parts(df: DataFrame, parts: int = 4) -> DataFrame:
+    """Stream a table that has no time in ``parts`` micro-batches, one file each."""
+    spark = df.sparkSession
+    folder = scratch_path(spark, "replay")
+    df.repartition(parts).write.mode("overwrite").parquet(folder)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", "1").parquet(folder)
 
 
 def before_flush(batch: DataFrame, *ts_cols: str) -> DataFrame:
@@ -103,13 +120,28 @@ def run_to_table(stream: DataFrame, name: str, output_mode: str = "append",
     """Run ``stream`` until its available input is consumed (availableNow)
     and return the folder of its results.  ``transform`` is applied to each
     micro-batch (a batch DataFrame, so any batch operator works there)."""
+    return _run(stream, name, lambda batch, epoch: transform(batch) if transform else batch, output_mode, timeout_s)
+
+
+def run_epochs(stream: DataFrame, name: str, epoch_rows: Callable[[DataFrame, int], DataFrame],
+               output_mode: str = "append", timeout_s: float | None = None) -> str:
+    """``run_to_table`` for sinks with state of their own: ``epoch_rows`` gets
+    the micro-batch, cached because it is read more than once, and its epoch."""
+    return _run(stream, name, epoch_rows, output_mode, timeout_s, cache=True)
+
+
+def _run(stream: DataFrame, name: str, epoch_rows: Callable[[DataFrame, int], DataFrame], output_mode: str,
+         timeout_s: float | None, cache: bool = False) -> str:
     spark = stream.sparkSession
     out = scratch_path(spark, f"{name}-out")
     ckpt = scratch_path(spark, f"{name}-ckpt")
 
     def write_batch(batch: DataFrame, epoch: int) -> None:
-        b = transform(batch) if transform else batch
-        b.write.mode("overwrite").parquet(f"{out}/epoch={epoch:09d}")
+        if cache:
+            batch = batch.persist()
+        epoch_rows(batch, epoch).write.mode("overwrite").parquet(f"{out}/epoch={epoch:09d}")
+        if cache:
+            batch.unpersist()
 
     q = (stream.writeStream.outputMode(output_mode).foreachBatch(write_batch)
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())

@@ -26,9 +26,13 @@ from eventide.operators.windows import words
 from eventide.plans import catalog as C
 from eventide.streaming.processors import (ArrivalPairs, BurstRule, ClickGate, DeadlineDecision,
                                           FollowedBy, OrderOutcome, StrictPairs)
+from eventide.streaming.ranked import (fold_changelog, last_versions, write_refined_rankings,
+                                       write_top_n_changelog)
 from eventide.streaming.runner import (SENTINEL_TS, before_flush, event_time, live,
-                                       prepare_streaming, replay_stream, run_and_read, table_stream,
+                                       prepare_streaming, replay_parts, replay_stream, run_and_read,
                                        time_bounds)
+from eventide.streaming.upsert import latest, write_update_log
+from eventide.streaming.views import sql_appended, sql_latest, stream_view, streaming_sql
 
 NTZ = T.TimestampNTZType()
 #: Longer than any time between two rows of one order in the driver tables.
@@ -80,6 +84,57 @@ def s_url_rank(spark, sf):
     return run_and_read(counts, "url_rank", transform=rank)
 
 
+def s_hot_items_changelog(spark, sf):
+    """TOP-2, CHG-1: the counts are SQL over a streaming view, the top n of
+    every window is kept as a changelog; folded, it is the SQL's result."""
+    ev = _events(spark, sf).filter(live(F.col("event_type") == C.PV))
+    view = stream_view(ev.select(F.col("user_id").alias("item_id"), "ts"), "eventide_hot_items_stream")
+    counts = streaming_sql(spark, f"""
+        SELECT window(ts, '{C.HOT_SIZE}', '{C.HOT_SLIDE}').end AS window_end, item_id, COUNT(item_id) AS item_count
+        FROM {view} GROUP BY window(ts, '{C.HOT_SIZE}', '{C.HOT_SLIDE}'), item_id""")
+    log = write_top_n_changelog(counts, "hot_items", C.HOT_N, ["item_id"], "item_count", C.HOT_SIZE)
+    cols = ["window_end", "item_id", "item_count", "row_num"]
+    return _ntz(fold_changelog(spark.read.parquet(log), cols), "window_end")
+
+
+#: Every 50th click comes an hour after its event time, still within the lateness.
+LATE_EVERY, LATE_BY, URL_LATENESS = 50, "1 hour", "2 hours"
+
+
+def refined_url_rankings(spark, sf) -> str:
+    """STR-3, TOP-3: late rows rank their windows again; folder of all versions."""
+    prepare_streaming(spark)
+    events = C._read(spark, sf, "events")
+    late = F.when(F.col("event_id") % LATE_EVERY == 0, F.col("ts") + F.expr(f"INTERVAL {LATE_BY}"))
+    ev = event_time(replay_stream(events, "ts", arrival=F.coalesce(late, F.col("ts"))), "ts",
+                    f"{duration_micros(URL_LATENESS) // 1_000_000 + 5} seconds")
+    counts = (ev.groupBy(event_window("ts", C.URL_SIZE, C.URL_SLIDE).alias("w"),
+                         F.concat(F.lit("/user/"), F.col("user_id")).alias("url"))
+              .agg(F.count(F.lit(1)).alias("views"), F.max("ts").alias("last_ts"))
+              .select(F.col("w.end").alias("window_end"), "url", "views", "last_ts"))
+    return write_refined_rankings(counts, "url_rank", C.URL_N, ["url"], "views", "5 seconds", URL_LATENESS)
+
+
+def s_url_rank_refined(spark, sf):
+    versions = spark.read.parquet(refined_url_rankings(spark, sf))
+    return _ntz(last_versions(versions), "window_end").select("window_end", "url", "views", "rank")
+
+
+def s_select_star(spark, sf):
+    """PRJ-5, PRJ-6: ``select *`` over a streaming view."""
+    ev = _events(spark, sf)
+    view = stream_view(ev.select("event_id", "user_id", F.col("user_id").alias("item_id"),
+                                 F.col("event_type").alias("behavior"), "ts"), "eventide_user_behavior_stream")
+    return sql_appended(spark, f"SELECT * FROM {view}", "select_star", lambda b: _ntz(before_flush(b, "ts"), "ts"))
+
+
+def s_running_count_sql(spark, sf):
+    """AGG-8 in SQL: word counts over a streaming view in update mode."""
+    prepare_streaming(spark)
+    view = stream_view(words(replay_parts(C._read(spark, sf, "documents").select("text"))), "eventide_words_stream")
+    return sql_latest(spark, f"SELECT word, COUNT(*) AS count FROM {view} GROUP BY word", "running_count_sql", ["word"])
+
+
 def s_page_views(spark, sf):
     ev = _events(spark, sf, delay="5 seconds").filter(live(F.col("event_type") == C.PV))
     pv = (ev.groupBy(event_window("ts", C.PV_SIZE).alias("w")).agg(F.count(F.lit(1)).alias("pv"))
@@ -160,12 +215,13 @@ def s_uv_bloom(spark, sf):
 
 
 def s_running_count(spark, sf):
-    """AGG-8: running word count, complete mode; the last snapshot is the
-    result (``eventide.streaming.changelog`` gives the -/+ rows)."""
+    """AGG-8: running word count over several micro-batches; the last version
+    of a word's count is the result (``eventide.streaming.changelog`` gives the
+    -/+ rows)."""
     prepare_streaming(spark)
-    docs = table_stream(spark, sf, "documents").select("text")
+    docs = replay_parts(C._read(spark, sf, "documents").select("text"))
     counts = words(docs).groupBy("word").agg(F.count(F.lit(1)).alias("count"))
-    return run_and_read(counts, "running_count", output_mode="complete", keep="last")
+    return latest(spark.read.parquet(write_update_log(counts, "running_count")), ["word"])
 
 
 # ------------------------------------------------------------------- joins
@@ -352,7 +408,11 @@ def s_order_outcomes(spark, sf, grace: str = ORDER_SPAN):
 
 STREAM_QUERIES = {
     "hot_items_topn_stream": s_hot_items_topn,
+    "hot_items_changelog_stream": s_hot_items_changelog,
     "url_rank_stream": s_url_rank,
+    "url_rank_refined_stream": s_url_rank_refined,
+    "select_star_stream": s_select_star,
+    "running_count_sql_stream": s_running_count_sql,
     "page_views_stream": s_page_views,
     "uv_exact_stream": s_uv_exact,
     "uv_bitmap_stream": s_uv_bitmap,
@@ -372,7 +432,11 @@ STREAM_QUERIES = {
 
 STREAM_ORACLE_OF = {
     "hot_items_topn_stream": "hot_items_topn",
+    "hot_items_changelog_stream": "hot_items_sql",
     "url_rank_stream": "url_rank_top5",
+    "url_rank_refined_stream": "url_rank_top5",
+    "select_star_stream": "select_star",
+    "running_count_sql_stream": "running_count",
     "page_views_stream": "page_views",
     "uv_exact_stream": "uv_exact",
     "uv_bitmap_stream": "uv_bitmap",
