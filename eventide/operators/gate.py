@@ -9,7 +9,9 @@ window size, or ``None`` for no reset).
 
 Batch form: the position of each event inside its (key, period) is computed
 with :func:`keyed_position`, which only ever looks at the first
-max_count + 2 events of a key and splits a hot key by time bucket.
+max_count + 2 events of a key: each task forwards no more of a key than that,
+so a hot key costs nothing.  Beyond the bound of that plan (a thousand rows)
+hot keys are cut by volume.
 """
 
 from __future__ import annotations
@@ -19,8 +21,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventide.functions.time import event_window, time_bucket
-from eventide.plans.ordered import keyed_position
+from eventide.functions.time import epoch_micros, event_window, time_bucket
+from eventide.operators.topn import WINDOW_GROUP_LIMIT_MAX
+from eventide.plans.ordered import keyed_position, volume_cuts
 
 # Fixed value: the reference's warning text is "Click over" + max + " times today."
 GATE_MSG_PREFIX = "Click over"
@@ -35,7 +38,7 @@ def gate_message(max_count: int) -> str:
 
 def click_gate(df: DataFrame, keys: Sequence[str] = ("user_id", "ad_id"), ts: str = "ts",
                max_count: int = 100, period: str | None = "1 day", seq: str | None = None,
-               bucket: str = "1 hour") -> DataFrame:
+               bucket: str | None = None, hot_rows: int | None = None) -> DataFrame:
     """Passed events and warnings in one frame, told apart by ``tag``
     (``pass`` / ``blacklist``); ``msg`` is set on warnings.  Dropped events
     after the warning are not returned."""
@@ -46,8 +49,12 @@ def click_gate(df: DataFrame, keys: Sequence[str] = ("user_id", "ad_id"), ts: st
         d = d.withColumn("__period", event_window(ts, period).start)
         part_keys = keys + ["__period"]
     order = [ts] + ([seq] if seq else [])
-    pos = keyed_position(d, part_keys, order, time_bucket(ts, bucket), "__pos",
-                         limit=max_count + 2)
+    cuts = None
+    if bucket:
+        cuts = time_bucket(ts, bucket)
+    elif max_count + 2 > WINDOW_GROUP_LIMIT_MAX:
+        cuts = volume_cuts(d, part_keys, epoch_micros(ts), hot_rows)
+    pos = keyed_position(d, part_keys, order, cuts, "__pos", limit=max_count + 2)
     tagged = pos.withColumn(
         "tag", F.when(F.col("__pos") <= max_count + 1, F.lit(TAG_PASS))
                 .otherwise(F.lit(TAG_BLACKLIST)))

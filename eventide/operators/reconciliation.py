@@ -19,11 +19,11 @@ rows come from anti joins on the same key.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventide.functions.time import duration_micros, epoch_micros, time_bucket
-from eventide.plans.ordered import keyed_lag, keyed_position, keyed_running_max
+from eventide.functions.time import duration_micros, epoch_micros
+from eventide.plans.ordered import volume_cuts
 
 TAG_MATCHED = "matched"
 TAG_UNMATCHED_PAY = "unmatched_pay"
@@ -85,7 +85,7 @@ def reconcile(pays: DataFrame, receipts: DataFrame, tolerance: str = "5 seconds"
 def reconcile_once(pays: DataFrame, receipts: DataFrame, tolerance: str = "5 seconds",
                    tx_col: str = "tx_id", pay_ts: str = "pay_ts", receipt_ts: str = "receipt_ts",
                    pay_seq: str | None = None, receipt_seq: str | None = None,
-                   bucket: str = "1 day") -> DataFrame:
+                   hot_rows: int | None = None) -> DataFrame:
     """Match each record at most once, with the open record of the other side.
 
     Records of an id are taken in time order; at equal times pays come first,
@@ -93,13 +93,15 @@ def reconcile_once(pays: DataFrame, receipts: DataFrame, tolerance: str = "5 sec
     record matches the open one if that is of the other side and not older than
     the tolerance; otherwise it becomes the open one itself, and the one it
     replaces is unmatched.  Same columns and tags as ``reconcile``; records
-    without an id are unmatched.
+    without an id or time are unmatched.
 
     At most one record is open at a time, so matching is decided by parity:
-    where neighbours could match, the first matches the second, the third the
-    fourth, and so on from the last neighbours that could not.  That is a lag, a
-    position and a running maximum per (id, time bucket): linear in the records,
-    and a hot id is spread over its buckets.
+    where neighbours could match (a *link*), the first matches the second, the
+    third the fourth, and so on from the last neighbours that could not.  One
+    exchange and one sort serve lag, position and the place of the last break
+    together.  Ids with more than ``hot_rows`` records are cut by volume; per
+    cut one summary (last record, number of records, length of the run of links
+    at its end) is carried into the next one.
     """
     tol_us = duration_micros(tolerance)
     pay_cols = [c for c in pays.columns if c != tx_col]
@@ -109,37 +111,71 @@ def reconcile_once(pays: DataFrame, receipts: DataFrame, tolerance: str = "5 sec
 
     def side(df, ts, seq, number, me):
         tie = F.col(seq).cast("long") if seq else F.xxhash64(*df.columns)
-        return df.select(tie.alias("__tie"), F.col(tx_col).alias("__tx"), F.col(ts).cast("timestamp").alias("__ts"),
+        at = F.col(ts).cast("timestamp")
+        # a record that can match nothing is a group of its own, whatever its id
+        alone = F.when(F.col(tx_col).isNull() | at.isNull(), F.xxhash64(*df.columns)).otherwise(0)
+        return df.select(tie.alias("__tie"), F.xxhash64(*df.columns).alias("__same"), F.col(tx_col).alias("__tx"), at.alias("__ts"), alone.alias("__alone"),
                          F.lit(number).alias("__side"), me.alias("__p" if number == 0 else "__r"))
 
     rows = side(pays, pay_ts, pay_seq, 0, p_type).unionByName(
         side(receipts, receipt_ts, receipt_seq, 1, r_type), allowMissingColumns=True)
-    usable = rows.filter(F.col("__tx").isNotNull() & F.col("__ts").isNotNull())
-    # behind each id's last record: a row that can match nothing
-    ends = usable.groupBy("__tx").agg(F.max("__ts").alias("__ts")) \
-        .withColumn("__side", F.lit(2)).withColumn("__tie", F.lit(0).cast("long"))
-    every = usable.unionByName(ends, allowMissingColumns=True)
-    order, near = ["__ts", "__side", "__tie"], time_bucket("__ts", bucket)
-    d = keyed_lag(every, ["__tx"], order, near, ["__ts", "__side", "__p", "__r"], "__prev_")
-    link = ((F.col("__side") < 2) & (F.col("__side") != F.col("__prev___side"))
-            & (epoch_micros("__ts") - epoch_micros("__prev___ts") <= tol_us))
-    d = d.withColumn("__link", F.coalesce(link, F.lit(False)))
-    # of records that are equal in all of these, only the first can have a link
-    d, order = d.withColumn("__rest", ~F.col("__link")), [*order, "__rest"]
-    d = keyed_position(d, ["__tx"], order, near, "__pos")
-    d = keyed_running_max(d, ["__tx"], order, near, F.when(~F.col("__link"), F.col("__pos")), "__start")
-    odd = F.pmod(F.col("__pos") - F.col("__start"), F.lit(2)) == 1
-    either = lambda a, b: F.coalesce(F.col(a), F.col(b))
-    matched = d.filter(F.col("__link") & odd).select(
-        "__tx", either("__p", "__prev___p").alias("__p"), either("__r", "__prev___r").alias("__r"),
-        F.lit(TAG_MATCHED).alias("tag"))
-    # the record before a break is unmatched if it is an even one of its run
-    lone = d.filter(~F.col("__link") & F.col("__prev___side").isNotNull() & odd).select(
-        "__tx", F.col("__prev___p").alias("__p"), F.col("__prev___r").alias("__r"),
-        F.when(F.col("__prev___side") == 0, F.lit(TAG_UNMATCHED_PAY)).otherwise(F.lit(TAG_UNMATCHED_RECEIPT)).alias("tag"))
-    without = rows.filter(F.col("__tx").isNull() | F.col("__ts").isNull()).select(
-        "__tx", "__p", "__r",
-        F.when(F.col("__side") == 0, F.lit(TAG_UNMATCHED_PAY)).otherwise(F.lit(TAG_UNMATCHED_RECEIPT)).alias("tag"))
-    return matched.unionByName(lone).unionByName(without).select(
-        F.col("__tx").alias(tx_col), *[F.col("__p")[c].alias(c) for c in pay_cols],
-        *[F.col("__r")[c].alias(c) for c in rcp_cols], "tag")
+    keys, order = ["__tx", "__alone"], ["__ts", "__side", "__tie", "__same"]
+    cuts = volume_cuts(rows, keys, epoch_micros("__ts"), hot_rows)
+    part = keys
+    if cuts is not None:
+        rows, part = cuts.number(rows), [*keys, "__bucket"]
+    w = Window.partitionBy(*part).orderBy(*order)
+    record = F.struct("__ts", "__side", "__p", "__r")
+
+    def linked(prev: Column) -> Column:
+        return F.coalesce(F.col("__tx").isNotNull() & F.col("__ts").isNotNull() & (F.col("__side") != prev["__side"])
+                          & (epoch_micros("__ts") - epoch_micros(prev["__ts"]) <= tol_us), F.lit(False))
+
+    d = rows.withColumn("__prev", F.lag(record).over(w)).withColumn("__pos", F.row_number().over(w).cast("long"))
+    if cuts is None:
+        d = d.withColumns({"__run": F.lit(0).cast("long"), "__more": F.lit(False)})
+    else:
+        carry = F.broadcast(_carried(d.filter("__hot"), keys, part, record, linked))    # HOT_KEYS * CUTS rows at most
+        same = F.col("__tx").eqNullSafe(carry["c_tx"]) & (F.col("__alone") == carry["c_alone"]) \
+            & (F.col("__bucket") == carry["c_bucket"])
+        d = (d.join(carry, same, "left")
+             .withColumn("__prev", F.when(F.col("__pos") == 1, F.col("c_prev")).otherwise(F.col("__prev")))
+             .withColumn("__run", F.coalesce("c_run", F.lit(0).cast("long")))
+             .withColumn("__more", F.coalesce("c_more", F.lit(False))))
+    d = d.withColumn("__link", linked(F.col("__prev")))
+    start = F.max(F.when(~F.col("__link"), F.col("__pos"))).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    d = d.withColumns({"__start": start, "__next": F.lead("__link").over(w)})
+    # place in the run of links, from 0; without a break so far the run came from the cut before
+    place = F.coalesce(F.col("__pos") - F.col("__start"), F.col("__run") + F.col("__pos") - 1)
+    matched = F.pmod(place, F.lit(2)) == 1
+    alone = ~matched & ~F.coalesce(F.col("__next"), F.col("__more"))
+    either = lambda c: F.when(F.col("__matched"), F.coalesce(F.col(c), F.col("__prev")[c])).otherwise(F.col(c))
+    out = d.withColumn("__matched", matched).filter(F.col("__matched") | alone).select(
+        F.col("__tx").alias(tx_col), either("__p").alias("__p"), either("__r").alias("__r"),
+        F.when(F.col("__matched"), F.lit(TAG_MATCHED)).when(F.col("__side") == 0, F.lit(TAG_UNMATCHED_PAY))
+        .otherwise(F.lit(TAG_UNMATCHED_RECEIPT)).alias("tag"))
+    return out.select(tx_col, *[F.col("__p")[c].alias(c) for c in pay_cols],
+                      *[F.col("__r")[c].alias(c) for c in rcp_cols], "tag")
+
+
+def _carried(d: DataFrame, keys: list, part: list, record: Column, linked) -> DataFrame:
+    """What each cut of a hot id gets from the ones before: c_prev (the record
+    before its first), c_run (length of the run of links that reaches it) and
+    c_more (whether the record after its last one is linked to that)."""
+    broken = F.when((F.col("__pos") > 1) & ~linked(F.col("__prev")), F.col("__pos"))
+    per = d.groupBy(*part).agg(
+        F.max("__pos").alias("n"), F.max(broken).alias("cut"),
+        F.max_by(record, "__pos").alias("last"), F.min_by(record, "__pos").alias("first"))
+    along = Window.partitionBy(*keys).orderBy("__bucket")
+    per = per.withColumn("c_prev", F.lag("last").over(along))
+    per = per.select("*", "first.__ts", "first.__side").withColumn("link", linked(F.col("c_prev")))
+    # a run starts anew where a cut holds a break or is not linked to the one before
+    anew = F.col("cut").isNotNull() | ~F.col("link")
+    own = F.coalesce(F.col("n") - F.col("cut") + 1, F.col("n"))
+    per = per.withColumn("group", F.sum(anew.cast("int")).over(along))
+    so_far = Window.partitionBy(*keys, "group").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, 0)
+    per = per.withColumn("end", F.sum(own).over(so_far))
+    return per.select(F.col("__tx").alias("c_tx"), F.col("__alone").alias("c_alone"),
+                      F.col("__bucket").alias("c_bucket"), "c_prev",
+                      F.when(F.col("link"), F.lag("end").over(along)).otherwise(0).cast("long").alias("c_run"),
+                      F.lead("link").over(along).alias("c_more"))

@@ -26,8 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventide.functions.time import duration_micros, interval, time_bucket
-from eventide.plans.ordered import keyed_lag, keyed_next_at_or_after
+from eventide.functions.time import duration_micros, epoch_micros, interval, time_bucket
+from eventide.plans.ordered import keyed_lag, keyed_next_at_or_after, volume_cuts
 
 # Messages of the reference's login and order jobs.
 MSG_STRICT = "login fail!"
@@ -39,23 +39,33 @@ MSG_TIMEOUT = "timeout"
 
 
 def _seq_bucket(seq: str, width: int) -> Column:
-    return F.floor(F.col(seq) / F.lit(width)).cast("long")
+    width = F.lit(width).cast("long")
+    return F.call_function("div", F.col(seq) - F.pmod(F.col(seq), width), width)
+
+
+def _by_time(d: DataFrame, keys: list, ts: str, bucket: str | None, hot_rows: int | None):
+    return time_bucket(ts, bucket) if bucket else volume_cuts(d, keys, epoch_micros(ts), hot_rows)
 
 
 def strict_next(df: DataFrame, keys: Sequence[str], ts: str, first: Column, then: Column,
                 within: str, order: Sequence[str] | None = None, seq: str | None = None,
-                bucket: str = "1 hour", seq_bucket: int = 1 << 16,
-                msg: str = MSG_STRICT) -> DataFrame:
+                bucket: str | None = None, seq_bucket: int | None = None,
+                msg: str = MSG_STRICT, hot_rows: int | None = None) -> DataFrame:
     """Pairs (A, B) where B is the next event of the key after A.
 
-    ``order`` defaults to event time ``[ts, seq]``.  When it does not start
-    with ``ts`` (arrival order, SEQ-1b) the buckets are ranges of ``seq``.
+    ``order`` defaults to event time ``[ts, seq]``, or is arrival order (SEQ-1b).
+    Keys with more than ``hot_rows`` rows are cut by volume, unless fixed
+    buckets (``bucket`` of time, ``seq_bucket`` of arrival) are asked for.
     Output: keys, first_ts, last_ts, msg.
     """
     keys = list(keys)
     order = list(order) if order else [ts] + ([seq] if seq else [])
-    b = time_bucket(ts, bucket) if order[0] == ts else _seq_bucket(order[0], seq_bucket)
-    d = df.select(*keys, *{ts, *order}, first.alias("__a"), then.alias("__b"))
+    d = df.select(*keys, *dict.fromkeys([ts, *order]), first.alias("__a"), then.alias("__b"))
+    if order[0] == ts:
+        b = time_bucket(ts, bucket) if bucket else volume_cuts(d, keys, epoch_micros(ts), hot_rows)
+    else:
+        b = _seq_bucket(order[0], seq_bucket) if seq_bucket else volume_cuts(
+            d, keys, F.col(order[0]).cast("long"), hot_rows)
     lagged = keyed_lag(d, keys, order, b, values=[ts, "__a"], prefix="__prev_")
     hit = (F.col("__b") & F.coalesce(F.col("__prev___a"), F.lit(False))
            & (F.col(ts) < F.col(f"__prev_{ts}") + interval(within)))
@@ -64,16 +74,15 @@ def strict_next(df: DataFrame, keys: Sequence[str], ts: str, first: Column, then
 
 
 def followed_by(df: DataFrame, keys: Sequence[str], ts: str, first: Column, then: Column,
-                within: str, bucket: str = "1 day", matched_msg: str = MSG_PAYED,
-                timeout_msg: str = MSG_TIMEOUT) -> DataFrame:
+                within: str, bucket: str | None = None, matched_msg: str = MSG_PAYED,
+                timeout_msg: str = MSG_TIMEOUT, hot_rows: int | None = None) -> DataFrame:
     """One row per A event: keys, start_ts, match_ts (NULL on timeout),
     result_msg, tag (``matched`` / ``timeout``).  The A and B predicates are
     meant to be disjoint; an event satisfying both would count as its own
     B."""
     keys = list(keys)
     d = df.select(*keys, ts, first.alias("__a"), then.alias("__b"))
-    nxt = keyed_next_at_or_after(d, keys, ts, time_bucket(ts, bucket), F.col("__b"), ts,
-                                 "__next")
+    nxt = keyed_next_at_or_after(d, keys, ts, _by_time(d, keys, ts, bucket, hot_rows), F.col("__b"), ts, "__next")
     ok = F.col("__next").isNotNull() & (F.col("__next") < F.col(ts) + interval(within))
     return (nxt.filter(F.col("__a"))
             .select(*keys, F.col(ts).alias("start_ts"),
@@ -147,9 +156,9 @@ def _chunk_rows(rows: list, keys: list) -> pd.DataFrame:
 
 
 def burst_warnings(df: DataFrame, keys: Sequence[str], ts: str, is_fail: Column, within: str,
-                   min_count: int = 2, bucket: str = "1 day",
-                   msg_prefix: str = MSG_BURST_PREFIX, msg_suffix: str = MSG_BURST_SUFFIX
-                   ) -> DataFrame:
+                   min_count: int = 2, bucket: str | None = None,
+                   msg_prefix: str = MSG_BURST_PREFIX, msg_suffix: str = MSG_BURST_SUFFIX,
+                   hot_rows: int | None = None) -> DataFrame:
     """SEQ-1c: a first failure opens a chunk of length ``within`` (a failure
     exactly at the end is in); later failures join it; a success discards the
     open chunk; when the chunk's time is up it warns if it holds
@@ -163,7 +172,7 @@ def burst_warnings(df: DataFrame, keys: Sequence[str], ts: str, is_fail: Column,
     """
     keys = list(keys)
     d = df.select(*keys, ts, is_fail.alias("__fail"))
-    nxt = keyed_next_at_or_after(d, keys, ts, time_bucket(ts, bucket), ~F.col("__fail"), ts,
+    nxt = keyed_next_at_or_after(d, keys, ts, _by_time(d, keys, ts, bucket, hot_rows), ~F.col("__fail"), ts,
                                  "__reset_ts")
     fails = nxt.filter(F.col("__fail")).select(
         *keys, F.unix_micros(F.col(ts).cast("timestamp")).alias("__t"),

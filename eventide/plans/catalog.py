@@ -243,7 +243,7 @@ def q_tx_reconcile_once(spark, sf):
         F.col("l_partkey").alias("tx_id"), F.col("l_shipdate").alias("receipt_ts"),
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("long").alias("receipt_no"))
     once = reconciliation.reconcile_once(pays, receipts, ONCE_TOLERANCE, pay_seq="pay_no",
-                                         receipt_seq="receipt_no", bucket="30 days")
+                                         receipt_seq="receipt_no")
     return once.withColumns({c: F.col(c).cast("string") for c in ("pay_no", "receipt_no")})
 
 

@@ -96,8 +96,8 @@ class RankBorder:
 
 
 def _open_after(windows: DataFrame, window: str, size_us: int, delay_us: int):
-    """A window whose end lies ``delay`` before the start of the latest window
-    gets no more rows: the watermark has passed it."""
+    """A window whose end lies ``delay`` before the start of the latest one of
+    ``windows`` gets no more rows: the watermark has passed it."""
     latest = windows.filter(F.col(window).isNotNull()).agg(F.unix_micros(F.max(window))).first()[0]
     if latest is None:
         return F.lit(True)
@@ -119,8 +119,9 @@ def write_top_n_changelog(counts: DataFrame, name: str, n: int, keys: Sequence[s
         old = border.read(like, epoch - 1)
         now = border.ranked(touched, old).withColumn("__now", F.lit(True))
         rest = border.untouched(touched, old).withColumn("__now", F.lit(False))
-        is_open = _open_after(touched, window, duration_micros(size), duration_micros(delay))
-        # the touched windows are read back below, so they go one epoch later
+        # Spark drops late rows by the watermark of one micro-batch before, hence the old windows
+        is_open = _open_after(old, window, duration_micros(size), duration_micros(delay))
+        # the touched windows are read back below
         border.keep(epoch, now.unionByName(rest).filter(F.col("__now") | is_open).select(*cols))
         windows = touched.select(window).distinct()
         old, new = (_in(border.read(like, e), windows, [window]).select(*cols) for e in (epoch - 1, epoch))
@@ -166,8 +167,9 @@ def write_refined_rankings(counts: DataFrame, name: str, n: int, keys: Sequence[
         every = every.join(was, every[window].eqNullSafe(was["__w"]), "left")
         due = F.unix_micros(F.col(window)) <= F.lit(latest - wait)
         every = every.select(*cols, "touched", F.coalesce("__was", F.lit(False)).alias("__was"), due.alias("__due"))
-        border.keep(epoch, every.filter((F.unix_micros(F.col(window)) > F.lit(latest - wait - grace))
-                                        | F.col("touched") | ~F.col("__was"))
+        # Spark drops late rows by the watermark of one micro-batch before, hence the old time
+        closed = F.lit(False) if last is None else F.unix_micros(F.col(window)) <= F.lit(last - wait - grace)
+        border.keep(epoch, every.filter(~closed | F.col("touched") | ~F.col("__was"))
                     .select(*cols, (F.col("__was") | F.col("__due")).alias("emitted"),
                             F.lit(latest).cast("long").alias("latest")))
         return (every.filter(F.col("__due") & (F.col("touched") | ~F.col("__was")))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from eventide.functions.time import time_bucket
 from eventide.plans.ordered import (keyed_lag, keyed_next_at_or_after, keyed_position,
-                                    row_number_within)
+                                    row_number_within, volume_cuts)
 
 
 def _rows(n=400, hot_share=0.6, seed=7):
@@ -102,3 +102,49 @@ def test_hot_key_rows_spread_over_tasks(spark):
         spark.conf.set("spark.sql.adaptive.enabled", old)
     assert sum(per_task) == 8000
     assert max(per_task) < 0.25 * 8000      # the hot half is spread, not in one task
+
+
+@pytest.fixture(scope="module")
+def lopsided(spark):
+    """One key has a third of all rows, all within one hour; NULL is a key too."""
+    rnd = random.Random(11)
+    rows = [(i, 0, T1 + timedelta(milliseconds=rnd.randint(0, 3_600_000)), rnd.random() < 0.3) for i in range(600)]
+    rows += [(600 + i, rnd.choice([None, 1, 2, 3]), T1 + timedelta(seconds=rnd.randint(0, 10 ** 6)), rnd.random() < 0.3)
+             for i in range(1200)]
+    return rows
+
+
+T1 = datetime(2024, 3, 1)
+
+
+def test_a_hot_key_is_cut_into_equal_parts(spark, lopsided):
+    df = spark.createDataFrame(lopsided, "seq long, k long, ts timestamp, flag boolean")
+    cuts = volume_cuts(df, ["k"], F.unix_micros("ts"), hot_rows=500, parts=8)
+    sizes = {(r.k, r["__bucket"]): r["count"] for r in cuts.number(df).groupBy("k", "__bucket").count().collect()}
+    hot = [n for (k, _), n in sizes.items() if k == 0]
+    assert len(hot) == 8 and max(hot) <= 2 * 600 / 8       # though all lie within one hour
+    assert sum(1 for k, _ in sizes if k != 0) == 4          # the others stay whole
+    assert volume_cuts(df, ["k"], F.unix_micros("ts"), hot_rows=600) is None
+
+
+def test_the_largest_task_shrinks_with_the_cuts(spark, lopsided):
+    """Task sizes of the exchange that the keyed scans use."""
+    df = spark.createDataFrame(lopsided, "seq long, k long, ts timestamp, flag boolean")
+    cuts = volume_cuts(df, ["k"], F.unix_micros("ts"), hot_rows=500, parts=64)
+    size = lambda d: max(r["count"] for r in d.groupBy(F.spark_partition_id()).count().collect())
+    whole = size(df.repartition(32, "k"))
+    assert whole >= 600
+    assert size(cuts.number(df).filter("k = 0").repartition(32, "k", "__bucket")) < whole / 4
+
+
+@pytest.mark.parametrize("parts", [2, 7, 256])
+def test_keyed_scans_over_cuts_equal_plain_windows(spark, lopsided, parts):
+    df = spark.createDataFrame(lopsided, "seq long, k long, ts timestamp, flag boolean")
+    cuts = volume_cuts(df, ["k"], F.unix_micros("ts"), hot_rows=200, parts=parts)
+    same = lambda f: (sorted(map(str, f(cuts).collect())), sorted(map(str, f(None).collect())))
+    for scan in (lambda b: keyed_lag(df, ["k"], ["ts", "seq"], b, ["seq", "flag"]),
+                 lambda b: keyed_next_at_or_after(df, ["k"], "ts", b, F.col("flag"), "ts", "nxt"),
+                 lambda b: keyed_position(df, ["k"], ["ts", "seq"], b, "pos"),
+                 lambda b: keyed_position(df, ["k"], ["ts", "seq"], b, "pos", limit=250)):
+        got, want = same(scan)
+        assert got == want

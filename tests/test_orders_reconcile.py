@@ -1,5 +1,7 @@
 from pyspark.sql import functions as F
 
+import pytest
+
 from eventide.operators import decide_at_deadline, order_outcomes, reconcile, with_tx
 from eventide.sources import parse_lines
 from tests.fixtures import ORDER_KEY_LINES, TX_PAIRS, at, epoch
@@ -73,7 +75,8 @@ def test_reconcile_equals_brute_force_interval_join(spark):
         assert sorted((o.tx_id, o.receipt_ts) for o in out if o.tag == "unmatched_receipt") == want_lone_r
 
 
-def test_each_record_is_matched_once(spark):
+@pytest.mark.parametrize("hot_rows", [None, 50])
+def test_each_record_is_matched_once(spark, hot_rows):
     """A hot id with many records, ties, repeated records and rows without id
     or time, against the walk over each id's records."""
     import random
@@ -87,7 +90,7 @@ def test_each_record_is_matched_once(spark):
     rcps += rcps[:40]
     got = reconcile_once(spark.createDataFrame(pays, "tx_id string, pay_ts timestamp, p int"),
                          spark.createDataFrame(rcps, "tx_id string, receipt_ts timestamp, r int"),
-                         "3 seconds", pay_seq="p", receipt_seq="r", bucket="1 minute").collect()
+                         "3 seconds", pay_seq="p", receipt_seq="r", hot_rows=hot_rows).collect()
     want, by = [], {}
     for rows, side in ((pays, 0), (rcps, 1)):
         for tx, ts, no in rows:
@@ -111,3 +114,33 @@ def test_each_record_is_matched_once(spark):
     mine = [(str(g.tx_id), "m", 0, g.p, g.r) if g.tag == "matched" else
             (str(g.tx_id), "u", *((0, g.p) if g.tag == "unmatched_pay" else (1, g.r)), None) for g in got]
     assert sorted(map(str, mine)) == sorted(map(str, want))
+
+
+@pytest.mark.parametrize("hot_rows", [None, 100])
+def test_runs_of_links_that_cross_many_cuts(spark, hot_rows):
+    """One id whose records all link: parity is carried through every cut."""
+    from eventide.operators import reconcile_once
+
+    # 801 records one second apart, sides in turn, so all are one run of links
+    pays = [("x", at(2 * i), i) for i in range(401)]
+    rcps = [("x", at(2 * i + 1), i) for i in range(400)]
+    got = reconcile_once(spark.createDataFrame(pays, "tx_id string, pay_ts timestamp, p int"),
+                         spark.createDataFrame(rcps, "tx_id string, receipt_ts timestamp, r int"),
+                         "1 second", hot_rows=hot_rows).collect()
+    assert sorted((g.p, g.r) for g in got if g.tag == "matched") == [(i, i) for i in range(400)]
+    assert [(g.p, g.r) for g in got if g.tag != "matched"] == [(400, None)]
+
+
+def test_one_exchange_of_full_rows_and_one_scan_per_table(spark):
+    from eventide.operators import reconcile_once
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = reconcile_once(spark.createDataFrame([("a", at(0), 1)], "tx_id string, pay_ts timestamp, p int"),
+                            spark.createDataFrame([("a", at(1), 1)], "tx_id string, receipt_ts timestamp, r int"))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    assert plan.count("Scan ExistingRDD") == 2 and plan.count("+- Sort [") == 1

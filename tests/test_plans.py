@@ -36,25 +36,33 @@ def test_builtin_only_queries_have_no_python(spark, name):
 def test_gate_only_numbers_the_first_events(spark):
     from eventide.plans.catalog import q_ad_gate_pass
     plan = _plan(q_ad_gate_pass(spark, SF001))
-    assert "HashAggregate" in plan                # per-(key, bucket) counts before numbering
-    assert "Filter" in plan
+    assert plan.count("WindowGroupLimit") == 2    # before the exchange and after it
 
 
 @pytest.mark.parametrize("name", ["login_fail_strict", "login_fail_arrival", "ad_gate_pass", "ad_gate_warn",
-                                  "ad_gate_daily", "ad_by_geo", "order_timeout_cep", "login_fail_burst"])
-def test_keyed_scans_shuffle_full_rows_once(spark, name):
-    """No join brings the carried rows back, whatever their size: the rows go
-    through one exchange on (key, bucket), united with what is carried."""
+                                  "ad_gate_daily", "order_timeout_cep"])
+def test_keyed_scans_without_a_hot_key_are_one_exchange(spark, name):
+    import __spark_entry__ as entry
+    plan = _plan(entry.queries()[name](spark, SF001))
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("name", ["login_fail_strict", "login_fail_arrival", "order_timeout_cep", "login_fail_burst"])
+def test_keyed_scans_of_hot_keys_shuffle_full_rows_once(spark, name, monkeypatch):
+    """Only the table of cuts is joined, by broadcast; the rows go through one
+    exchange on (key, bucket), united with what is carried."""
     import re
 
     import __spark_entry__ as entry
+    from eventide.plans import ordered
+    monkeypatch.setattr(ordered, "HOT_ROWS", 5)
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plan = _plan(entry.queries()[name](spark, SF001))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    assert "Join" not in plan
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
     # of the exchanges on (key, bucket) only the summary's (partial aggregates) and the union's are left
     lines = plan.split("\n")
     full = [i for i, x in enumerate(lines) if re.search(r"Exchange hashpartitioning\(.*__bucket", x)
