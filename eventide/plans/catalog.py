@@ -234,7 +234,7 @@ def q_tx_reconcile(spark, sf):
     return reconciliation.reconcile(pays, receipts, TX_TOLERANCE)
 
 
-def q_tx_reconcile_once(spark, sf):
+def _reused_ids(spark, sf):
     """Ids that are used again and again: customers on the one side, parts on
     the other, by number."""
     pays = _read(spark, sf, "orders").select(
@@ -242,8 +242,12 @@ def q_tx_reconcile_once(spark, sf):
     receipts = _read(spark, sf, "lineitem").select(
         F.col("l_partkey").alias("tx_id"), F.col("l_shipdate").alias("receipt_ts"),
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("long").alias("receipt_no"))
-    once = reconciliation.reconcile_once(pays, receipts, ONCE_TOLERANCE, pay_seq="pay_no",
-                                         receipt_seq="receipt_no")
+    return pays, receipts
+
+
+def q_tx_reconcile_once(spark, sf):
+    pays, receipts = _reused_ids(spark, sf)
+    once = reconciliation.reconcile_once(pays, receipts, ONCE_TOLERANCE, pay_seq="pay_no", receipt_seq="receipt_no")
     return once.withColumns({c: F.col(c).cast("string") for c in ("pay_no", "receipt_no")})
 
 

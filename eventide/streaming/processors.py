@@ -1,15 +1,16 @@
 """Event-time stateful processors for ``transformWithState`` (STR-9,
-GATE-1, SEQ-1, SEQ-2, SEQ-3, CHG-1).
+GATE-1, SEQ-1, SEQ-2, SEQ-3, JOIN-1, CHG-1).
 
 Rows of one key inside a micro-batch arrive in no particular order, so every
 processor here follows one pattern (:class:`EventTimeReplay`):
 
-* new rows go to a ListState buffer and an event-time timer is set at the
-  earliest buffered time;
-* when the watermark passes, the buffered rows up to the watermark are
-  released in ``(ts, seq)`` order and fed to a small per-key state machine;
-  deadlines of that machine (timeouts, period ends) are timers too, and are
-  fired in time order between the released rows.
+* new rows go to a MapState buffer by time slot, with one event-time timer
+  per slot, at its earliest row;
+* when the watermark passes, the rows of the due slots, and of no other one,
+  are read, released up to the watermark in ``(ts, seq)`` order and fed to a
+  small per-key state machine; the next deadline of that machine (timeout,
+  period end) is a timer too, and is fired in time order between the released
+  rows.
 
 This makes the result independent of how the input is cut into
 micro-batches, and equal to the batch operators for rows that are not late.
@@ -18,6 +19,7 @@ State is per key, so it is spread over all tasks like any keyed shuffle.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from datetime import datetime, timedelta, timezone
 
@@ -46,20 +48,31 @@ def timer_ms(us: int) -> int:
     return -(-us // 1000)
 
 
+def _plain(v):
+    """Rows as plain tuples: the state API takes nested values in that form."""
+    return tuple(_plain(x) for x in v) if isinstance(v, tuple) else v
+
+
 class EventTimeReplay(StatefulProcessor):
     """Base class.  Subclasses define ``row_schema`` (buffered fields; must
     contain ``ts``), ``state_schema`` (one value per key, handled as a dict)
-    and the hooks ``on_event`` / ``on_deadline`` / ``deadlines``.  A deadline
+    and the hooks ``on_event`` / ``on_deadline`` / ``next_deadline``.  A deadline
     fires before any row with a time at or after it."""
 
     row_schema: T.StructType
     state_schema: T.StructType
     order_fields: tuple = ("ts",)
+    #: Width of a buffer slot.
+    slot_us: int = 3_600_000_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.buf = handle.getListState("buf", self.row_schema)
-        self.state = handle.getValueState("st", self.state_schema)
+        self.buf = handle.getMapState("buf", T.StructType([T.StructField("slot", T.LongType())]),
+                                      T.StructType([T.StructField("rows", T.ArrayType(self.row_schema))]))
+        self.state = handle.getValueState("st", T.StructType([
+            *self.state_schema.fields, T.StructField("__slots", T.ArrayType(T.LongType())),
+            T.StructField("__timer", T.LongType())]))
+        self._ts_at = self.row_schema.names.index("ts")
         # Keys already replayed up to the current watermark in this batch.
         # Timers run after all input rows of a batch, so a second timer of
         # the same key and watermark has nothing left to do.
@@ -75,32 +88,60 @@ class EventTimeReplay(StatefulProcessor):
     def on_deadline(self, key, st: dict, at_us: int) -> list:
         return []
 
-    def deadlines(self, st: dict) -> list[int]:
-        """Pending deadlines (micros) of the state machine."""
-        return []
+    def next_deadline(self, st: dict) -> int | None:
+        """Earliest pending deadline (micros) of the state machine."""
+        return None
+
+    def wanted(self, st: dict) -> bool:
+        """Whether later rows can still matter; else they aren't buffered."""
+        return True
+
+    def trim(self, rows: list) -> list:
+        """The rows of one slot (tuples) that can still matter."""
+        return rows
 
     def idle(self, st: dict) -> bool:
         """Whether the state says no more than no state at all; it is then
         removed, so keys that have come to rest cost nothing."""
-        return st == {**{n: None for n in self.state_schema.names}, **self.initial_state()}
+        start = self.initial_state()
+        return all(st.get(n) == start.get(n) for n in self.state_schema.names)
 
     # -- machinery ------------------------------------------------------
     # Every state call is a round trip to the state server, so each callback
-    # reads the value state once and registers one release timer (the
-    # earliest buffered time) instead of one per row.
+    # reads the value state once, and a slot's rows are read once when it is due.
     def _load(self) -> dict:
         v = self.state.get()
-        return dict(zip(self.state_schema.names, v)) if v is not None else self.initial_state()
+        names = [*self.state_schema.names, "__slots", "__timer"]
+        return dict(zip(names, v)) if v is not None else {**self.initial_state(), "__slots": [], "__timer": None}
 
     def _save(self, st: dict) -> None:
-        self.state.update(tuple(st.get(n) for n in self.state_schema.names))
+        if not st["__slots"] and self.idle(st):
+            self.state.clear()
+        else:
+            self.state.update(tuple(_plain(st.get(n)) for n in [*self.state_schema.names, "__slots", "__timer"]))
+
+    def _in_order(self, rows: list) -> list:
+        at = [self.row_schema.names.index(f) for f in self.order_fields]
+        return sorted(rows, key=lambda t: tuple(t[i] for i in at))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        new = [tuple(r[n] for n in self.row_schema.names) for r in rows]
-        if new:
-            i = self.row_schema.names.index("ts")
-            self.buf.appendList(new)
-            self.handle.registerTimer(min(timer_ms(_us(t[i])) for t in new))
+        new: dict[int, list] = {}
+        for r in rows:
+            new.setdefault(_us(r["ts"]) // self.slot_us, []).append(tuple(_plain(r[n]) for n in self.row_schema.names))
+        if not new:
+            return iter([])
+        st = self._load()
+        if not self.wanted(st):
+            return iter([])
+        known = set(st["__slots"] or [])
+        for slot, got in new.items():
+            self.handle.registerTimer(min(timer_ms(_us(t[self._ts_at])) for t in got))
+            if slot in known:
+                got = [_plain(r) for r in self.buf.getValue((slot,))[0]] + got
+            self.buf.updateValue((slot,), (self.trim(got),))
+        if not known.issuperset(new):
+            st["__slots"] = sorted(known | set(new))
+            self._save(st)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
@@ -108,30 +149,41 @@ class EventTimeReplay(StatefulProcessor):
         if self._replayed.get(key) == wm_us:
             return iter([])
         self._replayed[key] = wm_us
-        rows = [Row(**dict(zip(self.row_schema.names, t))) for t in self.buf.get()]
-        ready = sorted((r for r in rows if _us(r["ts"]) <= wm_us),
-                       key=lambda r: tuple(r[f] for f in self.order_fields))
         st = self._load()
-        rest = [r for r in rows if _us(r["ts"]) > wm_us]
-        if rest:        # whatever fired, the earliest row left has a timer
-            self.handle.registerTimer(min(timer_ms(_us(r["ts"])) for r in rest))
-        if not ready and not any(d <= wm_us for d in self.deadlines(st)):
-            return iter([])
-        if ready:
-            self.buf.clear()
-            if rest:
-                self.buf.appendList([tuple(r) for r in rest])
         out: list = []
-        for r in ready:
-            out += self._fire(key, st, _us(r["ts"]))   # deadlines at or before the row
-            out += self.on_event(key, st, r)
+        stay = []
+        for slot in st["__slots"] or []:                    # ascending
+            if slot * self.slot_us > wm_us:
+                stay.append(slot)
+                continue
+            rows = [_plain(r) for r in self.buf.getValue((slot,))[0]]
+            rest = []
+            if (slot + 1) * self.slot_us > wm_us:           # due in part
+                rest = [t for t in rows if _us(t[self._ts_at]) > wm_us]
+                rows = [t for t in rows if _us(t[self._ts_at]) <= wm_us]
+            if rest:
+                stay.append(slot)
+                self.handle.registerTimer(min(timer_ms(_us(t[self._ts_at])) for t in rest))
+                if rows:
+                    self.buf.updateValue((slot,), (rest,))
+            else:
+                self.buf.removeKey((slot,))
+            for t in self._in_order(rows):
+                r = Row(**dict(zip(self.row_schema.names, t)))
+                out += self._fire(key, st, _us(r["ts"]))    # deadlines at or before the row
+                out += self.on_event(key, st, r)
+        st["__slots"] = stay
         out += self._fire(key, st, wm_us)
-        for d in self.deadlines(st):
-            self.handle.registerTimer(timer_ms(d))
-        if self.idle(st):
-            self.state.clear()
-        else:
-            self._save(st)
+        due = self.next_deadline(st)
+        timer = None if due is None else timer_ms(due)
+        if timer != st["__timer"]:
+            # the old one is off (matched, reset, moved), unless a buffered row may share it
+            if st["__timer"] is not None and st["__timer"] * 1000 > wm_us and not stay:
+                self.handle.deleteTimer(st["__timer"])
+            if timer is not None:
+                self.handle.registerTimer(timer)
+            st["__timer"] = timer
+        self._save(st)
         return iter(out)
 
     def close(self) -> None:
@@ -140,10 +192,10 @@ class EventTimeReplay(StatefulProcessor):
     def _fire(self, key, st: dict, t_us: int) -> list:
         out = []
         while True:
-            due = [d for d in self.deadlines(st) if d <= t_us]
-            if not due:
+            due = self.next_deadline(st)
+            if due is None or due > t_us:
                 return out
-            out += self.on_deadline(key, st, min(due))
+            out += self.on_deadline(key, st, due)
 
 
 def _ts(us: int) -> datetime:
@@ -164,8 +216,8 @@ class StrictPairs(EventTimeReplay):
     def __init__(self, within_us: int, msg: str):
         self.within_us, self.msg = within_us, msg
 
-    def deadlines(self, st):       # past it, the open A can't be matched any more
-        return [st["last_us"] + self.within_us] if st.get("last_a") else []
+    def next_deadline(self, st):       # past it, the open A can't be matched any more
+        return st["last_us"] + self.within_us if st.get("last_a") else None
 
     def on_deadline(self, key, st, at_us):
         st.update(last_us=None, last_a=None)
@@ -186,7 +238,9 @@ class StrictPairs(EventTimeReplay):
 
 class ClickGate(EventTimeReplay):
     """GATE-1: max_count + 1 events pass per key and period, the next one
-    warns once; the period (UTC day) ends with a timer that clears state."""
+    warns once; the period (UTC day) ends with a timer that clears state.  Of a
+    slot's events only the first max_count + 2 can matter and are kept; without
+    a period, nothing is kept once the warning is out."""
 
     row_schema = T.StructType([T.StructField("ts", T.TimestampType()),
                                T.StructField("seq", T.LongType())])
@@ -197,12 +251,21 @@ class ClickGate(EventTimeReplay):
 
     def __init__(self, max_count: int, msg: str, period_us: int | None):
         self.max_count, self.msg, self.period_us = max_count, msg, period_us
+        # slots do not cross the end of a period
+        self.slot_us = type(self).slot_us if period_us is None or period_us % type(self).slot_us == 0 else period_us
+
+    def wanted(self, st):
+        return self.period_us is not None or not st.get("sent")
+
+    def trim(self, rows):
+        most = self.max_count + 2
+        return rows if len(rows) <= most else self._in_order(rows)[:most]
 
     def initial_state(self):
         return {"count": 0, "sent": False, "period_end_us": None}
 
-    def deadlines(self, st):
-        return [st["period_end_us"]] if st.get("period_end_us") is not None else []
+    def next_deadline(self, st):
+        return st.get("period_end_us")
 
     def on_deadline(self, key, st, at_us):
         st.update(count=0, sent=False, period_end_us=None)
@@ -241,32 +304,72 @@ class FollowedBy(EventTimeReplay):
     def initial_state(self):
         return {"open_us": []}
 
-    def deadlines(self, st):
-        return [s + self.within_us for s in (st.get("open_us") or [])]
+    def next_deadline(self, st):
+        return st["open_us"][0] + self.within_us if st.get("open_us") else None     # in time order
 
     def on_deadline(self, key, st, at_us):
-        out, keep = [], []
-        for s in st.get("open_us") or []:
-            if s + self.within_us <= at_us:
-                out.append(Row(order_id=key[0], start_ts=_ts(s), match_ts=None,
-                               result_msg=self.timeout_msg, tag="timeout"))
-            else:
-                keep.append(s)
-        st["open_us"] = keep
-        return out
+        opened = st["open_us"]
+        n = bisect_right(opened, at_us - self.within_us)
+        st["open_us"] = opened[n:]
+        return [Row(order_id=key[0], start_ts=_ts(s), match_ts=None, result_msg=self.timeout_msg, tag="timeout")
+                for s in opened[:n]]
 
     def on_event(self, key, st, row):
         t = _us(row["ts"])
         out = []
-        opened = list(st.get("open_us") or [])
         if row["b"]:
-            for s in opened:   # deadlines <= t already fired, so t < s + T here
+            for s in st["open_us"]:   # deadlines <= t already fired, so t < s + T here
                 out.append(Row(order_id=key[0], start_ts=_ts(s), match_ts=row["ts"],
                                result_msg=self.matched_msg, tag="matched"))
-            opened = []
+            st["open_us"] = []
         if row["a"]:
-            opened.append(t)
-        st["open_us"] = opened
+            st["open_us"] = [*st["open_us"], t]
+        return out
+
+
+class OneOpenRecord(EventTimeReplay):
+    """JOIN-1 with each record matched once: a key has at most one open record.
+    A record of the other side within the tolerance matches it and takes its
+    timer back; otherwise the new record replaces it; a timer reports a record
+    that stayed alone.  ``p`` and ``r`` are the records of the two sides."""
+
+    order_fields = ("ts", "side", "seq", "same")
+
+    def __init__(self, tolerance_us: int, pay: T.StructType, receipt: T.StructType, tags: tuple):
+        self.tolerance_us, self.tags = tolerance_us, tags
+        self.slot_us = max(16 * tolerance_us, 1_000_000)     # few state calls per key
+        sides = [T.StructField("p", pay), T.StructField("r", receipt)]
+        self.row_schema = T.StructType([
+            T.StructField("ts", T.TimestampType()), T.StructField("side", T.IntegerType()),
+            T.StructField("seq", T.LongType()), T.StructField("same", T.LongType()), *sides])
+        self.state_schema = T.StructType([T.StructField("open_us", T.LongType()),
+                                          T.StructField("side", T.IntegerType()), *sides])
+
+    def _out(self, key, p, r, tag):
+        # nested results are handed over by name
+        p, r = (None if v is None else dict(zip(self.row_schema[c].dataType.names, v)) for c, v in (("p", p), ("r", r)))
+        return Row(tx=key[0], p=p, r=r, tag=tag)
+
+    def next_deadline(self, st):
+        return None if st.get("open_us") is None else st["open_us"] + self.tolerance_us + 1
+
+    def _alone(self, key, st):
+        return [self._out(key, st["p"], st["r"], self.tags[1 + st["side"]])]
+
+    def on_deadline(self, key, st, at_us):
+        out = self._alone(key, st)
+        st.update(open_us=None, side=None, p=None, r=None)
+        return out
+
+    def on_event(self, key, st, row):
+        out = []
+        if st.get("open_us") is not None:
+            if st["side"] != row["side"]:           # its deadline has not fired, so it is near enough
+                p, r = (st["p"], row["r"]) if st["side"] == 0 else (row["p"], st["r"])
+                st.update(open_us=None, side=None, p=None, r=None)
+                return [self._out(key, p, r, self.tags[0])]
+            out = self._alone(key, st)
+        st.update(open_us=_us(row["ts"]), side=row["side"], p=row["p"], r=row["r"])
         return out
 
 
@@ -339,9 +442,9 @@ class BurstRule(EventTimeReplay):
     def initial_state(self):
         return {"start_us": None, "last_us": None, "n": 0}
 
-    def deadlines(self, st):
+    def next_deadline(self, st):
         s = st.get("start_us")
-        return [s + self.within_us + 1] if s is not None else []
+        return None if s is None else s + self.within_us + 1
 
     def on_deadline(self, key, st, at_us):
         out = []

@@ -28,6 +28,7 @@ from eventide.streaming.processors import (ArrivalPairs, BurstRule, ClickGate, D
                                           FollowedBy, OrderOutcome, StrictPairs)
 from eventide.streaming.ranked import (fold_changelog, last_versions, write_refined_rankings,
                                        write_top_n_changelog)
+from eventide.streaming.reconcile import reconcile_once_stream
 from eventide.streaming.runner import (SENTINEL_TS, before_flush, event_time, live,
                                        prepare_streaming, replay_parts, replay_stream, run_and_read,
                                        time_bounds)
@@ -253,6 +254,26 @@ def s_tx_reconcile(spark, sf):
         before_flush(b, "pay_ts", "receipt_ts"), "pay_ts", "receipt_ts"))
 
 
+def s_tx_reconcile_once(spark, sf):
+    """JOIN-1, each record once: one open record per id in state."""
+    prepare_streaming(spark)
+    pays, receipts = C._reused_ids(spark, sf)
+    types = {**dict(pays.dtypes), **dict(receipts.dtypes)}
+    bounds = time_bounds(pays, "pay_ts", 4)
+    pays = event_time(replay_stream(pays, "pay_ts", bounds=bounds), "pay_ts", "0 seconds")
+    receipts = event_time(replay_stream(receipts, "receipt_ts", bounds=bounds), "receipt_ts", "0 seconds")
+    once = reconcile_once_stream(
+        pays.filter(live(F.lit(True), "pay_ts")), receipts.filter(live(F.lit(True), "receipt_ts")), C.ONCE_TOLERANCE,
+        pay_seq="pay_no", receipt_seq="receipt_no")
+
+    def finish(batch: DataFrame) -> DataFrame:
+        b = before_flush(batch, "pay_ts", "receipt_ts")
+        return b.withColumns({**{c: F.col(c).cast(types[c]) for c in ("pay_ts", "receipt_ts")},
+                              **{c: F.col(c).cast("string") for c in ("pay_no", "receipt_no")}})
+
+    return run_and_read(once, "tx_reconcile_once", transform=finish)
+
+
 # ------------------------------------------------------- stateful processors
 def _tws(df: DataFrame, keys: list, processor, schema: T.StructType, name: str,
          ts_cols: tuple) -> DataFrame:
@@ -420,6 +441,7 @@ STREAM_QUERIES = {
     "marketing_by_channel_stream": s_marketing_by_channel,
     "running_count_stream": s_running_count,
     "tx_reconcile_stream": s_tx_reconcile,
+    "tx_reconcile_once_stream": s_tx_reconcile_once,
     "login_fail_strict_stream": s_login_fail_strict,
     "login_fail_arrival_stream": s_login_fail_arrival,
     "login_fail_burst_stream": s_login_fail_burst,
@@ -444,6 +466,7 @@ STREAM_ORACLE_OF = {
     "marketing_by_channel_stream": "marketing_by_channel",
     "running_count_stream": "running_count",
     "tx_reconcile_stream": "tx_reconcile",
+    "tx_reconcile_once_stream": "tx_reconcile_once",
     "login_fail_strict_stream": "login_fail_strict",
     "login_fail_arrival_stream": "login_fail_arrival",
     "login_fail_burst_stream": "login_fail_burst",
