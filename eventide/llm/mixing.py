@@ -124,10 +124,10 @@ def mix(docs: DataFrame, weights: list[float], max_repeat: int = 3, seed: int =
     members = F.when(F.size(members) == 0, F.array(F.lit(None).cast("string"))).otherwise(members)
     # order drawn from seed, id and text: the same in every run
     draw = F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col))
-    base = docs.select(*carry, members.alias("__members"), count_words(F.col(text_col)).alias("size"),
-                       draw.alias("__draw"))
-    base = materialize(base, "mix")       # word counts are taken once
-    stats = (base.groupBy("__members").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("docs"))
+    size_of = count_words(F.col(text_col))
+    # numbers only: no text is written or shuffled before it is known to be chosen
+    slim = materialize(docs.select(members.alias("__members"), size_of.alias("size"), draw.alias("__draw")), "mix")
+    stats = (slim.groupBy("__members").agg(F.sum("size").alias("words"), F.count(F.lit(1)).alias("docs"))
              .limit(MAX_PATTERNS + 1).collect())
     if len(stats) > MAX_PATTERNS:
         raise ValueError(f"more than {MAX_PATTERNS} membership patterns")
@@ -149,53 +149,58 @@ def mix(docs: DataFrame, weights: list[float], max_repeat: int = 3, seed: int =
         whole = words // r["words"] if r["words"] else 0
         plan.append((r["__members"], p, int(whole), int(words - whole * r["words"]),
                      max(1, r["docs"] // BUCKET_DOCS), size[r["__members"][0]], float(target[r["__members"][0]])))
-    # one row per pattern, at most MAX_PATTERNS of them: Spark broadcasts it if small
-    plan = spark.createDataFrame(plan, "__members array<string>, __p long, __whole long, __rest long,"
-                                       " __n long, source_size long, target double")
-    key = F.transform(F.col("__members"), lambda m: F.coalesce(F.concat(F.lit("="), m), F.lit("")))
-    dealt = (base.withColumn("__key", key).drop("__members")
-             .join(F.broadcast(plan.withColumn("__key", key).drop("__members")), "__key").drop("__key")
-             .withColumn("__bucket", F.expr("(__draw & 9223372036854775807L) % __n")))
-    # words by bucket, and the bucket where a pattern's rest is used up
-    sums = dealt.groupBy("__p", "__bucket").agg(F.sum("size").alias("w"), F.first("__rest").alias("rest"))
-    order = Window.partitionBy("__p").orderBy("__bucket")
-    cuts = (sums.withColumn("upto", F.sum("w").over(order))
-            .withColumn("left", F.col("rest") - (F.col("upto") - F.col("w")))
-            .select("__p", "__bucket", F.when(F.col("upto") <= F.col("rest"), F.lit(1))
-                    .when(F.col("left") > 0, F.lit(0)).otherwise(F.lit(-1)).alias("__state"),
-                    F.greatest(F.col("left"), F.lit(0)).alias("__left")))
-    placed = dealt.join(cuts, ["__p", "__bucket"])
-    sure = placed.filter(F.col("__state") != 0).withColumn(
-        "repeats", F.col("__whole") + F.when((F.col("__state") == 1), 1).otherwise(0))
+    key = key_of(F.col("__members"))
+    plan = materialize(spark.createDataFrame(
+        plan, "__members array<string>, __p long, __whole long, __rest long, __n long, source_size long, target double")
+        .withColumn("__key", key).drop("__members"), "mix-plan")
+    bucket = F.expr("(__draw & 9223372036854775807L) % __n").alias("__bucket")
+    dealt = slim.withColumn("__key", key).join(plan.select("__key", "__p", "__n"), "__key").select(
+        "__p", "size", "__draw", bucket)
+    # words by bucket; a pattern's rest is used up in one bucket, its cut
+    sums = dealt.groupBy("__p", "__bucket").agg(F.sum("size").alias("w")).join(plan.select("__p", "__rest"), "__p")
+    upto = F.sum("w").over(Window.partitionBy("__p").orderBy("__bucket"))
+    cuts = (sums.withColumn("upto", upto).filter(F.col("upto") > F.col("__rest"))
+            .groupBy("__p").agg(F.min(F.struct("__bucket", (F.col("__rest") - (F.col("upto") - F.col("w"))).alias("left")))
+                                .alias("__cut")))
+    # one row per pattern: what a document needs to know is joined to it, texts stay where they are
+    law = materialize(plan.join(cuts, "__p", "left").select(
+        "__key", "__p", "__whole", "__n", "source_size", "target", F.col("__cut.__bucket").alias("__cut"),
+        F.coalesce("__cut.left", F.lit(0).cast("long")).alias("__left")), "mix-law")
+    rows = (docs.select(*carry, key_of(members).alias("__key"), size_of.alias("size"), draw.alias("__draw"))
+            .join(law, "__key").select("*", bucket))
+    at_cut = (F.col("__bucket") == F.coalesce("__cut", F.lit(-1))) & (F.col("__left") > 0)
     cols = [*carry, "size", "source_size", "target"]
-    cut = placed.filter(F.col("__state") == 0)
-    # the cut bucket goes through one task per pattern: numbers only, no texts
-    edge = cut.select("__p", "__draw", "size", "__left")
-    chosen = edge.groupBy("__p").applyInPandas(
-        take_rest, "__p long, __draw long, size long, __nth long, __extra int")
+    before = F.col("__cut").isNull() | (F.col("__bucket") < F.col("__cut"))
+    sure = rows.filter(~at_cut).withColumn("repeats", F.col("__whole") + before.cast("long"))
+    # the cut goes through one task per pattern: numbers only, equal ones together
+    edge = (dealt.join(law.select("__p", "__cut", "__left"), "__p").filter(at_cut)
+            .groupBy("__p", "__draw", "size").agg(F.count(F.lit(1)).alias("n"), F.first("__left").alias("left")))
+    chosen = edge.groupBy("__p").applyInPandas(take_rest, "__p long, __draw long, size long, __take long")
     w = Window.partitionBy("__p", "__draw", "size").orderBy(F.lit(0))
-    picked = (cut.withColumn("__nth", F.row_number().over(w).cast("long"))
-              .join(chosen, ["__p", "__draw", "size", "__nth"])
-              .withColumn("repeats", F.col("__whole") + F.col("__extra")))
+    picked = (rows.filter(at_cut).withColumn("__nth", F.row_number().over(w))
+              .join(chosen, ["__p", "__draw", "size"])
+              .withColumn("repeats", F.col("__whole") + (F.col("__nth") <= F.col("__take")).cast("long")))
     out = sure.select(*cols, "repeats").unionByName(picked.select(*cols, "repeats"))
     return out.withColumn("repeats", F.when(F.col("size") > 0, F.col("repeats")).otherwise(F.lit(0))) \
         .withColumn("taken", F.col("size") * F.col("repeats")).select(*carry, *own)
 
 
+def key_of(members: Column) -> Column:
+    """A membership pattern without nulls, so that it can be joined."""
+    return F.transform(members, lambda m: F.coalesce(F.concat(F.lit("="), m), F.lit("")))
+
+
 def take_rest(rows: pd.DataFrame) -> pd.DataFrame:
-    """Choose documents of one bucket, in seeded order, while they fit into
-    what is left; at the end one more if that comes nearer."""
+    """Choose documents of one bucket (draw, size, n of them), in seeded order,
+    while they fit into what is left; at the end one more if that comes nearer."""
     rows = rows.sort_values(["__draw", "size"], kind="stable").reset_index(drop=True)
-    left, extra, skipped = int(rows["__left"].iloc[0]), [], None
-    for i, n in enumerate(rows["size"]):
-        fits = n <= left
-        extra.append(int(fits))
-        if fits:
-            left -= n
-        elif skipped is None or n < rows["size"][skipped]:
+    left, take, skipped = int(rows["left"].iloc[0]), [], None
+    for i, (n, size) in enumerate(zip(rows["n"].tolist(), rows["size"].tolist())):
+        k = n if size == 0 else min(n, left // size)
+        take.append(k)
+        left -= k * size
+        if k < n and (skipped is None or size < rows["size"][skipped]):
             skipped = i
     if skipped is not None and rows["size"][skipped] - left < left:
-        extra[skipped] = 1
-    nth = rows.groupby(["__draw", "size"]).cumcount() + 1
-    return pd.DataFrame({"__p": rows["__p"], "__draw": rows["__draw"], "size": rows["size"],
-                         "__nth": nth, "__extra": extra})
+        take[skipped] += 1
+    return pd.DataFrame({"__p": rows["__p"], "__draw": rows["__draw"], "size": rows["size"], "__take": take})
