@@ -6,15 +6,17 @@ attempt) until one is full (optimal densification).  Bins are grouped into
 bands; documents that agree in a band share a bucket.
 
 Buckets give star-shaped candidates: members are compared with centres, not with
-every other member.  The first centre is the member whose buckets are the fullest
-(the text that a family of copies has drifted from).  Links are joined into
-groups after each round; a bucket keeps its key and its members, and gets more
-centres, one for each of ``PARTS`` parts that its groups are dealt into, while
-members that were no centre are of several groups.  What is mixed after these
-rounds goes to an exact join: two sets that are alike share one of their rarest
-shingles (prefix filter with lengths and positions), so that every pair of a
-bucket is compared, known to be of one group, or unable to be alike.  Candidates
-are confirmed on the full shingle sets, and links are joined into components.
+every other member.  The order of centres is the same in all buckets (the member
+whose buckets are the fullest comes first, then a hash of the round), so the
+buckets of one family agree on few centres.  In a round a member is compared
+with one centre, the one it shares most buckets with, and only members of the
+smaller group are: a round costs one comparison per member at most.  Links are
+joined into groups after each round, and a bucket goes on while it holds several.
+What is mixed after ``ROUNDS`` rounds goes to an exact join: two sets that are
+alike share one of their rarest shingles (prefix filter with lengths and
+positions), so that every pair of a bucket is compared, known to be of one
+group, or unable to be alike.  Candidates are confirmed on the full shingle
+sets, and links are joined into components.
 
 Documents with equal sets are one class from the start: only the smallest id
 of a class is compared.
@@ -40,8 +42,8 @@ from eventide.llm.scratch import materialize
 
 _U = np.uint64
 _EMPTY = _U(0xFFFFFFFFFFFFFFFF)
-#: Centres of a bucket in each round.
-PARTS = (1, 4, 16)
+#: Rounds of centres, and centres of a bucket in the rounds after the first.
+ROUNDS, PARTS = 3, 2
 #: Counters of shingles by which the exact join orders them.
 SLOTS = 1 << 20
 
@@ -232,8 +234,6 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
 
     def test(pairs: DataFrame) -> None:
         nonlocal links, tested, of, label
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = materialize(pairs, "pairs")
         tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
         good = materialize(confirm(pairs.select(F.col("a").alias("centre"), F.col("b").alias("member")),
@@ -245,32 +245,42 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
         label = materialize(fame.join(of, F.col("doc_id") == F.col("node"), "left").select(
             "doc_id", "n", "fame", F.coalesce("component", "doc_id").alias("label")), "labels")
 
-    for parts in PARTS:
-        known = materialize(rows.join(label, "doc_id"), "known")
-        # one centre of each part of every bucket that holds more than one group
-        first = F.struct((-F.col("fame")).alias("f"), F.xxhash64("doc_id", "band").alias("h"), F.col("doc_id").alias("centre"),
-                         F.col("n").alias("n_c"), F.col("label").alias("label_c"))
+    for turn in range(ROUNDS):
+        groups = label.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
+        known = materialize(rows.join(label.join(groups, "label"), "doc_id"), "known")
+        # of each part of a bucket that holds more than one group: a member of its largest group
+        ahead = -F.col("fame") if turn == 0 else F.lit(0).cast("long")
+        part = F.expr(f"pmod(xxhash64(label, {turn}), {PARTS if turn else 1})")
+        first = F.struct((-F.col("size")).alias("big"), ahead.alias("f"), F.xxhash64("doc_id", F.lit(turn)).alias("h"),
+                         F.col("doc_id").alias("centre"), F.col("n").alias("n_c"), F.col("label").alias("label_c"))
         stars = materialize(
-            known.groupBy("band", "key", F.expr(f"pmod(xxhash64(label, band), {parts})").alias("part"))
+            known.groupBy("band", "key", part.alias("part"))
             .agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min(first).alias("s"))
             .groupBy("band", "key").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.collect_list("s").alias("s"))
             .filter(F.col("lo") != F.col("hi")).select("band", "key", "s"), "centres")
         if not stars.limit(1).count():
             rows = None
             break
+        # buckets of one group are done
         known = materialize(known.join(stars, ["band", "key"]), "stars")
-        test(known.select("doc_id", "n", "label", F.inline("s")).filter(
-            (F.col("label") != F.col("label_c")) & (F.least("n", "n_c") * 100 >= F.greatest("n", "n_c") * percent))
-            .select(F.least("centre", "doc_id").alias("a"), F.greatest("centre", "doc_id").alias("b")).distinct())
-        # centres have met all of the bucket; the others stay
-        rows = known.filter(~F.exists("s", lambda c: c["centre"] == F.col("doc_id"))).select("band", "key", "doc_id")
+        rows = known.select("band", "key", "doc_id")
+        smaller = F.struct(-F.col("big"), F.col("label_c")) > F.struct("size", "label")
+        asked = (known.select("doc_id", "n", "size", "label", F.inline("s"))
+                 .filter(smaller & (F.least("n", "n_c") * 100 >= F.greatest("n", "n_c") * percent))
+                 .groupBy("doc_id", "centre").agg(F.count(F.lit(1)).alias("shared"))
+                 .select("doc_id", "shared", F.least("centre", "doc_id").alias("a"), F.greatest("centre", "doc_id").alias("b")))
+        if tested is not None:
+            asked = asked.join(tested, ["a", "b"], "left_anti")
+        test(asked.groupBy("doc_id").agg(F.max(F.struct("shared", F.xxhash64("a", "b"), "a", "b")).alias("p"))
+             .select("p.a", "p.b").distinct())
     if rows is not None:
         known = materialize(rows.join(label, "doc_id"), "known")
         mixed = known.groupBy("band", "key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")) \
             .filter(F.col("lo") != F.col("hi")).select("band", "key")
         mixed = materialize(known.join(mixed, ["band", "key"]).select("doc_id").distinct(), "mixed")
         if mixed.limit(1).count():
-            test(rare_pairs(materialize(texts.join(mixed, "doc_id"), "mixed-texts"), label, shingle, percent, word_class))
+            pairs = rare_pairs(materialize(texts.join(mixed, "doc_id"), "mixed-texts"), label, shingle, percent, word_class)
+            test(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
     if links is None:
         found = members.select("doc_id", "n_shingles", F.col("rep").alias("component_id"))
     else:
