@@ -3,6 +3,7 @@
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from eventide.llm import mixing as mx
 from eventide.llm.scratch import materialize
@@ -106,3 +107,17 @@ def test_queries_are_registered():
     names = [n for n in entry.queries() if n.startswith("op")]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry.queries()
+
+
+def test_rows_that_repeat_an_id_are_told_apart(spark):
+    from eventide.llm.stages import drop_near_duplicates
+
+    t, u, v = (" ".join(f"{c}{k}" for k in range(60)) for c in "tuv")
+    docs = spark.createDataFrame(
+        [(1, t), (2, t), (2, u), (None, u + " tail"), (None, v), (None, v), (5, None), (5, ""), (6, v)],
+        "doc_id long, text string").select("*", *(F.lit("x").alias(c) for c in ("lang", "source", "label", "__clash")),
+                                           F.lit(0).alias("n_chars"))
+    kept = drop_near_duplicates(spark, docs, SF001)
+    assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+    assert sorted(rows(kept, "doc_id", "text"), key=str) == sorted([(1, t), (2, u), (6, v), (5, None), (5, "")], key=str)
+    assert drop_near_duplicates(spark, docs.limit(0), SF001).count() == 0
