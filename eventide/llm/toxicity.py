@@ -68,8 +68,11 @@ def _pairs(group: np.ndarray, feature: np.ndarray) -> tuple[np.ndarray, np.ndarr
     """Distinct (group, feature) pairs."""
     if not len(group):
         return group, feature
-    both = np.unique(np.stack([group.astype(np.uint64), feature], 1), axis=0)
-    return both[:, 0].astype(np.int64), both[:, 1]
+    order = np.lexsort((feature, group))
+    group, feature = group[order], feature[order]
+    fresh = np.ones(len(group), bool)
+    fresh[1:] = (group[1:] != group[:-1]) | (feature[1:] != feature[:-1])
+    return group[fresh].astype(np.int64), feature[fresh]
 
 
 def feature_counts(sample: DataFrame) -> DataFrame:
@@ -78,7 +81,7 @@ def feature_counts(sample: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             label = np.asarray(batch.column(1).to_pylist(), np.int64)
-            for s in ts.slices(batch.column(0), 8 * ts.SLICE_BYTES):
+            for s in ts.slices(batch.column(0)):
                 w, _, feats = sentence_features(s)
                 row, key = _pairs(np.repeat(w.row, feats.shape[1]), feats.ravel())
                 key, at = np.unique(key, return_inverse=True)
