@@ -7,12 +7,12 @@ bands; documents that agree in a band share a bucket.
 
 Buckets give star-shaped candidates: members are compared with centres, not with
 every other member.  The order of centres is the same in all buckets (the member
-whose buckets are the fullest comes first, then a hash of the round), so the
-buckets of one family agree on few centres.  In a round a member is compared
-with one centre, the one it shares most buckets with, and only members of the
-smaller group are: a round costs one comparison per member at most.  Links are
-joined into groups after each round, and a bucket goes on while it holds several.
-What is mixed after ``ROUNDS`` rounds goes to an exact join: two sets that are
+whose buckets are the fullest comes first), so the buckets of one family agree on
+few centres.  In a round a member is compared with the centres it shares most
+buckets with, and only members of the smaller group are; rounds have more centres
+as fewer members are left.  Groups that are linked hook themselves to the larger
+one after each round, and a bucket goes on while it holds several.
+What is mixed after all ``ROUNDS`` goes to an exact join: two sets that are
 alike share one of their rarest shingles (prefix filter with lengths and
 positions), so that every pair of a bucket is compared, known to be of one
 group, or unable to be alike.  Candidates are confirmed on the full shingle
@@ -42,8 +42,8 @@ from eventide.llm.scratch import materialize
 
 _U = np.uint64
 _EMPTY = _U(0xFFFFFFFFFFFFFFFF)
-#: Rounds of centres, and centres of a bucket in the rounds after the first.
-ROUNDS, PARTS = 3, 2
+#: Centres of a bucket in each round; a member is compared with half of them.
+ROUNDS = (1, 2, 4, 8)
 #: Counters of shingles by which the exact join orders them.
 SLOTS = 1 << 20
 
@@ -208,6 +208,37 @@ def rare_pairs(texts: DataFrame, label: DataFrame, shingle: int, percent: int, w
             .select(F.col("doc_id1").alias("a"), F.col("doc_id2").alias("b")).distinct())
 
 
+def _between(links: DataFrame, group: DataFrame) -> DataFrame:
+    """Links between different groups, as (from, to) labels."""
+    one, two = (group.select(F.col("doc_id").alias(d), F.col("label").alias(x)) for d, x in
+                (("centre", "from"), ("member", "to")))
+    return links.join(one, "centre").join(two, "member").filter(F.col("from") != F.col("to")).select("from", "to")
+
+
+def hooked(links: DataFrame, label: DataFrame, groups: DataFrame) -> DataFrame:
+    """``label`` after new links: every group hooks itself to the largest group
+    that it is linked with, if that is larger (equal: the smaller label), and
+    goes by the group four hooks further at most.  Hooks only lead to larger
+    groups, so there is no ring; what stays apart is joined in a later round or
+    at the end."""
+    edges = _between(links, label)
+    edges = edges.unionByName(edges.select(F.col("to").alias("from"), F.col("from").alias("to")))
+    a, b = (groups.select(F.col("label").alias(x), F.col("size").alias(f"size_{x}")) for x in ("from", "to"))
+    rank = F.struct(F.col("size_to").alias("s"), (-F.col("to")).alias("l"), F.col("to").alias("t"))
+    hook = materialize(
+        edges.distinct().join(a, "from").join(b, "to")
+        .filter(F.struct("size_to", -F.col("to")) > F.struct("size_from", -F.col("from")))
+        .groupBy("from").agg(F.max(rank).alias("r")).select("from", F.col("r.t").alias("to")), "hooks")
+
+    def twice(h: DataFrame) -> DataFrame:
+        further = h.select(F.col("from").alias("to"), F.col("to").alias("end"))
+        return h.join(further, "to", "left").select("from", F.coalesce("end", "to").alias("to"))
+
+    hook = twice(twice(hook))
+    return label.join(hook, F.col("label") == F.col("from"), "left").select(
+        "doc_id", "n", "fame", F.coalesce("to", "label").alias("label"))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 26, rows_per_band: int = 5,
                     word_class: np.ndarray = ts.BLANK_WORD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
@@ -230,28 +261,24 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     texts = materialize(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
                         .join(fame.select("doc_id"), "doc_id", "left_semi"), "candidate-texts")
     label = fame.select("doc_id", "n", "fame", F.col("doc_id").alias("label"))
-    links = tested = of = None
+    links = tested = None
 
-    def test(pairs: DataFrame) -> None:
-        nonlocal links, tested, of, label
+    def test(pairs: DataFrame) -> DataFrame:
+        """The new links among ``pairs``, which count as tested from now on."""
+        nonlocal links, tested
         pairs = materialize(pairs, "pairs")
-        tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
+        tested = pairs if tested is None else tested.unionByName(pairs)
         good = materialize(confirm(pairs.select(F.col("a").alias("centre"), F.col("b").alias("member")),
                                    texts, shingle, percent, word_class), "links")
         links = good if links is None else links.unionByName(good)
-        # groups known so far: a document goes by the smallest one it is linked with
-        of = materialize(connected_components(links.select(F.col("centre").alias("u"), F.col("member").alias("v"))),
-                         "components")
-        label = materialize(fame.join(of, F.col("doc_id") == F.col("node"), "left").select(
-            "doc_id", "n", "fame", F.coalesce("component", "doc_id").alias("label")), "labels")
+        return good
 
-    for turn in range(ROUNDS):
+    for turn, parts in enumerate(ROUNDS):
         groups = label.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
         known = materialize(rows.join(label.join(groups, "label"), "doc_id"), "known")
-        # of each part of a bucket that holds more than one group: a member of its largest group
-        ahead = -F.col("fame") if turn == 0 else F.lit(0).cast("long")
-        part = F.expr(f"pmod(xxhash64(label, {turn}), {PARTS if turn else 1})")
-        first = F.struct((-F.col("size")).alias("big"), ahead.alias("f"), F.xxhash64("doc_id", F.lit(turn)).alias("h"),
+        # of each part of a bucket that holds more than one group: the best known member of its largest group
+        part = F.expr(f"pmod(xxhash64(doc_id, {turn}), {parts})")
+        first = F.struct((-F.col("size")).alias("big"), (-F.col("fame")).alias("f"), F.xxhash64("doc_id").alias("h"),
                          F.col("doc_id").alias("centre"), F.col("n").alias("n_c"), F.col("label").alias("label_c"))
         stars = materialize(
             known.groupBy("band", "key", part.alias("part"))
@@ -271,8 +298,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
                  .select("doc_id", "shared", F.least("centre", "doc_id").alias("a"), F.greatest("centre", "doc_id").alias("b")))
         if tested is not None:
             asked = asked.join(tested, ["a", "b"], "left_anti")
-        test(asked.groupBy("doc_id").agg(F.max(F.struct("shared", F.xxhash64("a", "b"), "a", "b")).alias("p"))
-             .select("p.a", "p.b").distinct())
+        # the more centres, the fewer members are left: a round's pairs do not grow
+        best = F.slice(F.sort_array(F.collect_list(F.struct("shared", F.xxhash64("a", "b"), "a", "b")), False),
+                       1, max(1, parts // 2))
+        good = test(asked.groupBy("doc_id").agg(best.alias("p")).select(F.inline("p")).select("a", "b").distinct())
+        label = materialize(hooked(good, label, groups), "labels")
     if rows is not None:
         known = materialize(rows.join(label, "doc_id"), "known")
         mixed = known.groupBy("band", "key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")) \
@@ -284,6 +314,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     if links is None:
         found = members.select("doc_id", "n_shingles", F.col("rep").alias("component_id"))
     else:
+        # links between the groups that the rounds have made, and the smallest document of what they join
+        group = label.select("doc_id", "label")
+        between = materialize(_between(links, group).distinct(), "between")
+        of = materialize(connected_components(between.select(F.col("from").alias("u"), F.col("to").alias("v"))), "components")
+        group = group.join(of, F.col("label") == F.col("node"), "left").select(
+            "doc_id", F.coalesce("component", "label").alias("label"))
+        least = group.groupBy("label").agg(F.min("doc_id").alias("component"))
+        of = materialize(group.join(least, "label").select(F.col("doc_id").alias("node"), "component"), "least")
         found = (materialize(members.select("doc_id", "n_shingles", "rep"), "members")
                  .join(of, F.col("rep") == F.col("node"), "left")
                  .select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id")))
