@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from eventide.llm.reputation import ADDRESS, PUBLIC_SUFFIXES
+
 _LOW = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 _WORDS = rf"regexp_extract_all(translate(coalesce(text, ''), {_LOW}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -95,7 +97,9 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix
 FROM p"""
 
 
-def url_reputation(rules: list[tuple[str, str, str]], limit: float = 0.5, z: float = 1.645) -> str:
+def url_reputation(rules: list[tuple[str, str, str]], limit: float = 0.5, z: float = 1.645,
+                   public_suffixes: tuple[str, ...] = PUBLIC_SUFFIXES) -> str:
+    two = ", ".join(f"'{x}'" for x in public_suffixes)
     table = ", ".join(f"('{h}', '{p}', '{h}{p}', '{v}')" for h, p, v in rules)
 
     def level(key: str, parent: str) -> str:
@@ -122,9 +126,15 @@ r AS (SELECT v.*, m.rule, m.rv,
       FROM v LEFT JOIN LATERAL (SELECT rule, rv FROM rules
         WHERE (v.host = rh OR ends_with(v.host, '.' || rh)) AND starts_with(v.path, rp)
         ORDER BY length(rule) DESC, length(rh) DESC, rule LIMIT 1) m ON true),
-hosts AS (SELECT host, array_to_string(string_split(host, '.')[-2:], '.') AS domain,
-                 string_split(host, '.')[-1] AS suffix, count(*)::DOUBLE AS n, sum(bad)::DOUBLE AS bad
-          FROM r WHERE bad IS NOT NULL GROUP BY host),
+names AS (SELECT host, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') AS name
+          FROM (SELECT DISTINCT host FROM v)),
+cut AS (SELECT host, name, regexp_matches(name, '^([0-9]{{1,3}}\.){{3}}[0-9]{{1,3}}$|^\[') AS address,
+               string_split(name, '.') AS p,
+               CASE WHEN array_to_string(string_split(name, '.')[-2:], '.') IN ({two}) THEN 1 ELSE 0 END AS more FROM names),
+parts AS (SELECT host, CASE WHEN address THEN name ELSE array_to_string(p[-2 - more:], '.') END AS domain,
+                 CASE WHEN address THEN '{ADDRESS}' ELSE array_to_string(p[-1 - more:], '.') END AS suffix FROM cut),
+hosts AS (SELECT host, domain, suffix, count(*)::DOUBLE AS n, sum(bad)::DOUBLE AS bad
+          FROM r JOIN parts USING (host) WHERE bad IS NOT NULL GROUP BY ALL),
 domains AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY ALL),
 suffixes AS (SELECT suffix, 1 AS one, sum(n) AS n, sum(bad) AS bad FROM domains GROUP BY ALL),
 top AS (SELECT 1 AS one, sum(bad) / sum(n) AS mean FROM suffixes),
@@ -133,9 +143,8 @@ pd AS ({level('domain', 'suffix').format(stats='SELECT * FROM domains', prior='S
 ph AS ({level('host', 'domain').format(stats='SELECT * FROM hosts', prior='SELECT * FROM pd')}),
 rated AS (SELECT r.*, coalesce(ph.mean, pd.mean, ps.mean, (SELECT mean FROM top), 0) AS m,
                  coalesce(ph.size, pd.size, ps.size, 0) AS size
-          FROM r LEFT JOIN ph ON ph.host = r.host
-            LEFT JOIN pd ON pd.domain = array_to_string(string_split(r.host, '.')[-2:], '.')
-            LEFT JOIN ps ON ps.suffix = string_split(r.host, '.')[-1])
+          FROM r JOIN parts ON parts.host = r.host LEFT JOIN ph ON ph.host = r.host
+            LEFT JOIN pd ON pd.domain = parts.domain LEFT JOIN ps ON ps.suffix = parts.suffix)
 SELECT page_id, host, path, rule,
        coalesce(rv, CASE WHEN m - {z} * sqrt(m * (1 - m) / (size + 1)) > {limit} THEN 'block' ELSE 'allow' END) AS verdict
 FROM rated"""

@@ -60,6 +60,50 @@ def test_reputation_is_shrunk_towards_the_domain(spark):
     assert all(r["bad_rate_low"] <= r["bad_rate"] for r in got.values())
 
 
+def test_public_suffixes_addresses_and_ports(spark):
+    rows = [(f"http://s{i}.co.uk/p", 1) for i in range(40)] + [(f"http://g{i}.uk/p", 0) for i in range(40)]
+    rows += [("http://spam.net:8080/p", 1)] * 30 + [("http://10.0.0.1/p", 1)] * 30 + [("http://me@spam.net/p", None)]
+    rows += [("http://honest.co.uk/p", 0)] * 30 + [("http://new.gov.uk/p", None), ("http://10.0.0.2:80/p", None)]
+    pages = spark.createDataFrame(rows, "url string, bad int")
+    got = {r["host"]: r for r in rp.judge_urls(pages, [], outcome=F.col("bad")).collect()}
+    assert got["honest.co.uk"]["verdict"] == "allow" and got["new.gov.uk"]["verdict"] == "allow"
+    assert got["me@spam.net"]["verdict"] == got["spam.net:8080"]["verdict"] == "block"
+    parts = {r[0]: r[1:] for r in pages.select(rp.split_url(F.col("url"))[0].alias("h")).distinct().select(
+        "h", *rp.domain_of(F.col("h"))).collect()}
+    assert parts["s1.co.uk"] == ("s1.co.uk", "co.uk") and parts["g1.uk"] == ("g1.uk", "uk")
+    assert parts["spam.net:8080"] == parts["me@spam.net"] == ("spam.net", "net")
+    assert parts["10.0.0.2:80"] == ("10.0.0.2", rp.ADDRESS)
+    # as one host's own name, a public suffix has no domain above it
+    assert spark.range(1).select(*rp.domain_of(F.lit("co.uk"))).first() == ("co.uk", "co.uk")
+
+
+def test_posteriors_equal_the_formulas(spark):
+    seen = {"a.x.com": (40, 38), "b.x.com": (10, 0), "c.y.com": (7, 1), "d.z.org": (5, 5), "e.z.org": (3, 0)}
+    rows = [(h, int(i < bad)) for h, (n, bad) in seen.items() for i in range(n)]
+    _, _, hst, rate = rp.host_reputation(spark.createDataFrame(rows, "host string, bad int"))
+
+    def posterior(stats, prior):
+        noise = sum(prior[k] * (1 - prior[k]) for k in stats)
+        full = sum(n * prior[k] * (1 - prior[k]) for k, (n, _) in stats.items())
+        ss = sum(n * (b / n - prior[k]) ** 2 for k, (n, b) in stats.items())
+        s = 1 / max(0.01, min(0.99, (ss - noise) / (full - noise) if full != noise else 0.5)) - 1
+        return {k: (prior[k] * s + b) / (s + n) for k, (n, b) in stats.items()}
+
+    def up(labels):
+        out = {}
+        for h, (n, b) in seen.items():
+            k = ".".join(h.split(".")[-labels:])
+            out[k] = (out.get(k, (0, 0))[0] + n, out.get(k, (0, 0))[1] + b)
+        return out
+
+    assert abs(rate - 44 / 65) < 1e-12
+    sfx = posterior(up(1), {k: rate for k in up(1)})
+    dom = posterior(up(2), {k: sfx[k.split(".")[-1]] for k in up(2)})
+    want = posterior(seen, {h: dom[".".join(h.split(".")[-2:])] for h in seen})
+    got = {r["host"]: r["host_mean"] for r in hst.collect()}
+    assert got.keys() == want.keys() and all(abs(got[h] - want[h]) < 1e-9 for h in want)
+
+
 @pytest.mark.parametrize("html,bad", [
     (None, None), ("<p>too short", None), ("<b>" + "word " * 30, 1),
     (" ".join(f"<i>w{i}</i>" for i in range(30)), 0), (" ".join(f"w{i}!!" for i in range(30)), 1),
