@@ -203,13 +203,20 @@ def match_sequence(df: DataFrame, keys: Sequence[str], ts: str,
     strict  -> one row per matched pair (keys, first_ts, last_ts, msg);
     relaxed -> one row per A (keys, start_ts, match_ts, result_msg, tag);
                ``with_timeout=False`` keeps matched rows only.
+
+    More stages go to ``match_pattern`` (its columns; strict: matched rows only).
     """
+    if contiguity not in ("strict", "relaxed"):
+        raise ValueError("contiguity is 'strict' or 'relaxed'")
     if len(stages) != 2:
-        raise ValueError("two stages are supported; chain calls for longer patterns")
+        from eventide.operators.pattern import Stage, match_pattern
+
+        strict = contiguity == "strict"
+        parts = [Stage(name, when, strict and k > 0) for k, (name, when) in enumerate(stages)]
+        out = match_pattern(df, keys, ts, parts, within, seq=seq, **kwargs)
+        return out.filter(F.col("tag") == "matched") if strict or not with_timeout else out
     (_, first), (_, then) = stages
     if contiguity == "strict":
         return strict_next(df, keys, ts, first, then, within, order=order_by, seq=seq, **kwargs)
-    if contiguity == "relaxed":
-        out = followed_by(df, keys, ts, first, then, within, **kwargs)
-        return out if with_timeout else out.filter(F.col("tag") == "matched")
-    raise ValueError("contiguity is 'strict' or 'relaxed'")
+    out = followed_by(df, keys, ts, first, then, within, **kwargs)
+    return out if with_timeout else out.filter(F.col("tag") == "matched")

@@ -18,11 +18,11 @@ from pyspark.sql import functions as F
 from eventide.functions.hashing import (BITMAP_HASH_SEED, MERSENNE_31, bloom_coefficients,
                                         bloom_size)
 from eventide.functions.time import duration_micros
-from eventide.operators import distinct, gate, orders, reconciliation, sequence, topn, windows
+from eventide.operators import distinct, gate, orders, pattern, reconciliation, sequence, topn, windows
 from eventide.session import scratch_path, use_runtime_conf
 from eventide.sinks.bitmap_store import BitmapStore
 from eventide.sources.access_log import format_access_log, parse_access_log
-from eventide.sources.delimited import format_lines, parse_lines
+from eventide.sources.delimited import format_lines, parse_lines, read_delimited
 
 # ---------------------------------------------------------------- parameters
 HOT_SIZE, HOT_SLIDE, HOT_N = "1 day", "6 hours", 3           # AGG-1/TOP-1 (1 h / 5 min)
@@ -32,6 +32,7 @@ UV_SIZE = "1 day"                                            # UV-1..3 (10 s / 2
 MKT_SIZE, MKT_SLIDE = "1 day", "6 hours"                     # AGG-4/5 (10 s / 5 s)
 GEO_SIZE, GEO_SLIDE = "1 day", "6 hours"                     # AGG-3 (10 s / 5 s)
 GATE_MAX, GATE_DAILY_MAX = 10, 1                             # GATE-1 (100 per day)
+PAIR_WITHIN, TRIPLE_WITHIN = "12 hours", "3 days"            # patterns of 2 and 3 stages (2 s, 15 min)
 LOGIN_WITHIN, BURST_WITHIN = "6 hours", "12 hours"           # SEQ-1 (2 s)
 ORDER_WITHIN = "6 hours"                                     # SEQ-2 (15 min)
 OUTCOME_WITHIN = "365 days"                                  # SEQ-3/4 on orders
@@ -206,6 +207,21 @@ def q_order_timeout_cep(spark, sf):
                                 F.col("event_type") == PURCHASE, ORDER_WITHIN)
 
 
+def q_pattern_two_stages(spark, sf):
+    """An error and, some time later, a purchase."""
+    kind = F.col("event_type")
+    return pattern.match_pattern(events(spark, sf), ["user_id"], "ts", [
+        pattern.Stage("error", kind == ERROR), pattern.Stage("purchase", kind == PURCHASE)], PAIR_WITHIN, seq="event_id")
+
+
+def q_pattern_three_stages(spark, sf):
+    """A signup, the first view after it, and a purchase as the very next event."""
+    kind = F.col("event_type")
+    return pattern.match_pattern(events(spark, sf), ["user_id"], "ts", [
+        pattern.Stage("signup", kind == SIGNUP), pattern.Stage("view", kind == PV),
+        pattern.Stage("purchase", kind == PURCHASE, strict=True)], TRIPLE_WITHIN, seq="event_id")
+
+
 def order_log(spark, sf) -> DataFrame:
     """create = order date, pay = each line's ship date (first one counts)."""
     creates = _read(spark, sf, "orders").select(
@@ -280,6 +296,55 @@ def q_csv_roundtrip(spark, sf):
     return parsed.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
+def _seconds(col: str = "ts"):
+    return F.unix_seconds(F.col(col).cast("timestamp"))
+
+
+def _scanned(spark, rows: DataFrame, columns: list, kind: str) -> DataFrame:
+    """``rows`` written as headerless delimited files, and read from there."""
+    path = scratch_path(spark, f"files-{kind}")
+    format_lines(rows, columns).write.text(path)
+    return read_delimited(spark, path, kind).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+def q_file_hot_items(spark, sf):
+    rows = _scanned(spark, events(spark, sf), ["user_id", "user_id", F.lit("1"), "event_type", _seconds().cast("string")],
+                    "user_behavior")
+    return topn.hot_items(rows, size=HOT_SIZE, slide=HOT_SLIDE, n=HOT_N,
+                          behavior=PV).select("window_end", "item_id", "item_count", "row_num")
+
+
+def q_file_ad_clicks(spark, sf):
+    return _scanned(spark, events(spark, sf), ["user_id", "event_id", "event_type", F.concat(F.lit(" city "), F.col("event_type")),
+                                               _seconds().cast("string")], "ad_click")
+
+
+def q_file_logins(spark, sf):
+    return _scanned(spark, events(spark, sf), ["user_id", F.concat(F.lit("10.0.0."), F.col("event_id")), "event_type",
+                                               _seconds().cast("string")], "login")
+
+
+def q_file_orders(spark, sf):
+    creates = _read(spark, sf, "orders").select("o_orderkey", F.lit("create").alias("kind"), F.lit("").alias("tx"),
+                                                F.col("o_orderdate").alias("ts"))
+    pays = _read(spark, sf, "lineitem").select(
+        "l_orderkey", F.lit("pay"), F.concat(F.lit("tx"), F.col("l_orderkey"), F.lit("-"), F.col("l_linenumber")),
+        F.col("l_shipdate"))
+    return _scanned(spark, creates.union(pays), ["o_orderkey", "kind", "tx", _seconds().cast("string")], "order")
+
+
+def q_file_receipts(spark, sf):
+    rows = _read(spark, sf, "lineitem")
+    return _scanned(spark, rows, [F.concat(F.lit("tx"), F.col("l_orderkey"), F.lit("-"), F.col("l_linenumber")), "l_returnflag",
+                                  _seconds("l_shipdate").cast("string")], "receipt")
+
+
+def q_file_marketing(spark, sf):
+    ms = F.unix_millis(F.col("ts").cast("timestamp")).cast("string")
+    return _scanned(spark, events(spark, sf), [F.concat(F.lit("u-"), F.col("user_id")), "event_type", F.lit("wechat"), ms],
+                    "marketing")
+
+
 def q_report_text(spark, sf):
     ranked = q_hot_items_topn(spark, sf)
     return topn.ranked_report(ranked, "item_id", "item_count", HOT_N, style="items")
@@ -319,6 +384,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "select_star": q_select_star,
     "access_log_parse": q_access_log_parse,
     "csv_roundtrip": q_csv_roundtrip,
+    "pattern_two_stages": q_pattern_two_stages,
+    "pattern_three_stages": q_pattern_three_stages,
+    "file_hot_items": q_file_hot_items,
+    "file_ad_clicks": q_file_ad_clicks,
+    "file_logins": q_file_logins,
+    "file_orders": q_file_orders,
+    "file_receipts": q_file_receipts,
+    "file_marketing": q_file_marketing,
     "report_text": q_report_text,
     "url_report_text": q_url_report_text,
 }
@@ -528,6 +601,7 @@ def _oracles() -> dict[str, str]:
     return {
         "hot_items_topn": _hot_items_sql(),
         "hot_items_sql": _hot_items_sql(),
+        "file_hot_items": _hot_items_sql(),
         "url_rank_all": _url_rank_sql(None),
         "url_rank_top5": _url_rank_sql(URL_N),
         "page_views": f"""
@@ -620,6 +694,41 @@ def _oracles() -> dict[str, str]:
         "csv_roundtrip": """
           SELECT user_id, event_id AS item_id, 1 AS category_id, event_type AS behavior,
                  date_trunc('second', ts) AS ts FROM events""",
+        "pattern_two_stages": f"""
+          WITH w AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+          s AS (SELECT *, min(CASE WHEN event_type = '{PURCHASE}' THEN ts END) OVER
+                  (PARTITION BY user_id ORDER BY rn ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS p FROM w),
+          m AS (SELECT user_id, ts, CASE WHEN epoch_us(p) - epoch_us(ts) < {_us(PAIR_WITHIN)} THEN p END AS p
+                FROM s WHERE event_type = '{ERROR}')
+          SELECT user_id, ts AS error_ts, p AS purchase_ts, CASE WHEN p IS NULL THEN 1 ELSE 2 END AS n_matched,
+                 CASE WHEN p IS NULL THEN 'timeout' ELSE 'matched' END AS tag FROM m""",
+        "pattern_three_stages": f"""
+          WITH w AS (SELECT *, row_number() OVER x AS rn, lead(event_type) OVER x AS next_type, lead(ts) OVER x AS next_ts
+                     FROM events WINDOW x AS (PARTITION BY user_id ORDER BY ts, event_id)),
+          s AS (SELECT *, min(CASE WHEN event_type = '{PV}' THEN rn END) OVER
+                  (PARTITION BY user_id ORDER BY rn ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS vrn FROM w),
+          m AS (SELECT s.user_id, s.ts, v.next_type, CASE WHEN epoch_us(v.ts) - epoch_us(s.ts) < {_us(TRIPLE_WITHIN)} THEN v.ts END AS v,
+                       CASE WHEN epoch_us(v.next_ts) - epoch_us(s.ts) < {_us(TRIPLE_WITHIN)} THEN v.next_ts END AS x
+                FROM s LEFT JOIN w v ON v.user_id = s.user_id AND v.rn = s.vrn WHERE s.event_type = '{SIGNUP}'),
+          t AS (SELECT *, CASE WHEN x IS NULL THEN 'timeout' WHEN next_type = '{PURCHASE}' THEN 'matched' ELSE 'broken' END AS tag
+                FROM m)
+          SELECT user_id, ts AS signup_ts, v AS view_ts, CASE WHEN tag = 'matched' THEN x END AS purchase_ts,
+                 CASE WHEN tag = 'matched' THEN 3 WHEN v IS NOT NULL THEN 2 ELSE 1 END AS n_matched, tag FROM t""",
+        "file_ad_clicks": """
+          SELECT user_id, event_id AS ad_id, event_type AS province, 'city ' || event_type AS city,
+                 date_trunc('second', ts) AS ts FROM events""",
+        "file_logins": """
+          SELECT user_id, '10.0.0.' || event_id AS ip, event_type, date_trunc('second', ts) AS ts FROM events""",
+        "file_orders": """
+          SELECT o_orderkey AS order_id, 'create' AS event_type, '' AS tx_id, CAST(o_orderdate AS TIMESTAMP) AS ts FROM orders
+          UNION ALL SELECT l_orderkey, 'pay', 'tx' || l_orderkey || '-' || l_linenumber, CAST(l_shipdate AS TIMESTAMP)
+          FROM lineitem""",
+        "file_receipts": """
+          SELECT 'tx' || l_orderkey || '-' || l_linenumber AS tx_id, l_returnflag AS pay_channel,
+                 CAST(l_shipdate AS TIMESTAMP) AS ts FROM lineitem""",
+        "file_marketing": """
+          SELECT 'u-' || user_id AS user_id, event_type AS behavior, 'wechat' AS channel,
+                 date_trunc('millisecond', ts) AS ts FROM events""",
         "report_text": _report_sql(),
         "url_report_text": _url_report_sql(),
     }

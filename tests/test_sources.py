@@ -40,6 +40,16 @@ def test_reader_fails_on_bad_line(spark, tmp_path):
     assert len(permissive) == 2 and permissive[1].user_id is None
 
 
+def test_an_empty_number_is_an_error(spark, tmp_path):
+    for i, line in enumerate(["1,2,,pv,1511658000", "1,2,3,pv,", " ,2,3,pv,1511658000"]):
+        path = _write(tmp_path, f"empty{i}.csv", ["1,2,3,pv,1511658000", line])
+        with pytest.raises(Exception, match="empty number"):
+            read_delimited(spark, path, "user_behavior").collect()
+        with pytest.raises(Exception, match="empty number"):
+            parse_lines(spark.createDataFrame([(line,)], "value string"), "user_behavior").collect()
+        assert len(read_delimited(spark, path, "user_behavior", mode="PERMISSIVE").collect()) == 2
+
+
 def test_parse_and_format_lines_roundtrip(spark):
     lines = spark.createDataFrame([(AD_CLICK_SAMPLE,)], "value string")
     parsed = parse_lines(lines, "ad_click")
