@@ -7,6 +7,8 @@ is a Parquet table ``(window_end, bucket, bitmap)`` in folders
 into the days that it touches, writes them as the next version and then drops
 versions before the last one.  A job never overwrites what it reads, and a
 failed merge leaves the days as they were.  Counts are derived, not stored.
+A stream gives its micro-batch's number along, which ``_ledger/<stream>/<epoch>``
+keeps, so that a replayed batch is merged once.
 """
 
 from __future__ import annotations
@@ -52,24 +54,36 @@ class BitmapStore:
     def latest(self) -> DataFrame | None:
         return self._read(self._versions())
 
-    def merge(self, bitmaps: DataFrame) -> int:
+    def merged(self, stream: str, epoch: int) -> bool:
+        return self._fs.exists(self._hpath(f"{self.path}/_ledger/{stream}/{epoch}"))
+
+    def merge(self, bitmaps: DataFrame, batch: tuple[str, int] | None = None) -> int:
         """OR ``bitmaps`` (from ``window_bitmaps``) into the store; returns
-        the new version number."""
+        the new version number.  ``batch``: (stream, epoch); one that the ledger
+        has changes nothing.  Bitmaps of days that the store does not have yet
+        are written once, those of others again with what the day holds."""
         have = self._versions()
-        version = max((v[-1] for v in have.values() if v), default=-1) + 1
+        last = max((v[-1] for v in have.values() if v), default=-1)
+        if batch is not None and self.merged(*batch):
+            return last
+        version = last + 1
         stage = f"{self.path}/_stage-{version}"
-        _by_day(bitmaps).write.mode("overwrite").partitionBy("day").parquet(f"{stage}/new")
+        # on the same keys as ``window_bitmaps``: no further shuffle
+        _by_day(merge_bitmaps(bitmaps)).write.mode("overwrite").partitionBy("day").parquet(f"{stage}/new")
         touched = self._names(f"{stage}/new", _DAY)
-        old = self._read({d: have[d] for d in touched if have.get(d)})
-        if touched:
-            new = self.spark.read.parquet(*[f"{stage}/new/day={d}" for d in touched])
-            merged = merge_bitmaps(new) if old is None else merge_bitmaps(old, new)
-            _by_day(merged).write.mode("overwrite").partitionBy("day").parquet(f"{stage}/merged")
-        for d in self._names(f"{stage}/merged", _DAY):
+        again = [d for d in touched if have.get(d)]
+        if again:
+            old = self._read({d: have[d] for d in again})
+            new = self.spark.read.parquet(*[f"{stage}/new/day={d}" for d in again])
+            _by_day(merge_bitmaps(old, new)).write.mode("overwrite").partitionBy("day").parquet(f"{stage}/merged")
+        for d in touched:
+            part = "merged" if d in again else "new"
             self._fs.mkdirs(self._hpath(f"{self.path}/day={d}"))
-            self._fs.rename(self._hpath(f"{stage}/merged/day={d}"), self._hpath(f"{self.path}/day={d}/v={version}"))
+            self._fs.rename(self._hpath(f"{stage}/{part}/day={d}"), self._hpath(f"{self.path}/day={d}/v={version}"))
             for old_version in have.get(d, [])[:-1]:
                 self._fs.delete(self._hpath(f"{self.path}/day={d}/v={old_version}"), True)
+        if batch is not None:
+            self._fs.create(self._hpath(f"{self.path}/_ledger/{batch[0]}/{batch[1]}"), True).close()
         self._fs.delete(self._hpath(stage), True)
         return version
 

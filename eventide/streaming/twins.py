@@ -24,6 +24,8 @@ from eventide.operators.distinct import bitmap_counts
 from eventide.operators.topn import top_n_per_window
 from eventide.operators.windows import words
 from eventide.plans import catalog as C
+from eventide.session import scratch_path
+from eventide.sinks.bitmap_store import BitmapStore
 from eventide.streaming.processors import (ArrivalPairs, BurstRule, ClickGate, DeadlineDecision,
                                           FollowedBy, OrderOutcome, StrictPairs)
 from eventide.streaming.ranked import (fold_changelog, last_versions, write_refined_rankings,
@@ -33,6 +35,7 @@ from eventide.streaming.runner import (SENTINEL_TS, before_flush, event_time, li
                                        prepare_streaming, replay_parts, replay_stream, run_and_read,
                                        time_bounds)
 from eventide.streaming.upsert import latest, write_update_log
+from eventide.streaming.uv_store import feed_bitmap_store
 from eventide.streaming.views import sql_appended, sql_latest, stream_view, streaming_sql
 
 NTZ = T.TimestampNTZType()
@@ -193,6 +196,18 @@ def s_uv_bitmap(spark, sf):
     return run_and_read(bitmaps, "uv_bitmap", transform=count)
 
 
+def s_uv_bitmap_store(spark, sf):
+    """UV-3, SNK-4: four micro-batches ORed into the persisted store."""
+    prepare_streaming(spark)
+    store = BitmapStore(spark, scratch_path(spark, "uv-store"))
+    views = replay_parts(C._views(spark, sf).select("user_id", "ts"))
+    query = feed_bitmap_store(views, store, "views", scratch_path(spark, "uv-store-ckpt"), size=C.UV_SIZE)
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+    return store.counts()
+
+
 def s_uv_bloom(spark, sf):
     """UV-2 on a stream: the Bloom filter of each window is the same OR-merged
     bitmaps, kept as watermark-aggregate state; the estimate is computed per
@@ -437,6 +452,7 @@ STREAM_QUERIES = {
     "page_views_stream": s_page_views,
     "uv_exact_stream": s_uv_exact,
     "uv_bitmap_stream": s_uv_bitmap,
+    "uv_bitmap_store_stream": s_uv_bitmap_store,
     "uv_bloom_stream": s_uv_bloom,
     "marketing_by_channel_stream": s_marketing_by_channel,
     "running_count_stream": s_running_count,
@@ -462,6 +478,7 @@ STREAM_ORACLE_OF = {
     "page_views_stream": "page_views",
     "uv_exact_stream": "uv_exact",
     "uv_bitmap_stream": "uv_bitmap",
+    "uv_bitmap_store_stream": "uv_bitmap",
     "uv_bloom_stream": "uv_bloom",
     "marketing_by_channel_stream": "marketing_by_channel",
     "running_count_stream": "running_count",

@@ -75,3 +75,43 @@ def test_bitmaps_merge_across_runs(spark, tmp_path):
     assert store.merge(window_bitmaps(half1, size="1 hour")) == 0
     assert store.merge(window_bitmaps(half2, size="1 hour")) == 1
     assert sorted(store.counts().collect()) == sorted(full.collect())
+
+
+def test_a_streamed_store_merges_a_replayed_batch_once(spark, tmp_path):
+    """The third batch fails after its merge, before the stream's commit; the
+    restarted stream replays it."""
+    from eventide.streaming.runner import replay_parts
+    from eventide.streaming.uv_store import feed_bitmap_store
+
+    df, _ = _visits(spark)
+    stream = replay_parts(df)
+    merges = []
+
+    class Failing(BitmapStore):
+        def merge(self, bitmaps, batch=None):
+            done = batch is not None and self.merged(*batch)
+            version = super().merge(bitmaps, batch)
+            merges.append((batch[1], done))
+            if len(merges) == 3:
+                raise RuntimeError("lost after the merge")
+            return version
+
+    store = Failing(spark, str(tmp_path / "store"))
+    query = feed_bitmap_store(stream, store, "visits", str(tmp_path / "ckpt"))
+    with pytest.raises(Exception):
+        query.awaitTermination()
+    feed_bitmap_store(stream, store, "visits", str(tmp_path / "ckpt")).awaitTermination()
+    assert merges == [(0, False), (1, False), (2, False), (2, True), (3, False)]
+    assert sorted(store.counts().collect()) == sorted(uv_bitmap(df, size="1 hour").collect())
+
+
+def test_merging_parts_with_equal_buckets_and_new_days(spark, tmp_path):
+    rows = [(u, at(d * 86400 + u)) for d in (0, 1) for u in range(200)]
+    df = spark.createDataFrame(rows, "user_id long, ts timestamp")
+    parts = window_bitmaps(df.filter("user_id < 120"), size="1 hour").unionByName(
+        window_bitmaps(df.filter("user_id >= 80"), size="1 hour"))
+    store = BitmapStore(spark, str(tmp_path / "store"))
+    store.merge(parts.filter(F.col("window_end") < F.lit(at(86400))))      # buckets twice, first day only
+    store.merge(parts)                                                     # first day again, second day new
+    assert sorted(store.counts().collect()) == sorted(uv_bitmap(df, size="1 hour").collect())
+    assert store.merge(parts, batch=("s", 0)) == 2 and store.merge(parts, batch=("s", 0)) == 2
