@@ -170,6 +170,17 @@ def burst_warnings(df: DataFrame, keys: Sequence[str], ts: str, is_fail: Column,
     each partition, and chunked greedily by a ``mapInPandas`` fold that holds
     one Arrow batch and the three numbers of the chunk that is open.
     """
+    chunks = burst_chunks(df, keys, ts, is_fail, within, min_count, bucket, hot_rows)
+    return chunks.select(*keys, "first_ts", "last_ts", burst_warning("n", msg_prefix, msg_suffix).alias("msg"))
+
+
+def burst_warning(n: str, prefix: str = MSG_BURST_PREFIX, suffix: str = MSG_BURST_SUFFIX) -> Column:
+    return F.concat(F.lit(prefix), F.col(n).cast("string"), F.lit(suffix))
+
+
+def burst_chunks(df: DataFrame, keys: Sequence[str], ts: str, is_fail: Column, within: str, min_count: int,
+                 bucket: str | None = None, hot_rows: int | None = None) -> DataFrame:
+    """The chunks behind ``burst_warnings``: keys, first_ts, last_ts, n."""
     keys = list(keys)
     d = df.select(*keys, ts, is_fail.alias("__fail"))
     nxt = keyed_next_at_or_after(d, keys, ts, _by_time(d, keys, ts, bucket, hot_rows), ~F.col("__fail"), ts,
@@ -188,9 +199,7 @@ def burst_warnings(df: DataFrame, keys: Sequence[str], ts: str, is_fail: Column,
         lambda it: _fold_runs(it, keys, within_us, min_count), out_schema)
     ts_type = df.schema[ts].dataType
     return chunks.select(*keys, F.timestamp_micros("__first").cast(ts_type).alias("first_ts"),
-                         F.timestamp_micros("__last").cast(ts_type).alias("last_ts"),
-                         F.concat(F.lit(msg_prefix), F.col("__n").cast("string"),
-                                  F.lit(msg_suffix)).alias("msg"))
+                         F.timestamp_micros("__last").cast(ts_type).alias("last_ts"), F.col("__n").alias("n"))
 
 
 def match_sequence(df: DataFrame, keys: Sequence[str], ts: str,

@@ -57,10 +57,10 @@ def replay_stream(df: DataFrame, ts: str, slices: int = 4, file_rows: int = 2_00
     The table is written slice by slice (rows without a time come first), each
     slice in files of about ``file_rows`` rows, and read back one slice per
     trigger, so state and timers are carried from batch to batch as on a live
-    stream.  A slice that has fewer files than the others shares its trigger
-    with the next one; that only moves the batch border.  The last file is the
-    flush sentinel: all columns NULL, ``ts`` far in the future.  Streams that
-    are united need the same ``bounds``.  With ``arrival`` (a time), rows come
+    stream.  A slice that has fewer files than the others gets empty ones, so it
+    does not share its trigger with a part of the next one.  The last file is
+    the flush sentinel: all columns NULL, ``ts`` far in the future.  Streams
+    that are united need the same ``bounds``.  With ``arrival`` (a time), rows come
     in that order instead, so rows whose ``ts`` is well before it come late."""
     spark = df.sparkSession
     folder = scratch_path(spark, "replay")
@@ -74,7 +74,7 @@ def replay_stream(df: DataFrame, ts: str, slices: int = 4, file_rows: int = 2_00
     at = F.unix_micros(F.col(order).cast("timestamp"))
     edges = [None, *bounds, None]
     nullable = T.StructType([T.StructField(f.name, f.dataType, True) for f in plain.schema.fields])
-    for lo, hi in zip(edges, edges[1:]):
+    for k, (lo, hi) in enumerate(zip(edges, edges[1:]), 1):
         part = df
         if lo is not None:
             part = part.filter(at >= lo)
@@ -82,6 +82,9 @@ def replay_stream(df: DataFrame, ts: str, slices: int = 4, file_rows: int = 2_00
             part = part.filter((at < hi) | at.isNull()) if lo is None else part.filter(at < hi)
         part = part.select(*plain.columns)
         (part.repartition(files) if files > 1 else part.coalesce(1)).write.mode("append").parquet(folder)
+        if files > 1:
+            for _ in range(k * files - len(spark.read.schema(nullable).parquet(folder).inputFiles())):
+                spark.createDataFrame([], nullable).coalesce(1).write.mode("append").parquet(folder)
     row = [SENTINEL_TS if f.name == ts else None for f in plain.schema.fields]
     spark.createDataFrame([row], nullable).coalesce(1).write.mode("append").parquet(folder)
     return spark.readStream.schema(nullable).option("maxFilesPerTrigger", str(files)).parquet(folder)
@@ -132,9 +135,7 @@ def run_epochs(stream: DataFrame, name: str, epoch_rows: Callable[[DataFrame, in
 
 def _run(stream: DataFrame, name: str, epoch_rows: Callable[[DataFrame, int], DataFrame], output_mode: str,
          timeout_s: float | None, cache: bool = False) -> str:
-    spark = stream.sparkSession
-    out = scratch_path(spark, f"{name}-out")
-    ckpt = scratch_path(spark, f"{name}-ckpt")
+    out = scratch_path(stream.sparkSession, f"{name}-out")
 
     def write_batch(batch: DataFrame, epoch: int) -> None:
         if cache:
@@ -143,6 +144,15 @@ def _run(stream: DataFrame, name: str, epoch_rows: Callable[[DataFrame, int], Da
         if cache:
             batch.unpersist()
 
+    run_batches(stream, name, write_batch, output_mode, timeout_s)
+    return out
+
+
+def run_batches(stream: DataFrame, name: str, write_batch: Callable[[DataFrame, int], None],
+                output_mode: str = "append", timeout_s: float | None = None) -> None:
+    """Give every micro-batch and its epoch to ``write_batch`` until the available
+    input is consumed."""
+    ckpt = scratch_path(stream.sparkSession, f"{name}-ckpt")
     q = (stream.writeStream.outputMode(output_mode).foreachBatch(write_batch)
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination(timeout_s)
@@ -151,7 +161,6 @@ def _run(stream: DataFrame, name: str, epoch_rows: Callable[[DataFrame, int], Da
         raise TimeoutError(f"stream {name} did not finish")
     if q.exception():
         raise q.exception()
-    return out
 
 
 def read_results(spark: SparkSession, folder: str, schema: T.StructType, keep: str = "all"

@@ -26,6 +26,9 @@ from eventide.operators.windows import words
 from eventide.plans import catalog as C
 from eventide.session import scratch_path
 from eventide.sinks.bitmap_store import BitmapStore
+from eventide.streaming.carried import (burst_step, deadline_step, followed_by_step, gate_step, outcome_step,
+                                        reconcile_once_step, reconcile_step, run_carried, strict_next_step,
+                                        two_sides, window_count_step)
 from eventide.streaming.processors import (ArrivalPairs, BurstRule, ClickGate, DeadlineDecision,
                                           FollowedBy, OrderOutcome, StrictPairs)
 from eventide.streaming.ranked import (fold_changelog, last_versions, write_refined_rankings,
@@ -241,6 +244,18 @@ def s_running_count(spark, sf):
 
 
 # ------------------------------------------------------------------- joins
+def _two_sides(pays: DataFrame, receipts: DataFrame) -> DataFrame:
+    """Both sides as one stream, in the same time slices."""
+    bounds = time_bounds(pays, "pay_ts", 4)
+    return two_sides(replay_stream(pays, "pay_ts", bounds=bounds),
+                     replay_stream(receipts, "receipt_ts", bounds=bounds), "tx_id", "pay_ts", "receipt_ts")
+
+
+def _replayed(spark: SparkSession, sf: str) -> DataFrame:
+    prepare_streaming(spark)
+    return replay_stream(C._read(spark, sf, "events"), "ts")
+
+
 def s_tx_reconcile(spark, sf):
     """JOIN-1 as a stream-stream full outer interval join.  Both inputs are
     streamed from tables Spark derives from orders / lineitem (first ship
@@ -382,32 +397,14 @@ def s_ad_gate_daily(spark, sf):
 
 def s_ad_by_geo(spark, sf):
     """GATE-1 then AGG-3, chained on one stream as in the reference: the
-    gate's passed rows keep their event time (``eventTimeColumnName``) so the
-    sliding-window count downstream gets a watermark."""
-    ev = _events(spark, sf, delay="5 seconds")
-    rows = ev.select("user_id", F.col("event_type").alias("ad_id"), "ts",
-                     F.col("event_id").alias("seq"))
-    schema = T.StructType([T.StructField("event_id", T.LongType()),
-                           T.StructField("user_id", T.LongType()),
-                           T.StructField("ad_id", T.StringType()),
-                           T.StructField("ts", T.TimestampType()),
-                           T.StructField("tag", T.StringType()),
-                           T.StructField("msg", T.StringType())])
-    gate = ClickGate(C.GATE_MAX, gate_ops.gate_message(C.GATE_MAX), None)
-    gated = rows.groupBy("user_id", "ad_id").transformWithState(
-        gate, schema, "Append", "EventTime", eventTimeColumnName="ts")
-    passed = gated.filter((F.col("tag") == "pass") & (F.col("ts") < F.lit(SENTINEL_TS).cast("timestamp")))
-    counts = (passed.groupBy(event_window("ts", C.GEO_SIZE, C.GEO_SLIDE).alias("w"),
-                             F.col("ad_id").alias("province"))
-              .agg(F.count(F.lit(1)).alias("count"))
-              .select(F.col("w.end").alias("window_end"), "province", "count"))
-
-    def finish(batch: DataFrame) -> DataFrame:
-        return _ntz(batch, "window_end").select(
-            "window_end", epoch_millis_text("window_end").alias("window_end_ms"),
-            "province", "count")
-
-    return run_and_read(counts, "ad_by_geo", transform=finish)
+    gate's passed rows of a micro-batch go to the sliding-window count."""
+    rows = _replayed(spark, sf).select("event_id", "user_id", F.col("event_type").alias("ad_id"), "ts")
+    gate = gate_step(["user_id", "ad_id"], "ts", "event_id", C.GATE_MAX)
+    count = window_count_step("ts", C.GEO_SIZE, C.GEO_SLIDE, "province")
+    counts = run_carried(rows, "ad_by_geo", [
+        gate, lambda due, old, wm: count(gate_ops.gate_passed(due).withColumnRenamed("ad_id", "province"), old, wm)],
+        delay="5 seconds")
+    return counts.select("window_end", epoch_millis_text("window_end").alias("window_end_ms"), "province", "count")
 
 
 def s_order_timeout(spark, sf):
