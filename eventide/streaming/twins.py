@@ -381,18 +381,9 @@ def _order_log_stream(spark, sf):
 
 
 def s_ad_gate_daily(spark, sf):
-    ev = _events(spark, sf, delay="5 seconds")
-    rows = ev.select("user_id", F.col("event_type").alias("ad_id"), "ts",
-                     F.col("event_id").alias("seq"))
-    schema = T.StructType([T.StructField("event_id", T.LongType()),
-                           T.StructField("user_id", T.LongType()),
-                           T.StructField("ad_id", T.StringType()),
-                           T.StructField("ts", T.TimestampType()),
-                           T.StructField("tag", T.StringType()),
-                           T.StructField("msg", T.StringType())])
-    proc = ClickGate(C.GATE_DAILY_MAX, gate_ops.gate_message(C.GATE_DAILY_MAX),
-                     duration_micros("1 day"))
-    return _tws(rows, ["user_id", "ad_id"], proc, schema, "ad_gate", ("ts",))
+    rows = _replayed(spark, sf).select("event_id", "user_id", F.col("event_type").alias("ad_id"), "ts")
+    step = gate_step(["user_id", "ad_id"], "ts", "event_id", C.GATE_DAILY_MAX, "1 day")
+    return run_carried(rows, "ad_gate", [step], delay="5 seconds")
 
 
 def s_ad_by_geo(spark, sf):
