@@ -417,17 +417,9 @@ def s_order_outcomes(spark, sf, grace: str = ORDER_SPAN):
     is how long the other side may still arrive; the driver tables put years
     between an order and its shipping, so the twin needs as much."""
     prepare_streaming(spark)
-    ev = event_time(_order_log_stream(spark, sf), "ts", "0 seconds")
-    schema = T.StructType([T.StructField("order_id", T.LongType()),
-                           T.StructField("create_ts", T.TimestampType()),
-                           T.StructField("pay_ts", T.TimestampType()),
-                           T.StructField("result_msg", T.StringType()),
-                           T.StructField("tag", T.StringType())])
-    msgs = {"payed": order_ops.MSG_PAYED, "payed_late": order_ops.MSG_PAYED_LATE,
-            "order_timeout": order_ops.MSG_ORDER_TIMEOUT,
-            "pay_no_create": order_ops.MSG_PAY_NO_CREATE}
-    proc = OrderOutcome(duration_micros(C.OUTCOME_WITHIN), duration_micros(grace), msgs)
-    return _tws(ev, ["order_id"], proc, schema, "order_outcomes", ("create_ts", "pay_ts"))
+    step = outcome_step("order_id", "ts", "is_create", "is_pay", C.OUTCOME_WITHIN, grace)
+    return run_carried(_order_log_stream(spark, sf), "order_outcomes", [step]) \
+        .select("order_id", "create_ts", "pay_ts", "result_msg", "tag")
 
 
 STREAM_QUERIES = {
