@@ -359,14 +359,9 @@ def s_login_fail_burst(spark, sf):
 
 def s_order_deadline(spark, sf):
     prepare_streaming(spark)
-    ev = event_time(_order_log_stream(spark, sf), "ts", "0 seconds")
-    schema = T.StructType([T.StructField("order_id", T.LongType()),
-                           T.StructField("create_ts", T.TimestampType()),
-                           T.StructField("pay_ts", T.TimestampType()),
-                           T.StructField("result_msg", T.StringType())])
-    proc = DeadlineDecision(duration_micros(C.OUTCOME_WITHIN), order_ops.MSG_DEADLINE_PAYED,
-                            order_ops.MSG_ORDER_TIMEOUT, keep_us=duration_micros(ORDER_SPAN))
-    return _tws(ev, ["order_id"], proc, schema, "order_deadline", ("create_ts", "pay_ts"))
+    step = deadline_step("order_id", "ts", "is_create", "is_pay", C.OUTCOME_WITHIN, keep=ORDER_SPAN)
+    return run_carried(_order_log_stream(spark, sf), "order_deadline", [step]) \
+        .select("order_id", "create_ts", "pay_ts", "result_msg")
 
 
 def _order_log_stream(spark, sf):
