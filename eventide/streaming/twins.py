@@ -285,23 +285,12 @@ def s_tx_reconcile(spark, sf):
 
 
 def s_tx_reconcile_once(spark, sf):
-    """JOIN-1, each record once: one open record per id in state."""
+    """JOIN-1, each record once: one open record per id is carried."""
     prepare_streaming(spark)
-    pays, receipts = C._reused_ids(spark, sf)
-    types = {**dict(pays.dtypes), **dict(receipts.dtypes)}
-    bounds = time_bounds(pays, "pay_ts", 4)
-    pays = event_time(replay_stream(pays, "pay_ts", bounds=bounds), "pay_ts", "0 seconds")
-    receipts = event_time(replay_stream(receipts, "receipt_ts", bounds=bounds), "receipt_ts", "0 seconds")
-    once = reconcile_once_stream(
-        pays.filter(live(F.lit(True), "pay_ts")), receipts.filter(live(F.lit(True), "receipt_ts")), C.ONCE_TOLERANCE,
-        pay_seq="pay_no", receipt_seq="receipt_no")
-
-    def finish(batch: DataFrame) -> DataFrame:
-        b = before_flush(batch, "pay_ts", "receipt_ts")
-        return b.withColumns({**{c: F.col(c).cast(types[c]) for c in ("pay_ts", "receipt_ts")},
-                              **{c: F.col(c).cast("string") for c in ("pay_no", "receipt_no")}})
-
-    return run_and_read(once, "tx_reconcile_once", transform=finish)
+    step = reconcile_once_step(C.ONCE_TOLERANCE, "pay_ts", "receipt_ts", "pay_no", "receipt_no")
+    once = run_carried(_two_sides(*C._reused_ids(spark, sf)), "tx_reconcile_once", [step])
+    return once.select(F.col("tx").alias("tx_id"), "p.pay_ts", F.col("p.pay_no").cast("string").alias("pay_no"),
+                       "r.receipt_ts", F.col("r.receipt_no").cast("string").alias("receipt_no"), "tag")
 
 
 # ------------------------------------------------------- stateful processors
