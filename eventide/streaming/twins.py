@@ -304,16 +304,11 @@ def _tws(df: DataFrame, keys: list, processor, schema: T.StructType, name: str,
 
 
 def s_login_fail_strict(spark, sf):
-    ev = _events(spark, sf, delay="5 seconds")
     fail = F.col("event_type") == C.ERROR
-    rows = ev.select("user_id", "ts", F.col("event_id").alias("seq"), fail.alias("a"),
-                     fail.alias("b"))
-    schema = T.StructType([T.StructField("user_id", T.LongType()),
-                           T.StructField("first_ts", T.TimestampType()),
-                           T.StructField("last_ts", T.TimestampType()),
-                           T.StructField("msg", T.StringType())])
-    proc = StrictPairs(duration_micros(C.LOGIN_WITHIN), seq_ops.MSG_STRICT)
-    return _tws(rows, ["user_id"], proc, schema, "login_fail_strict", ("first_ts", "last_ts"))
+    rows = _replayed(spark, sf).select("user_id", "ts", "event_id", fail.alias("fail"))
+    step = strict_next_step(["user_id"], "ts", "event_id", "fail", "fail", C.LOGIN_WITHIN, seq_ops.MSG_STRICT)
+    return run_carried(rows, "login_fail_strict", [step], delay="5 seconds") \
+        .select("user_id", "first_ts", "last_ts", "msg")
 
 
 _WARNING = T.StructType([T.StructField("user_id", T.LongType()),
