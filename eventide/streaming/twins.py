@@ -333,12 +333,9 @@ def s_login_fail_arrival(spark, sf):
 
 
 def s_login_fail_burst(spark, sf):
-    ev = _events(spark, sf)
-    rows = ev.select("user_id", "ts", F.col("event_id").alias("seq"),
-                     (F.col("event_type") == C.ERROR).alias("fail"))
-    proc = BurstRule(duration_micros(C.BURST_WITHIN), 2, seq_ops.MSG_BURST_PREFIX,
-                     seq_ops.MSG_BURST_SUFFIX)
-    return _tws(rows, ["user_id"], proc, _WARNING, "login_fail_burst", ("first_ts", "last_ts"))
+    rows = _replayed(spark, sf).select("user_id", "ts", (F.col("event_type") == C.ERROR).alias("fail"))
+    step = burst_step(["user_id"], "ts", "fail", C.BURST_WITHIN, 2)
+    return run_carried(rows, "login_fail_burst", [step]).select("user_id", "first_ts", "last_ts", "msg")
 
 
 def s_order_deadline(spark, sf):
