@@ -375,17 +375,11 @@ def s_ad_by_geo(spark, sf):
 
 
 def s_order_timeout(spark, sf):
-    ev = _events(spark, sf)
-    rows = ev.select(F.col("user_id").alias("order_id"), "ts", F.col("event_id").alias("seq"),
-                     (F.col("event_type") == C.SIGNUP).alias("a"),
-                     (F.col("event_type") == C.PURCHASE).alias("b"))
-    schema = T.StructType([T.StructField("order_id", T.LongType()),
-                           T.StructField("start_ts", T.TimestampType()),
-                           T.StructField("match_ts", T.TimestampType()),
-                           T.StructField("result_msg", T.StringType()),
-                           T.StructField("tag", T.StringType())])
-    proc = FollowedBy(duration_micros(C.ORDER_WITHIN), seq_ops.MSG_PAYED, seq_ops.MSG_TIMEOUT)
-    return _tws(rows, ["order_id"], proc, schema, "order_timeout", ("start_ts", "match_ts"))
+    rows = _replayed(spark, sf).select(F.col("user_id").alias("order_id"), "ts",
+                                       (F.col("event_type") == C.SIGNUP).alias("created"),
+                                       (F.col("event_type") == C.PURCHASE).alias("payed"))
+    return run_carried(rows, "order_timeout", [
+        followed_by_step(["order_id"], "ts", "created", "payed", C.ORDER_WITHIN)])
 
 
 def s_order_outcomes(spark, sf, grace: str = ORDER_SPAN):
