@@ -18,7 +18,6 @@ from eventide.functions.time import (duration_micros, epoch_millis_text, event_w
                                     format_java_ts)
 from eventide.operators import distinct as distinct_ops
 from eventide.operators import gate as gate_ops
-from eventide.operators import orders as order_ops
 from eventide.operators import sequence as seq_ops
 from eventide.operators.distinct import bitmap_counts
 from eventide.operators.topn import top_n_per_window
@@ -29,12 +28,10 @@ from eventide.sinks.bitmap_store import BitmapStore
 from eventide.streaming.carried import (burst_step, deadline_step, followed_by_step, gate_step, outcome_step,
                                         reconcile_once_step, reconcile_step, run_carried, strict_next_step,
                                         two_sides, window_count_step)
-from eventide.streaming.processors import (ArrivalPairs, BurstRule, ClickGate, DeadlineDecision,
-                                          FollowedBy, OrderOutcome, StrictPairs)
+from eventide.streaming.processors import ArrivalPairs
 from eventide.streaming.ranked import (fold_changelog, last_versions, write_refined_rankings,
                                        write_top_n_changelog)
-from eventide.streaming.reconcile import reconcile_once_stream
-from eventide.streaming.runner import (SENTINEL_TS, before_flush, event_time, live,
+from eventide.streaming.runner import (before_flush, event_time, live,
                                        prepare_streaming, replay_parts, replay_stream, run_and_read,
                                        time_bounds)
 from eventide.streaming.upsert import latest, write_update_log
@@ -251,11 +248,6 @@ def _two_sides(pays: DataFrame, receipts: DataFrame) -> DataFrame:
                      replay_stream(receipts, "receipt_ts", bounds=bounds), "tx_id", "pay_ts", "receipt_ts")
 
 
-def _replayed(spark: SparkSession, sf: str) -> DataFrame:
-    prepare_streaming(spark)
-    return replay_stream(C._read(spark, sf, "events"), "ts")
-
-
 def s_tx_reconcile(spark, sf):
     """JOIN-1 as a stream-stream full outer interval join.  Both inputs are
     streamed from tables Spark derives from orders / lineitem (first ship
@@ -266,22 +258,12 @@ def s_tx_reconcile(spark, sf):
         F.col("o_orderkey").cast("string").alias("tx_id"), F.col("o_orderdate").alias("pay_ts"))
     rcps = (C._read(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.min("l_shipdate").alias("receipt_ts"))
             .select(F.col("l_orderkey").cast("string").alias("tx_id"), "receipt_ts"))
-    bounds = time_bounds(pays, "pay_ts", 4)
-    pays = event_time(replay_stream(pays, "pay_ts", bounds=bounds), "pay_ts", "0 seconds")
-    rcps = event_time(replay_stream(rcps, "receipt_ts", bounds=bounds), "receipt_ts", "0 seconds")
-    tol = f"INTERVAL {duration_micros(C.TX_TOLERANCE) // 1_000_000} SECONDS"
-    p, r = pays.alias("p"), rcps.alias("r")
-    joined = p.join(r, F.expr(f"""p.tx_id = r.tx_id AND
-                                  r.receipt_ts >= p.pay_ts - {tol} AND
-                                  r.receipt_ts <= p.pay_ts + {tol}"""), "full_outer")
-    out = joined.select(
-        F.coalesce(F.col("p.tx_id"), F.col("r.tx_id")).alias("tx_id"),
-        F.col("p.pay_ts").alias("pay_ts"), F.col("r.receipt_ts").alias("receipt_ts"),
-        F.when(F.col("p.tx_id").isNotNull() & F.col("r.tx_id").isNotNull(), F.lit("matched"))
-         .when(F.col("p.tx_id").isNotNull(), F.lit("unmatched_pay"))
-         .otherwise(F.lit("unmatched_receipt")).alias("tag"))
-    return run_and_read(out, "tx_reconcile", transform=lambda b: _ntz(
-        before_flush(b, "pay_ts", "receipt_ts"), "pay_ts", "receipt_ts"))
+    # written once: the replay reads it several times
+    folder = scratch_path(spark, "first-receipts")
+    rcps.write.parquet(folder)
+    rcps = spark.read.schema(rcps.schema).parquet(folder)
+    found = run_carried(_two_sides(pays, rcps), "tx_reconcile", [reconcile_step(C.TX_TOLERANCE)])
+    return found.select(F.col("tx").alias("tx_id"), "p.pay_ts", "r.receipt_ts", "tag")
 
 
 def s_tx_reconcile_once(spark, sf):
@@ -293,14 +275,10 @@ def s_tx_reconcile_once(spark, sf):
                        "r.receipt_ts", F.col("r.receipt_no").cast("string").alias("receipt_no"), "tag")
 
 
-# ------------------------------------------------------- stateful processors
-def _tws(df: DataFrame, keys: list, processor, schema: T.StructType, name: str,
-         ts_cols: tuple) -> DataFrame:
-    stream = (df.groupBy(*keys)
-              .transformWithState(processor, schema, "Append", "EventTime"))
-    return run_and_read(stream, name, schema=T.StructType(
-        [T.StructField(f.name, NTZ if f.name in ts_cols else f.dataType) for f in schema.fields]),
-        transform=lambda b: _ntz(before_flush(b, *ts_cols), *ts_cols))
+# ------------------------------------------------------- stateful rules
+def _replayed(spark: SparkSession, sf: str) -> DataFrame:
+    prepare_streaming(spark)
+    return replay_stream(C._read(spark, sf, "events"), "ts")
 
 
 def s_login_fail_strict(spark, sf):
@@ -338,13 +316,6 @@ def s_login_fail_burst(spark, sf):
     return run_carried(rows, "login_fail_burst", [step]).select("user_id", "first_ts", "last_ts", "msg")
 
 
-def s_order_deadline(spark, sf):
-    prepare_streaming(spark)
-    step = deadline_step("order_id", "ts", "is_create", "is_pay", C.OUTCOME_WITHIN, keep=ORDER_SPAN)
-    return run_carried(_order_log_stream(spark, sf), "order_deadline", [step]) \
-        .select("order_id", "create_ts", "pay_ts", "result_msg")
-
-
 def _order_log_stream(spark, sf):
     creates = C._read(spark, sf, "orders").select(
         F.col("o_orderkey").alias("order_id"), F.col("o_orderdate").alias("ts"),
@@ -356,6 +327,13 @@ def _order_log_stream(spark, sf):
     return replay_stream(creates, "ts", bounds=bounds).unionByName(replay_stream(pays, "ts", bounds=bounds))
 
 
+def s_order_deadline(spark, sf):
+    prepare_streaming(spark)
+    step = deadline_step("order_id", "ts", "is_create", "is_pay", C.OUTCOME_WITHIN, keep=ORDER_SPAN)
+    return run_carried(_order_log_stream(spark, sf), "order_deadline", [step]) \
+        .select("order_id", "create_ts", "pay_ts", "result_msg")
+
+
 def s_ad_gate_daily(spark, sf):
     rows = _replayed(spark, sf).select("event_id", "user_id", F.col("event_type").alias("ad_id"), "ts")
     step = gate_step(["user_id", "ad_id"], "ts", "event_id", C.GATE_DAILY_MAX, "1 day")
