@@ -90,12 +90,17 @@ def replay_stream(df: DataFrame, ts: str, slices: int = 4, file_rows: int = 2_00
     return spark.readStream.schema(nullable).option("maxFilesPerTrigger", str(files)).parquet(folder)
 
 
-def replay_parts(df: DataFrame, parts: int = 4) -> DataFrame:
-    """Stream a table that has no time in ``parts`` micro-batches, one file each."""
+def replay_parts(df: DataFrame, parts: int = 4, file_bytes: int = 64 << 20) -> DataFrame:
+    """Stream a table that has no time in ``parts`` micro-batches, each of as many
+    files of about ``file_bytes`` (texts as they are, 8 for other values) as it needs."""
     spark = df.sparkSession
     folder = scratch_path(spark, "replay")
-    df.repartition(parts).write.mode("overwrite").parquet(folder)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", "1").parquet(folder)
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema.fields
+             if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    size = sum(texts, F.lit(8 * (len(df.columns) - len(texts))).cast("long"))
+    files = max(1, -(-(df.agg(F.sum(size)).first()[0] or 0) // (parts * file_bytes)))
+    df.repartition(parts * files).write.mode("overwrite").parquet(folder)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", str(files)).parquet(folder)
 
 
 def before_flush(batch: DataFrame, *ts_cols: str) -> DataFrame:
